@@ -50,8 +50,8 @@ def coefficients(spark: SparkSession, model: PipelineModel, features: Sequence[s
     """
     scaler, line = model.stages[-2], model.stages[-1]
     terms = [
-        (name, float(c), float(c) / s if s else 0.0)
-        for name, c, s in zip(features, line.coefficients, scaler.std)
+        (name, float(c), float(c) / float(spread) if spread else 0.0)
+        for name, c, spread in zip(features, line.coefficients, scaler.std)
     ]
     terms.append(("intercept", float(line.intercept), float(line.intercept)))
     return spark.createDataFrame(terms, "term string, scaled double, unscaled double")

@@ -43,13 +43,13 @@ def upsert_table(
     rows_in = check_unique(source, keys)
     version = writers.next_version(spark, root)
     target = spark.table(name)
-    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    partitions = writers.partition_columns(spark, name)
     if partitions and set(partitions) <= set(keys):
         return _upsert_partitions(spark, name, target, source, keys, partitions, root, version, rows_in)
     done = writers.write_files(
         upserted(target, source, keys), f"{root}/version={version}", partition_by=partitions)
     writers.publish(spark, name, done.path)
-    writers.record_change(spark, root, version, "merge", rows_in, done.rows, done.seconds)
+    writers.record_change(spark, root, version, "merge", rows_in, done.rows, done.seconds, done.path)
     return done
 
 
@@ -57,16 +57,18 @@ def _upsert_partitions(spark, name, target, source, keys, partitions, root, vers
     """Rewrite only the partitions that the source names.
 
     The partition columns are keys, so a row can only meet a row of its own partition. The new content
-    is written aside first, as a table may not be read and overwritten by one job.
+    is written aside first, as a folder may not be read and overwritten by one job; should the
+    overwrite fail half-way, the content is still there and the overwrite can be run again.
     """
     touched = source.select(*partitions).distinct()
     affected = target.join(touched, partitions, "left_semi")
-    aside = writers.write_files(
-        upserted(affected, source, keys), f"{root}/aside={version}", partition_by=partitions)
+    aside = writers.write_files(upserted(affected, source, keys), f"{root}/aside={version}")
+    path = writers.location(spark, name)
     (
-        spark.read.parquet(aside.path).select(*target.columns)
-        .write.option("partitionOverwriteMode", "dynamic").mode("overwrite").insertInto(name)
+        spark.read.parquet(aside.path).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions).parquet(path)
     )
+    spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
-    writers.record_change(spark, root, version, "merge", rows_in, aside.rows, aside.seconds)
-    return aside
+    writers.record_change(spark, root, version, "merge", rows_in, aside.rows, aside.seconds, path)
+    return writers.WriteResult(path, aside.rows, aside.seconds)

@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 from tarnlake.session import MB
 from tarnlake.sizing import estimated_bytes
 
-HISTORY_SCHEMA = "version bigint, written_at timestamp, operation string, rows_in bigint, rows_out bigint, seconds double"
+HISTORY_SCHEMA = ("version bigint, written_at timestamp, operation string, rows_in bigint, rows_out bigint, "
+                  "seconds double, path string")
 ROWS_PER_FILE = 20_000_000
 
 
@@ -72,9 +73,20 @@ def history(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(HISTORY_SCHEMA).parquet(history_path(root))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _filesystem(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _filesystem(spark, path)
+    return files.exists(target)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The one full spelling of a path, so that paths can be compared."""
+    files, target = _filesystem(spark, path)
+    return files.makeQualified(target).toString()
 
 
 def next_version(spark: SparkSession, root: str) -> int:
@@ -84,8 +96,10 @@ def next_version(spark: SparkSession, root: str) -> int:
 
 
 def record_change(
-    spark: SparkSession, root: str, version: int, operation: str, rows_in: int, rows_out: int, seconds: float
+    spark: SparkSession, root: str, version: int, operation: str, rows_in: int, rows_out: int, seconds: float,
+    path: str
 ) -> None:
+    """Add a line to the change history; ``path`` is the folder that holds the table from now on."""
     row = spark.range(1).select(
         F.lit(version).cast("bigint").alias("version"),
         F.current_timestamp().alias("written_at"),
@@ -93,6 +107,7 @@ def record_change(
         F.lit(rows_in).cast("bigint").alias("rows_in"),
         F.lit(rows_out).cast("bigint").alias("rows_out"),
         F.lit(float(seconds)).alias("seconds"),
+        F.lit(qualified(spark, path)).alias("path"),
     )
     row.coalesce(1).write.mode("append").parquet(history_path(root))
 
@@ -101,18 +116,24 @@ def publish(spark: SparkSession, name: str, path: str) -> DataFrame:
     """Point the catalog entry at a folder of Parquet files, schema included."""
     if spark.catalog.tableExists(name):
         old, new = spark.table(name), spark.read.parquet(path)
-        if old.schema == new.schema and not _partition_columns(spark, name):
+        if old.schema == new.schema and not partition_columns(spark, name):
             spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
             spark.catalog.refreshTable(name)
             return spark.table(name)
         spark.sql(f"DROP TABLE {name}")
     spark.catalog.createTable(name, path=path, source="parquet")
-    if _partition_columns(spark, name):
+    if partition_columns(spark, name):
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
-def _partition_columns(spark: SparkSession, name: str) -> list[str]:
+def location(spark: SparkSession, name: str) -> str:
+    """Folder that the catalog entry points at."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
@@ -133,14 +154,14 @@ def write_table(
         seen = Observation()
         columns = spark.table(name).columns
         df.select(*columns).observe(seen, F.count(F.lit(1)).alias("rows")).write.insertInto(name)
-        done = WriteResult(root, int(seen.get["rows"]), monotonic() - start)
+        done = WriteResult(location(spark, name), int(seen.get["rows"]), monotonic() - start)
         spark.catalog.refreshTable(name)
     elif mode in ("overwrite", "append"):
         done = write_files(df, f"{root}/version={version}", partition_by=partition_by)
         publish(spark, name, done.path)
     else:
         raise ValueError(f"unknown mode: {mode}")
-    record_change(spark, root, version, operation or mode, done.rows, done.rows, done.seconds)
+    record_change(spark, root, version, operation or mode, done.rows, done.rows, done.seconds, done.path)
     return done
 
 
@@ -159,20 +180,22 @@ def compact(df: DataFrame, order_by: Sequence[str], file_bytes: int = 512 * MB)
 
 
 def expire_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None = None) -> list[str]:
-    """Delete version folders older than the retention; the newest one always stays.
+    """Delete folders that a later write replaced longer ago than the retention; the live one stays.
 
-    Only folders named in the change history are touched. The list of versions is metadata of one table.
+    Only folders named in the change history are touched: metadata of one table, a line per write.
     """
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
-    known = history(spark, root).filter("operation <> 'append' and operation <> 'expire'")
-    newest = known.agg(F.max("version")).first()[0]
-    age = F.unix_micros(now) - F.unix_micros(F.col("written_at"))
-    old = known.filter((F.col("version") < newest) & (age > keep_seconds * 1_000_000)).select("version").distinct()
+    changes = history(spark, root)
+    later = changes.select((F.col("version") - 1).alias("version"), F.col("path").alias("next_path"),
+                           F.col("written_at").alias("replaced_at"))
+    age = F.unix_micros(now) - F.unix_micros("replaced_at")
+    replaced = changes.join(later, "version").filter("path <> next_path").filter(age > keep_seconds * 1_000_000)
+    live = changes.agg(F.max_by("path", "version").alias("path"))
+    old = replaced.select("path").distinct().join(live, "path", "left_anti")
     removed = []
     for row in old.toLocalIterator():
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={row['version']}")
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        if files.exists(path):
-            files.delete(path, True)
-            removed.append(path.toString())
+        files, target = _filesystem(spark, row["path"])
+        if files.exists(target):
+            files.delete(target, True)
+            removed.append(row["path"])
     return sorted(removed)
