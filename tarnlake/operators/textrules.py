@@ -134,28 +134,34 @@ def rule_scores(
     return per_document.withColumn("score", score).withColumn("band", band(F.col("score")))
 
 
-CELLS_TYPE = "cells array<struct<cell_type string, type string, source string, content string>>"
+CELLS = "cells array<string>"
+CELL_TEXT = "cell_type string, type string, source string, content string"
+CELL_LINES = "source array<string>, content array<string>"
 
 
 def code_cells(df: DataFrame, document: str, notebook: str) -> DataFrame:
     """Code cells of notebook JSON: (document, position among all cells, source).
 
     The source may be a text or a list of lines; lines are joined with nothing between them. Empty
-    cells are left out.
+    cells are left out. Each cell is read twice, since a text may look like a list: read as lines, a
+    text gives null.
     """
     cells = F.coalesce(
-        F.from_json(notebook, CELLS_TYPE)["cells"],
-        F.from_json(F.get_json_object(notebook, "$.content"), CELLS_TYPE)["cells"],
+        F.from_json(notebook, CELLS)["cells"],
+        F.from_json(F.get_json_object(notebook, "$.content"), CELLS)["cells"],
     )
-    cell = F.col("__cell")
-    raw = F.coalesce(cell["source"], cell["content"])
-    lines = F.array_join(F.from_json(raw, "array<string>"), "")
-    source = F.when(raw.startswith("["), F.coalesce(lines, raw)).otherwise(raw)
-    is_code = F.coalesce(cell["type"] == "code", F.lit(False)) | F.coalesce(cell["cell_type"] == "code", F.lit(False))
+    text, lines = F.col("__text"), F.col("__lines")
+
+    def read(field: str) -> Column:
+        return F.coalesce(F.array_join(lines[field], ""), text[field])
+
+    is_code = F.coalesce(text["type"] == "code", F.lit(False)) | F.coalesce(text["cell_type"] == "code", F.lit(False))
     return (
         df.select(document, F.posexplode(cells).alias("position", "__cell"))
+        .withColumns({"__text": F.from_json("__cell", CELL_TEXT), "__lines": F.from_json("__cell", CELL_LINES)})
         .filter(is_code)
-        .select(document, F.col("position").cast("bigint").alias("position"), source.alias("source"))
+        .select(document, F.col("position").cast("bigint").alias("position"),
+                F.coalesce(read("source"), read("content")).alias("source"))
         .filter(F.col("source") != "")
     )
 
