@@ -76,45 +76,50 @@ class Model:
         return self.measures[bare]
 
 
-# How the parts of a pre-summed measure come together again.
-_PARTS: Mapping[str, Callable[[str], dict[str, Column]]] = {
-    "sum": lambda e: {"v": F.sum(F.expr(e))},
-    "count": lambda e: {"v": F.count(F.expr(e))},
-    "min": lambda e: {"v": F.min(F.expr(e))},
-    "max": lambda e: {"v": F.max(F.expr(e))},
-    "avg": lambda e: {"v": F.sum(F.expr(e)), "n": F.count(F.expr(e))},
-}
-_WHOLE: Mapping[str, Callable[[str, str], Column]] = {
-    "sum": lambda v, n: F.sum(v),
-    "count": lambda v, n: F.sum(v),
-    "min": lambda v, n: F.min(v),
-    "max": lambda v, n: F.max(v),
-    "avg": lambda v, n: F.sum(v).cast("double") / F.nullif(F.sum(n), F.lit(0)),
+# How two partial values come together, and how a measure is read off its parts.
+_MERGE: Mapping[str, Callable[[str], Column]] = {
+    "sum": F.sum, "count": F.sum, "avg": F.sum, "min": F.min, "max": F.max,
 }
 
 
-def _presummed(fact: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    parts = []
+def _parts_of(measures: Sequence[Measure]) -> dict[str, Column]:
+    """Per fact row: the value of each measure, and for means the number of values."""
+    parts = {}
     for i, m in enumerate(measures):
-        parts += [c.alias(f"__{p}{i}") for p, c in _PARTS[m.function](m.expression).items()]
-    return fact.groupBy(*keys).agg(*parts)
+        value = F.expr(m.expression)
+        present = value.isNotNull().cast("bigint")
+        parts[f"__v{i}"] = present if m.function == "count" else value
+        if m.function == "avg":
+            parts[f"__n{i}"] = present
+    return parts
 
 
-def _row_parts(fact: DataFrame, keys: Sequence[str], measures: Sequence[Measure]) -> DataFrame:
-    parts = []
+def _merged(measures: Sequence[Measure]) -> list[Column]:
+    out = []
     for i, m in enumerate(measures):
-        value = F.expr(m.expression)
-        present = value.isNotNull().cast("bigint")
-        parts.append((present if m.function == "count" else value).alias(f"__v{i}"))
+        out.append(_MERGE[m.function](f"__v{i}").alias(f"__v{i}"))
         if m.function == "avg":
-            parts.append(present.alias(f"__n{i}"))
-    return fact.select(*keys, *parts)
+            out.append(F.sum(f"__n{i}").alias(f"__n{i}"))
+    return out
+
+
+def _whole(position: int, measure: Measure) -> Column:
+    value = _MERGE[measure.function](f"__v{position}")
+    if measure.function != "avg":
+        return value
+    return value.cast("double") / F.nullif(F.sum(f"__n{position}"), F.lit(0))
 
 
-def _worth_presumming(model: Model, links: Sequence[Relationship]) -> bool:
-    """One foreign key of the fact, to a dimension too large to broadcast."""
-    first = [link for link in links if link.table == model.fact]
-    return len(first) == 1 and not is_small(model.tables[first[0].parent])
+def _join_order(model: Model, links: Sequence[Relationship]) -> list[Relationship]:
+    """Links in an order in which each table is reached before it is left, small parents first."""
+    waiting, reached, order = list(links), {model.fact}, []
+    while waiting:
+        ready = [link for link in waiting if link.table in reached]
+        link = next((r for r in ready if is_small(model.tables[r.parent])), ready[0])
+        waiting.remove(link)
+        reached.add(link.parent)
+        order.append(link)
+    return order
 
 
 def evaluate(
@@ -128,38 +133,47 @@ def evaluate(
 ) -> DataFrame:
     """Measures per group, at most ``max_rows`` rows; without grouping one row over the filtered fact.
 
-    When the fact must be shuffled to meet one large dimension, it is summed per foreign key first, so
-    that the hottest key crosses the network as one row per task. Small dimensions are broadcast and
-    the fact is summed only once. Groups whose measures are all null are dropped.
+    Small dimensions are broadcast first. Before rows are shuffled to meet a large dimension, they are
+    summed per key (``presum`` None), so that the hottest key crosses the network as one row per task;
+    ``presum`` True sums before every join, False before none. Groups whose measures are all null are
+    dropped.
     """
     groups = [model.locate(g) for g in group_by]
     wanted = {model.locate(c): list(vs) for c, vs in (filters or {}).items()}
     chosen = [model.measure(m) for m in measures]
 
-    def matches(table: str, column: str) -> Column:
-        kind = model.tables[table].schema[column].dataType.simpleString()
-        return text_values_match(F.col(column), wanted[table, column], kind)
+    def filtered(rows: DataFrame, table: str) -> DataFrame:
+        schema = model.tables[table].schema
+        return rows.filter(all_of([
+            text_values_match(F.col(c), vs, schema[c].dataType.simpleString())
+            for (t, c), vs in wanted.items() if t == table]))
 
-    fact = model.tables[model.fact]
-    fact = fact.filter(all_of([matches(t, c) for t, c in wanted if t == model.fact]))
     dims = [t for t, _ in [*groups, *wanted] if t != model.fact]
-    links = list(dict.fromkeys(link for t in dims for link in model.path_to(t)))
-    keys = [c for t, c in groups if t == model.fact] + [k.column for k in links if k.table == model.fact]
-    keys = list(dict.fromkeys(keys))
-    presum = _worth_presumming(model, links) if presum is None else presum
-    rows = _presummed(fact, keys, chosen) if presum or not keys else _row_parts(fact, keys, chosen)
-
-    needed = [c for _, c in [*groups, *wanted]] + [k.column for k in links]
-    for link in links:
+    links = _join_order(model, list(dict.fromkeys(link for t in dims for link in model.path_to(t))))
+
+    def columns_after(step: int) -> list[str]:
+        """Columns still of use once the first ``step`` joins are done."""
+        reached = {model.fact, *[link.parent for link in links[:step]]}
+        return list(dict.fromkeys(
+            [c for t, c in groups if t in reached] + [r.column for r in links[step:] if r.table in reached]))
+
+    fact = filtered(model.tables[model.fact], model.fact)
+    parts = _parts_of(chosen)
+    rows = fact.select(*columns_after(0), *[c.alias(n) for n, c in parts.items()])
+    for step, link in enumerate(links):
         parent = model.tables[link.parent]
-        picked = [c for c in dict.fromkeys(needed) if c in parent.columns and c != link.key]
-        dim = parent.select(F.col(link.key).alias(f"__{link.parent}"), *[F.col(c) for c in picked],
-                            *([F.col(link.key)] if link.key in needed else []))
-        rows = rows.join(broadcast_if_small(dim), F.col(link.column) == F.col(f"__{link.parent}"), "left").drop(f"__{link.parent}")
-    rows = rows.filter(all_of([matches(t, c) for t, c in wanted if t != model.fact]))
+        keys = columns_after(step)
+        large_left = [r for r in links[step:] if r.column in keys and not is_small(model.tables[r.parent])]
+        if presum or (presum is None and large_left == [link]):
+            rows = rows.groupBy(*keys).agg(*_merged(chosen))
+        used = [c for t, c in [*groups, *wanted] if t == link.parent]
+        used += [r.column for r in links[step + 1:] if r.table == link.parent]
+        dim = parent.select(F.col(link.key).alias("__key"), *dict.fromkeys(used))
+        joined = rows.join(broadcast_if_small(dim), F.col(link.column) == F.col("__key"), "left")
+        rows = filtered(joined, link.parent).select(*columns_after(step + 1), *parts)
 
     names = [m.strip().removeprefix("[").removesuffix("]") for m in measures]
-    totals = [_WHOLE[m.function](f"__v{i}", f"__n{i}").alias(n) for i, (m, n) in enumerate(zip(chosen, names))]
+    totals = [_whole(i, m).alias(n) for i, (m, n) in enumerate(zip(chosen, names))]
     if not groups:
         return rows.agg(*totals)
     result = rows.groupBy(*[c for _, c in groups]).agg(*totals)

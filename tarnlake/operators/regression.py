@@ -11,6 +11,9 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.session import MB
+from tarnlake.sizing import estimated_bytes, spread_if_small
+
 
 def regression_pipeline(features: Sequence[str], label: str) -> Pipeline:
     return Pipeline(stages=[
@@ -35,8 +38,17 @@ def random_parts(df: DataFrame, share: float = 0.8, seed: int = 42) -> tuple[Dat
     return train, test
 
 
-def fit(train: DataFrame, features: Sequence[str], label: str) -> PipelineModel:
-    return regression_pipeline(features, label).fit(train)
+def fit(train: DataFrame, features: Sequence[str], label: str, keep_bytes: int = 8192 * MB) -> PipelineModel:
+    """Fit the pipeline. Scaler and regression each pass over the rows, so that a training part below
+    ``keep_bytes`` is persisted meanwhile; beyond it, it is read again."""
+    rows = train.select(*features, label)
+    if estimated_bytes(rows) > keep_bytes:
+        return regression_pipeline(features, label).fit(rows)
+    kept = spread_if_small(rows).persist()
+    try:
+        return regression_pipeline(features, label).fit(kept)
+    finally:
+        kept.unpersist()
 
 
 def predictions(model: PipelineModel, test: DataFrame, *keep: str) -> DataFrame:

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.operators.aggregates import amount
 from tarnlake.operators.metrics import Measure, Model, Relationship, evaluate
 from tarnlake.plans.registry import query
 from tarnlake.sources.readers import table
 
 PRICE = "CAST(l_extendedprice AS DECIMAL(12,2))"
+CENTS = "CAST(floor(l_extendedprice * 100 + 0.5D) AS DECIMAL(18,0))"
 RELATIONSHIPS = [
     Relationship("lineitem", "l_orderkey", "orders", "o_orderkey"),
     Relationship("lineitem", "l_partkey", "part", "p_partkey"),
@@ -19,11 +21,11 @@ RELATIONSHIPS = [
     Relationship("nation", "n_regionkey", "region", "r_regionkey"),
 ]
 MEASURES = {
-    "Gross": Measure("sum", PRICE),
+    "Gross": Measure("sum", CENTS),
     "Lines": Measure("count", "1"),
-    "Mean Price": Measure("avg", PRICE),
+    "Mean Price": Measure("avg", CENTS),
     "Largest": Measure("max", "l_extendedprice"),
-    "Returned": Measure("sum", f"CASE WHEN l_returnflag = 'R' THEN {PRICE} END"),
+    "Returned": Measure("sum", f"CASE WHEN l_returnflag = 'R' THEN {CENTS} END"),
 }
 
 
@@ -33,9 +35,9 @@ def sales_model(spark: SparkSession, sf: str) -> Model:
 
 
 def _plain(df: DataFrame) -> DataFrame:
-    """Snake-case names; sums as doubles and means rounded for comparison."""
-    shown = {"Gross": F.col("Gross").cast("double"), "Mean Price": F.round("Mean Price", 4),
-             "Returned": F.col("Returned").cast("double")}
+    """Snake-case names; amounts as doubles, means rounded for comparison."""
+    shown = {"Gross": amount(F.col("Gross")), "Mean Price": F.round(amount(F.col("Mean Price")), 4),
+             "Returned": amount(F.col("Returned"))}
     return df.select(*[
         shown.get(c, F.col(f"`{c}`")).alias(c.lower().replace(" ", "_")) for c in df.columns])
 

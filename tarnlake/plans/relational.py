@@ -14,8 +14,13 @@ from tarnlake.sources.readers import inline_rows as rows_of
 from tarnlake.sources.readers import run_sql, table
 
 
+REVENUE_UNIT = 10_000
+
+
 def revenue() -> Column:
-    return F.col("l_extendedprice").cast("decimal(12,2)") * (1 - F.col("l_discount").cast("decimal(4,2)"))
+    """Price times (1 - discount), in ten-thousandths: cents times hundredths."""
+    net = aggregates.whole_cents("l_extendedprice") * (100 - aggregates.whole_cents("l_discount"))
+    return net.cast("decimal(18,0)")
 
 
 REVENUE_SQL = "(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))"
@@ -35,7 +40,7 @@ def revenue_by_region(spark: SparkSession, sf: str) -> DataFrame:
             F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"), F.sum("n").alias("n"))
 
     lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", revenue().alias("revenue"), aggregates.money("l_quantity").alias("quantity"),
+        "l_orderkey", revenue().alias("revenue"), aggregates.cents("l_quantity").alias("quantity"),
         F.lit(1).cast("bigint").alias("n"))
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
@@ -46,7 +51,8 @@ def revenue_by_region(spark: SparkSession, sf: str) -> DataFrame:
     per_nation = summed(per_customer, "c_nationkey").join(
         broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
     named = per_nation.join(broadcast_if_small(regions), F.col("n_regionkey") == F.col("r_regionkey"))
-    return aggregates.revenue_report(named, "r_name", F.col("revenue"), F.col("quantity"), F.col("n"))
+    return aggregates.revenue_report(named, "r_name", F.col("revenue"), F.col("quantity"), F.col("n"),
+                                     REVENUE_UNIT, aggregates.CENTS)
 
 
 @query(f"""
@@ -59,7 +65,7 @@ def revenue_by_part_type(spark: SparkSession, sf: str) -> DataFrame:
         F.sum(revenue()).alias("revenue"), F.count(F.lit(1)).alias("n"))
     parts = table(spark, sf, "part").select("p_partkey", "p_type")
     report = aggregates.revenue_average(
-        joins.join_small(lines, parts, "p_partkey"), "p_type", F.col("revenue"), F.col("n"))
+        joins.join_small(lines, parts, "p_partkey"), "p_type", F.col("revenue"), F.col("n"), REVENUE_UNIT)
     return report.withColumn("avg_revenue", F.round("avg_revenue", 4))
 
 
@@ -145,7 +151,7 @@ FROM orders GROUP BY o_custkey ORDER BY total DESC, o_custkey LIMIT 10
 """)
 def top10_customers(spark: SparkSession, sf: str) -> DataFrame:
     totals = table(spark, sf, "orders").groupBy("o_custkey").agg(
-        F.sum(aggregates.money("o_totalprice")).cast("double").alias("total"))
+        aggregates.amount(F.sum(aggregates.cents("o_totalprice"))).alias("total"))
     return topk.top_by(totals, "total", "o_custkey")
 
 
@@ -156,9 +162,9 @@ FROM orders
 """)
 def running_total(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", aggregates.money("o_totalprice").alias("amount"))
-    totals = ordered.running_total(orders, ["o_custkey"], "o_orderdate", "amount", "running_total")
-    return totals.withColumn("running_total", F.col("running_total").cast("double")).drop("amount")
+        "o_orderkey", "o_custkey", "o_orderdate", aggregates.cents("o_totalprice").alias("cents"))
+    totals = ordered.running_total(orders, ["o_custkey"], "o_orderdate", "cents", "running_total")
+    return totals.withColumn("running_total", aggregates.amount(F.col("running_total"))).drop("cents")
 
 
 @query("""
@@ -318,7 +324,7 @@ def inline_rows(spark: SparkSession, sf: str) -> DataFrame:
         [(1, "BUILDING", "works"), (2, "MACHINERY", "works"), (3, "HOUSEHOLD", "home"), (4, "FURNITURE", "home")],
         {"id": "int", "c_mktsegment": "string", "label": "string"})
     return joins.join_small(table(spark, sf, "customer"), labels, "c_mktsegment").groupBy("label").agg(
-        F.count(F.lit(1)).alias("customers"), F.sum(aggregates.money("c_acctbal")).cast("double").alias("balance"))
+        F.count(F.lit(1)).alias("customers"), aggregates.amount(F.sum(aggregates.cents("c_acctbal"))).alias("balance"))
 
 
 @query("""

@@ -11,6 +11,7 @@ from tarnlake.operators import textrules
 from tarnlake.operators.topk import top_by_priority
 from tarnlake.operators.textrules import OPTIMISATION, Rule
 from tarnlake.plans.registry import query
+from tarnlake.sizing import spread_if_small
 from tarnlake.sources.readers import table
 
 # Every document gives two code cells: its text followed by code that depends on language or source.
@@ -32,7 +33,7 @@ cells AS (SELECT doc_id, 1 AS cell, {FIRST_CELL} AS code FROM documents
 def code_texts(spark: SparkSession, sf: str) -> DataFrame:
     """(doc_id, cell, code): one pass over the documents."""
     cells = f"array(struct(1 AS cell, {FIRST_CELL} AS code), struct(2 AS cell, {SECOND_CELL} AS code))"
-    return table(spark, sf, "documents").selectExpr("doc_id", f"inline({cells})")
+    return spread_if_small(table(spark, sf, "documents")).selectExpr("doc_id", f"inline({cells})")
 
 
 def _has(*patterns: str) -> str:
@@ -205,7 +206,7 @@ FROM h
 """)
 def keyword_routing(spark: SparkSession, sf: str) -> DataFrame:
     request = F.expr(REQUEST)
-    return table(spark, sf, "conversations").select(
+    return spread_if_small(table(spark, sf, "conversations")).select(
         "conv_id", "turn",
         textrules.route(request).alias("domain"),
         textrules.first_class(request).alias("template"),
@@ -242,5 +243,5 @@ def notebook_cells(spark: SparkSession, sf: str) -> DataFrame:
         F.concat_ws(",", cell("markdown", F.to_json(F.array(F.concat(F.lit("# "), "lang")))),
                     cell("code", F.to_json(ended)), cell("code", as_text), cell("code", F.lit('""'))),
         F.lit("]}"))
-    books = table(spark, sf, "documents").select("doc_id", notebook.alias("notebook"))
+    books = spread_if_small(table(spark, sf, "documents")).select("doc_id", notebook.alias("notebook"))
     return textrules.code_cells(books, "doc_id", "notebook")

@@ -27,3 +27,12 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 200 * MB) -> DataFrame:
     Beyond it the frame is returned as it is, and Spark picks a shuffled join with AQE skew handling.
     """
     return F.broadcast(df) if is_small(df, limit_bytes) else df
+
+
+def spread_if_small(df: DataFrame, bytes_per_core: int = 32 * MB) -> DataFrame:
+    """Deal the rows of a small table out to all cores before costly per-row work.
+
+    A table of few row groups is read by few tasks. Larger tables have tasks enough and are left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if estimated_bytes(df) < cores * bytes_per_core else df
