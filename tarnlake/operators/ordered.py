@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from tarnlake.operators.joins import join_null_safe
 from tarnlake.session import MB
-from tarnlake.sizing import estimated_bytes
+from tarnlake.sizing import scanned_bytes
 
 CHUNK_BYTES = 256 * MB
 MOST_CHUNKS = 20_000
@@ -44,7 +44,7 @@ def _orders(order: Sequence[Order | str]) -> list[Order]:
 
 def chunk_count(df: DataFrame) -> int:
     """Chunks for a table of this size, from file sizes; 1 means a plain window will do."""
-    return max(1, min(MOST_CHUNKS, math.ceil(estimated_bytes(df) / CHUNK_BYTES)))
+    return max(1, min(MOST_CHUNKS, math.ceil(scanned_bytes(df) / CHUNK_BYTES)))
 
 
 def _axis(df: DataFrame, name: str) -> Column | None:
@@ -98,7 +98,7 @@ def with_chunks(df: DataFrame, order: Sequence[Order | str], chunks: int) -> Dat
     if not frequent or second is None:
         return placed.withColumn(SUB, F.lit(0))
     on_frequent = F.coalesce(axis.isin(frequent), F.lit(False))
-    sub_cuts = _cuts(df.filter(on_frequent), second, chunks)
+    sub_cuts = _cuts(df.filter(on_frequent), second, 1 + max(map(cuts.count, frequent)))
     placed = _place(placed, second, sub_cuts, order[1], SUB)
     return placed.withColumn(SUB, F.when(on_frequent, F.col(SUB)).otherwise(0))
 

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.session import MB
-from tarnlake.sizing import estimated_bytes, spread_if_small
+from tarnlake.sizing import scanned_bytes, spread_if_small
 
 
 def regression_pipeline(features: Sequence[str], label: str) -> Pipeline:
@@ -42,7 +42,7 @@ def fit(train: DataFrame, features: Sequence[str], label: str, keep_bytes: int =
     """Fit the pipeline. Scaler and regression each pass over the rows, so that a training part below
     ``keep_bytes`` is persisted meanwhile; beyond it, it is read again."""
     rows = train.select(*features, label)
-    if estimated_bytes(rows) > keep_bytes:
+    if scanned_bytes(rows) > keep_bytes:
         return regression_pipeline(features, label).fit(rows)
     kept = spread_if_small(rows).persist()
     try:

@@ -126,36 +126,32 @@ def nearest_neighbours(df: DataFrame, keys: Sequence[str], value: str, tie: str,
     return found.withColumn(out, least).drop(*reaches)
 
 
-def _saliency(values: np.ndarray) -> np.ndarray:
-    """Spectral residual of one block: relative distance of the saliency map from its local mean."""
-    spectrum = np.fft.fft(values)
-    amplitude = np.abs(spectrum)
-    logs = np.log(np.maximum(amplitude, 1e-8))
-    residual = logs - np.convolve(np.pad(logs, (1, 1), mode="edge"), np.ones(3) / 3, mode="valid")
-    phase = np.where(amplitude > 1e-8, spectrum / np.maximum(amplitude, 1e-8), 0)
-    saliency = np.abs(np.fft.ifft(np.exp(residual) * phase))
-    width = min(21, len(values))
-    sums = np.concatenate([[0.0], np.cumsum(saliency)])
-    ends = np.arange(1, len(values) + 1)
-    starts = np.maximum(ends - width, 0)
-    local = (sums[ends] - sums[starts]) / (ends - starts)
-    return (saliency - local) / np.maximum(local, 1e-8)
-
-
 def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "score",
                       rows: int = SPECTRAL_ROWS, chunks: int | None = None) -> DataFrame:
     """Spectral residual over windows of ``rows`` consecutive values of a series.
 
-    The transform needs a whole window in memory; the window length bounds every Python group.
+    The transform needs a whole window in memory; the window length bounds every Python group. The
+    score is the relative distance of the saliency map from its local mean.
     """
     numbered = number_rows(df.filter(F.col(value).isNotNull()), keys, order, "__row", chunks)
     blocks = numbered.withColumn("__block", F.floor((F.col("__row") - 1) / rows))
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
     names = df.columns
 
+    # Nested, so that it travels to the workers by value: they need not have this package.
+    def saliency(values: np.ndarray) -> np.ndarray:
+        spectrum = np.fft.fft(values)
+        amplitude = np.abs(spectrum)
+        logs = np.log(np.maximum(amplitude, 1e-8))
+        residual = logs - np.convolve(np.pad(logs, (1, 1), mode="edge"), np.ones(3) / 3, mode="valid")
+        phase = np.where(amplitude > 1e-8, spectrum / np.maximum(amplitude, 1e-8), 0)
+        return np.abs(np.fft.ifft(np.exp(residual) * phase))
+
     def score(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("__row")
-        block[out] = _saliency(block[value].to_numpy(dtype="float64"))
+        found = pd.Series(saliency(block[value].to_numpy(dtype="float64")), index=block.index)
+        local = found.rolling(21, min_periods=1).mean()
+        block[out] = (found - local) / local.clip(lower=1e-8)
         return block[[*names, out]]
 
     return blocks.groupBy(*keys, "__block").applyInPandas(score, schema)

@@ -46,7 +46,9 @@ def verified_write(spark: SparkSession, sf: str) -> DataFrame:
     urgent, counts = writers.materialise(table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'"))
     back, same = writers.verified_write(urgent, name, root)
     urgent.unpersist()
-    return back.withColumn("verified", F.lit(same and back.count() == counts))
+    back = back.withColumn("verified", F.lit(same and back.count() == counts))
+    spark.sql(f"DROP TABLE {name}")
+    return back
 
 
 @query("""

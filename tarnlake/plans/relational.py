@@ -369,7 +369,7 @@ def unique_lookup(spark: SparkSession, sf: str) -> DataFrame:
 SELECT event_id, coalesce(nullif(a, ''), nullif(b, ''), nullif(c, '')) AS shown FROM (
   SELECT event_id, CASE WHEN value < 10 THEN '' WHEN value < 50 THEN event_type END AS a,
          CASE WHEN value > 80 THEN props ELSE '' END AS b, CASE WHEN user_id > 20 THEN 'user' END AS c FROM events)
-""")
+""", name="first_non_empty")
 def first_non_empty_field(spark: SparkSession, sf: str) -> DataFrame:
     fields = table(spark, sf, "events").selectExpr(
         "event_id", "CASE WHEN value < 10 THEN '' WHEN value < 50 THEN event_type END AS a",
@@ -380,7 +380,7 @@ def first_non_empty_field(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT event_id, user_id, event_type, value FROM events
 WHERE event_type IN ('click', 'purchase') AND user_id = 7
-""")
+""", name="dict_filter")
 def dict_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return dict_filter(
         table(spark, sf, "events"), {"event_type": ["click", "purchase"], "user_id": ["7"]}

@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.operators import series
 from tarnlake.operators.transform import derive_events
 from tarnlake.plans.registry import query
 from tarnlake.scratch import fresh_path
@@ -89,6 +90,27 @@ def stream_topology(spark: SparkSession, sf: str) -> DataFrame:
     return streams.last_complete(spark, done, path).withColumn("total", F.col("total").cast("double"))
 
 
+HOUR = "make_timestamp((epoch_us(ts) // 3600000000) * 3600000000)"
+
+
+@query(f"""
+WITH m AS (SELECT user_id, {HOUR} AS window_start, {HOUR} + INTERVAL 1 HOUR AS window_end, avg(value) AS mean
+  FROM events GROUP BY ALL),
+closed AS (SELECT * FROM m WHERE window_end <= (SELECT max(ts) - INTERVAL 30 SECOND FROM events)),
+l AS (SELECT *, lag(mean) OVER (PARTITION BY user_id ORDER BY window_start) AS previous_mean FROM closed)
+SELECT user_id, window_start, window_end, round(mean, 6) AS mean, round(previous_mean, 6) AS previous_mean
+FROM l WHERE mean > 20 AND previous_mean <= 20
+""")
+def stream_crossings(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly means of a stream go to a table as their windows close; crossings are read off the table."""
+    path = fresh_path(spark, "crossings")
+    means = streams.windowed_means(event_stream(spark, sf), "ts", F.col("value"), "1 hour", "0 seconds", by=["user_id"])
+    streams.finish(streams.start_append(means, path, f"{path}-checkpoint"))
+    closed = streams.wall_clock(scan_path(spark, path), "window_start", "window_end")
+    return series.crossings(closed, ["user_id"], 20.0).withColumns(
+        {"mean": F.round("mean", 6), "previous_mean": F.round("previous_mean", 6)})
+
+
 OFFSET_BUCKET = "make_timestamp(((epoch_us(ts) - 60000000) // 300000000) * 300000000 + 60000000)"
 
 

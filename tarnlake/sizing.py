@@ -11,10 +11,19 @@ from tarnlake.session import MB
 FILE_EXPANSION = 4
 
 
+def _optimised(df: DataFrame):
+    return df._jdf.queryExecution().optimizedPlan()
+
+
 def estimated_bytes(df: DataFrame) -> int:
-    """Upper-side estimate of the frame's size, from file sizes."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes()))
+    """Upper-side estimate of the frame's size; a join counts as the product of its sides."""
+    return int(str(_optimised(df).stats().sizeInBytes()))
+
+
+def scanned_bytes(df: DataFrame) -> int:
+    """Size of what the frame reads: the measure for how many tasks or files its rows call for."""
+    leaves = _optimised(df).collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
 def is_small(df: DataFrame, limit_bytes: int = 200 * MB) -> bool:
@@ -35,4 +44,4 @@ def spread_if_small(df: DataFrame, bytes_per_core: int = 32 * MB) -> DataFrame:
     A table of few row groups is read by few tasks. Larger tables have tasks enough and are left alone.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if estimated_bytes(df) < cores * bytes_per_core else df
+    return df.repartition(cores) if scanned_bytes(df) < cores * bytes_per_core else df

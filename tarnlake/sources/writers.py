@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.session import MB
-from tarnlake.sizing import estimated_bytes
+from tarnlake.sizing import scanned_bytes
 
 HISTORY_SCHEMA = ("version bigint, written_at timestamp, operation string, rows_in bigint, rows_out bigint, "
                   "seconds double, path string")
@@ -175,7 +175,7 @@ def verified_write(df: DataFrame, name: str, root: str, mode: str = "overwrite")
 
 def compact(df: DataFrame, order_by: Sequence[str], file_bytes: int = 512 * MB) -> DataFrame:
     """Lay rows out for a rewrite: files of about ``file_bytes``, ranges of the order columns."""
-    files = max(1, -(-estimated_bytes(df) // file_bytes))
+    files = max(1, -(-scanned_bytes(df) // file_bytes))
     return df.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by)
 
 
