@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.operators.quality import null_report
+from tarnlake.operators.quality import profile
 
 LISTING_SCHEMA = "table_name string, position bigint, column_name string, data_type string, nullable boolean"
 # Fixed list: type names that count as complex.
@@ -46,11 +46,11 @@ def list_columns(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFr
     return spark.createDataFrame(rows, LISTING_SCHEMA)
 
 
-def explore(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Columns of every table with row count, nulls and null percentage: one scan per table, one frame."""
-    reports = [null_report(df, with_rows=True).withColumn("table_name", F.lit(n)) for n, df in tables.items()]
-    profile = reduce(DataFrame.unionByName, reports)
-    return list_columns(spark, tables).join(profile, ["table_name", "column_name"])
+def explore(spark: SparkSession, tables: Mapping[str, DataFrame], statistics: bool = False) -> DataFrame:
+    """Columns of every table with rows, nulls and, if wanted, statistics: one scan per table, one frame."""
+    profiles = [profile(df, statistics).withColumn("table_name", F.lit(name)) for name, df in tables.items()]
+    return list_columns(spark, tables).join(
+        reduce(DataFrame.unionByName, profiles), ["table_name", "column_name"])
 
 
 def summary(columns: DataFrame) -> DataFrame:

@@ -141,41 +141,48 @@ def evaluate(
     groups = [model.locate(g) for g in group_by]
     wanted = {model.locate(c): list(vs) for c, vs in (filters or {}).items()}
     chosen = [model.measure(m) for m in measures]
-
-    def filtered(rows: DataFrame, table: str) -> DataFrame:
-        schema = model.tables[table].schema
-        return rows.filter(all_of([
-            text_values_match(F.col(c), vs, schema[c].dataType.simpleString())
-            for (t, c), vs in wanted.items() if t == table]))
-
     dims = [t for t, _ in [*groups, *wanted] if t != model.fact]
     links = _join_order(model, list(dict.fromkeys(link for t in dims for link in model.path_to(t))))
 
+    # Inside, a column carries its table's name, since two tables may use one name.
+    def inner(table: str, column: str) -> str:
+        return f"__{table}__{column}"
+
     def columns_after(step: int) -> list[str]:
         """Columns still of use once the first ``step`` joins are done."""
         reached = {model.fact, *[link.parent for link in links[:step]]}
         return list(dict.fromkeys(
-            [c for t, c in groups if t in reached] + [r.column for r in links[step:] if r.table in reached]))
+            [inner(t, c) for t, c in groups if t in reached]
+            + [inner(r.table, r.column) for r in links[step:] if r.table in reached]))
+
+    def prepared(table: str, *extra: Column) -> DataFrame:
+        """Filtered rows of a table with the columns that the request needs of it."""
+        df = model.tables[table]
+        conditions = [text_values_match(F.col(c), vs, df.schema[c].dataType.simpleString())
+                      for (t, c), vs in wanted.items() if t == table]
+        used = [c for t, c in groups if t == table] + [r.column for r in links if r.table == table]
+        return df.filter(all_of(conditions)).select(
+            *[F.col(c).alias(inner(table, c)) for c in dict.fromkeys(used)], *extra)
 
-    fact = filtered(model.tables[model.fact], model.fact)
     parts = _parts_of(chosen)
-    rows = fact.select(*columns_after(0), *[c.alias(n) for n, c in parts.items()])
+    rows = prepared(model.fact, *[c.alias(n) for n, c in parts.items()])
     for step, link in enumerate(links):
-        parent = model.tables[link.parent]
         keys = columns_after(step)
-        large_left = [r for r in links[step:] if r.column in keys and not is_small(model.tables[r.parent])]
+        large_left = [r for r in links[step:] if inner(r.table, r.column) in keys and not is_small(model.tables[r.parent])]
         if presum or (presum is None and large_left == [link]):
             rows = rows.groupBy(*keys).agg(*_merged(chosen))
-        used = [c for t, c in [*groups, *wanted] if t == link.parent]
-        used += [r.column for r in links[step + 1:] if r.table == link.parent]
-        dim = parent.select(F.col(link.key).alias("__key"), *dict.fromkeys(used))
-        joined = rows.join(broadcast_if_small(dim), F.col(link.column) == F.col("__key"), "left")
-        rows = filtered(joined, link.parent).select(*columns_after(step + 1), *parts)
+        # A filtered dimension keeps only rows that match it; else unmatched rows stay, under null.
+        how = "inner" if any(t == link.parent for t, _ in wanted) else "left"
+        dim = prepared(link.parent, F.col(link.key).alias("__key"))
+        joined = rows.join(broadcast_if_small(dim), F.col(inner(link.table, link.column)) == F.col("__key"), how)
+        rows = joined.select(*columns_after(step + 1), *parts)
 
     names = [m.strip().removeprefix("[").removesuffix("]") for m in measures]
     totals = [_whole(i, m).alias(n) for i, (m, n) in enumerate(zip(chosen, names))]
     if not groups:
         return rows.agg(*totals)
-    result = rows.groupBy(*[c for _, c in groups]).agg(*totals)
+    columns = [c for _, c in groups]
+    shown = {inner(t, c): c if columns.count(c) == 1 else f"{t}.{c}" for t, c in groups}
+    result = rows.groupBy(*shown).agg(*totals).withColumnsRenamed(shown)
     result = result.filter(any_of([F.col(f"`{n}`").isNotNull() for n in names]))
     return (result.orderBy(*order_by) if order_by else result).limit(clamp(max_rows))

@@ -14,31 +14,46 @@ def size_of(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("records"), F.lit(len(df.columns)).alias("columns"))
 
 
+def _statistics(f: T.StructField) -> list[Column]:
+    """Mean, standard deviation, least and greatest value of a column; null where they mean nothing."""
+    column = F.col(f.name)
+    number = column if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double")
+    sortable = column if isinstance(f.dataType, T.AtomicType) else F.lit(None)
+    return [
+        F.avg(number).cast("double").alias("mean"),
+        F.stddev(number).alias("stddev"),
+        F.min(sortable).cast("string").alias("min"),
+        F.max(sortable).cast("string").alias("max"),
+    ]
+
+
 def column_statistics(df: DataFrame) -> DataFrame:
     """Count, mean, standard deviation, least and greatest value of each numeric and text column."""
     described = [f for f in df.schema.fields if isinstance(f.dataType, (T.NumericType, T.StringType))]
-    rows = []
-    for f in described:
-        column = F.col(f.name)
-        number = column if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double")
-        rows.append(F.struct(
-            F.lit(f.name).alias("column_name"),
-            F.count(column).alias("count"),
-            F.avg(number).cast("double").alias("mean"),
-            F.stddev(number).alias("stddev"),
-            F.min(column).cast("string").alias("min"),
-            F.max(column).cast("string").alias("max"),
-        ))
+    rows = [F.struct(F.lit(f.name).alias("column_name"), F.count(f.name).alias("count"), *_statistics(f))
+            for f in described]
     return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))
 
 
+def profile(df: DataFrame, statistics: bool = True) -> DataFrame:
+    """Rows, nulls, null percentage and, if wanted, statistics of every column, in one pass."""
+    rows = F.count(F.lit(1))
+    lines = []
+    for f in df.schema.fields:
+        nulls = F.count_if(F.col(f.name).isNull())
+        lines.append(F.struct(
+            F.lit(f.name).alias("column_name"), rows.alias("rows"), nulls.alias("null_count"),
+            _percent(nulls, rows).alias("null_pct"), *(_statistics(f) if statistics else [])))
+    return df.agg(F.array(*lines).alias("r")).select(F.inline("r"))
+
+
 def _row_digest(columns: Sequence[str]) -> Column:
     """SHA-256 over the row, each value preceded by its length, so that no two rows spell the same text."""
     parts = []
     for c in columns:
         text = F.col(c).cast("string")
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*parts), 256)
+    return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
 def duplicate_rows(df: DataFrame, columns: Sequence[str] = (), digest: bool = False) -> DataFrame:
@@ -62,15 +77,10 @@ def _percent(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part * F.lit(100.0), whole), 2)
 
 
-def null_report(df: DataFrame, columns: Sequence[str] = (), with_rows: bool = False) -> DataFrame:
+def null_report(df: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Nulls and their percentage per column; the percentage is null for an empty table."""
-    rows = F.count(F.lit(1))
-    lines = []
-    for c in columns or df.columns:
-        nulls = F.count_if(F.col(c).isNull())
-        line = [F.lit(c).alias("column_name"), nulls.alias("null_count"), _percent(nulls, rows).alias("null_pct")]
-        lines.append(F.struct(*line, *([rows.alias("rows")] if with_rows else [])))
-    return df.agg(F.array(*lines).alias("r")).select(F.inline("r"))
+    chosen = df.select(*columns) if columns else df
+    return profile(chosen, statistics=False).select("column_name", "null_count", "null_pct")
 
 
 def type_validation(df: DataFrame, types: Mapping[str, str]) -> DataFrame:

@@ -32,15 +32,20 @@ TABLES = {
 }
 
 
-def _profile_sql(*names: str) -> str:
+def _profile_sql(*names: str, statistics: bool = False) -> str:
     lines = []
     for name in names:
         for i, column in enumerate(TABLES[name].split(", "), start=1):
             c, kind = column.split()
+            number = kind in ("int", "bigint", "double")
+            extra = "" if not statistics else (
+                (f", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev" if number else
+                 ", CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev")
+                + f", CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max")
             lines.append(
                 f"SELECT '{name}' AS table_name, CAST({i} AS BIGINT) AS position, '{c}' AS column_name, "
                 f"'{kind}' AS data_type, TRUE AS nullable, count(*) AS rows, count(*) - count({c}) AS null_count, "
-                f"round((count(*) - count({c})) * 100.0::DOUBLE / nullif(count(*), 0), 2) AS null_pct FROM {name}")
+                f"round((count(*) - count({c})) * 100.0::DOUBLE / nullif(count(*), 0), 2) AS null_pct{extra} FROM {name}")
     return " UNION ALL ".join(lines)
 
 
@@ -54,9 +59,10 @@ def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.explore(spark, all_tables(spark, sf))
 
 
-@query(_profile_sql("orders", "customer", "part"))
+@query(_profile_sql("orders", "customer", "part", statistics=True))
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
-    return catalog.explore(spark, {n: table(spark, sf, n) for n in ("orders", "customer", "part")})
+    found = catalog.explore(spark, {n: table(spark, sf, n) for n in ("orders", "customer", "part")}, statistics=True)
+    return found.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 
 
 @query(f"""

@@ -90,7 +90,7 @@ def upsert_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """The table is partitioned by a key column: only the partitions named by the source are rewritten."""
     name, root = _name("by_priority"), fresh_path(spark, "by_priority")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", "o_orderpriority")
-    writers.write_table(writers.rebalance(orders, "o_orderpriority"), name, root, partition_by=["o_orderpriority"])
+    writers.write_table(orders, name, root, partition_by=["o_orderpriority"])
     changed = orders.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'") \
         .withColumn("o_orderstatus", F.lit("X"))
     upsert.upsert_table(spark, name, changed, ["o_orderkey", "o_orderpriority"], root)
@@ -106,7 +106,7 @@ def partitioned_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Written by (year, month); the read opens two folders only."""
     path = fresh_path(spark, "by_month")
     dated = table(spark, sf, "orders").withColumns({"year": F.year("o_orderdate"), "month": F.month("o_orderdate")})
-    writers.write_files(writers.rebalance(dated, "year", "month"), path, partition_by=["year", "month"])
+    writers.write_files(dated, path, partition_by=["year", "month"])
     back = readers.scan_path(spark, path).filter("year = 1997 AND month IN (2, 3)")
     return back.withColumns({c: F.col(c).cast("bigint") for c in ("year", "month")})
 
@@ -160,8 +160,7 @@ def mapped_copy(spark: SparkSession, sf: str) -> DataFrame:
         copyjobs.ColumnMap("o_orderstatus", "state"),
     ]
     path = fresh_path(spark, "mapped")
-    copyjobs.copy_rows(writers.rebalance(table(spark, sf, "orders"), "o_orderstatus"), path, mapping,
-                       partition_by=["state"])
+    copyjobs.copy_rows(table(spark, sf, "orders"), path, mapping, partition_by=["state"])
     return readers.scan_path(spark, path).withColumn("amount", F.col("amount").cast("double"))
 
 

@@ -65,7 +65,8 @@ def _upsert_partitions(spark, name, target, source, keys, partitions, root, vers
     aside = writers.write_files(upserted(affected, source, keys), f"{root}/aside={version}")
     path = writers.location(spark, name)
     (
-        spark.read.parquet(aside.path).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writers.rebalance(spark.read.parquet(aside.path), *partitions)
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions).parquet(path)
     )
     spark.catalog.recoverPartitions(name)

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from time import monotonic
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.session import MB
@@ -37,9 +38,14 @@ def write_files(
     rows_per_file: int = ROWS_PER_FILE,
     **options: str,
 ) -> WriteResult:
-    """Write files and take the row count and time from the write itself, not from a second scan."""
+    """Write files and take the row count and time from the write itself, not from a second scan.
+
+    A partitioned write is rebalanced on the partition columns first, so that a partition value gets few
+    files of good size, and a very frequent one is still written by several tasks.
+    """
     seen = Observation()
-    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    laid_out = rebalance(df, *partition_by) if partition_by else df
+    counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(fmt).mode(mode).option("maxRecordsPerFile", rows_per_file).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -173,10 +179,28 @@ def verified_write(df: DataFrame, name: str, root: str, mode: str = "overwrite")
     return back, back.count() == before + done.rows
 
 
-def compact(df: DataFrame, order_by: Sequence[str], file_bytes: int = 512 * MB) -> DataFrame:
-    """Lay rows out for a rewrite: files of about ``file_bytes``, ranges of the order columns."""
-    files = max(1, -(-scanned_bytes(df) // file_bytes))
-    return df.repartitionByRange(files, *order_by).sortWithinPartitions(*order_by)
+def _row_identity(df: DataFrame) -> list[Column]:
+    """Columns that tell equal sort keys apart and are the same when a task is run again."""
+    try:
+        place = [F.xxhash64("_metadata.file_path"), F.col("_metadata.row_index")]
+        df.select(*place)
+        return place
+    except AnalysisException:
+        return [F.xxhash64(*df.columns)]
+
+
+def compact(df: DataFrame, order_by: Sequence[str], file_bytes: int = 512 * MB, files: int | None = None) -> DataFrame:
+    """Lay rows out for a rewrite: files of about ``file_bytes``, ranges of the order columns.
+
+    Rows with the same sort key are told apart by their place in the table, so that a very frequent key
+    is spread over several files.
+    """
+    files = max(1, -(-scanned_bytes(df) // file_bytes)) if files is None else files
+    ties = {f"__tie{i}": c for i, c in enumerate(_row_identity(df))}
+    return (
+        df.withColumns(ties).repartitionByRange(files, *order_by, *ties)
+        .sortWithinPartitions(*order_by).drop(*ties)
+    )
 
 
 def expire_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None = None) -> list[str]:

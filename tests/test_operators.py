@@ -206,6 +206,16 @@ def test_metric_paths_agree(spark, presum):
     assert tuple(total) == (15.0, 2)
 
 
+def test_two_dimensions_may_share_a_column_name(spark):
+    fact = inline_rows(spark, [(1, 2, 10.0), (2, 1, 5.0)], {"a": "int", "b": "int", "x": "double"})
+    first = inline_rows(spark, [(1, "p"), (2, "q")], {"id": "int", "name": "string"})
+    links = [metrics.Relationship("f", "a", "one", "id"), metrics.Relationship("f", "b", "two", "id")]
+    model = metrics.Model("f", {"f": fact, "one": first, "two": first}, links, {"T": metrics.Measure("sum", "x")})
+    got = metrics.evaluate(model, ["T"], ["one.name", "two.name"], {"'two'[id]": ["2"]})
+    assert got.columns == ["one.name", "two.name", "T"]
+    assert [tuple(r) for r in got.collect()] == [("p", "q", 10.0)]
+
+
 def test_caps(spark):
     assert [topk.clamp(n) for n in (-5, 0, 7, 10**9)] == [1, 1, 7, 100_000]
     assert topk.read_columns(spark.range(5), ["id"], 0).count() == 1
@@ -284,7 +294,7 @@ def test_catalog(spark):
     assert "listed" in {n.lower() for n in found} and "a_view" in found and "foreign_format" not in found
     one = catalog.catalog_tables(spark, "LISTED")
     assert [tuple(r) for r in catalog.explore(spark, one).drop("table_name").collect()] == [
-        ("id", 1, "bigint", True, 0, 0.0, 3)]
+        ("id", 1, "bigint", True, 3, 0, 0.0)]
     nothing = catalog.summary(catalog.list_columns(spark, {})).first()
     assert tuple(nothing) == (0, 0, 0.0, 0)
 

@@ -132,3 +132,22 @@ def test_bad_rows(spark):
 def test_scratch_follows_the_setting(spark):
     assert scratch.fresh_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir") + "/tarnlake/x-")
     assert scratch.fresh_path(spark, "x") != scratch.fresh_path(spark, "x")
+
+
+def test_compaction_spreads_a_hot_key(spark):
+    root = scratch.fresh_path(spark, "t")
+    writers.write_table(spark.range(9000).selectExpr("IF(id % 3 = 0, id, 7) AS k", "'same' AS t"), "hot_t", root)
+    laid_out = writers.compact(spark.table("hot_t"), ["k"], files=6)
+    sizes = [r["n"] for r in laid_out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 3000
+    assert laid_out.columns == ["k", "t"]
+
+
+def test_partitioned_upsert_with_moving_rows(spark):
+    """The partition column is no key: a row may move to another partition."""
+    root = scratch.fresh_path(spark, "t")
+    rows = spark.range(10).selectExpr("id", "id * 1.0D AS v", "id % 2 AS part")
+    writers.write_table(rows, "moving", root, partition_by=["part"])
+    upsert.upsert_table(spark, "moving", spark.range(2).selectExpr("id", "9.0D AS v", "5L AS part"), ["id"], root)
+    got = {r["id"]: (r["v"], r["part"]) for r in spark.table("moving").collect()}
+    assert len(got) == 10 and got[0] == (9.0, 5) and got[1] == (9.0, 5) and got[2] == (2.0, 0)
