@@ -194,15 +194,20 @@ def median_per_group(
     if chunks <= 1:
         return present.groupBy(*keys).agg(F.median(value).alias(out))
     points = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    upto = prefix_sums(points, keys, value, "__n", "__upto", chunks)
-    sizes = points.groupBy(*keys).agg(F.sum("__n").alias("__size"))
+    upto = _counted_up(points, keys, value, chunks)
     low, high = F.floor((F.col("__size") + 1) / 2), F.floor(F.col("__size") / 2) + 1
     first = F.col("__upto") - F.col("__n") + 1
     middle = ((first <= low) & (low <= F.col("__upto"))) | ((first <= high) & (high <= F.col("__upto")))
-    return (
-        join_null_safe(upto, sizes, keys, "inner").filter(middle)
-        .groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(out))
-    )
+    return upto.filter(middle).groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(out))
+
+
+def _counted_up(points: DataFrame, keys: Sequence[str], value: str, chunks: int) -> DataFrame:
+    """Per value of a group: rows up to it (``__upto``) and rows of the group (``__size``)."""
+    upto = prefix_sums(points, keys, value, "__n", "__upto", chunks)
+    if chunks <= 1:
+        return upto.withColumn("__size", F.sum("__n").over(Window.partitionBy(*keys)))
+    sizes = points.groupBy(*keys).agg(F.sum("__n").alias("__size"))
+    return join_null_safe(upto, sizes, keys, "inner")
 
 
 def value_at_fraction(
@@ -212,10 +217,8 @@ def value_at_fraction(
     present = df.filter(F.col(value).isNotNull())
     chunks = chunk_count(df) if chunks is None else chunks
     points = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    upto = prefix_sums(points, keys, value, "__n", "__upto", chunks)
-    sizes = points.groupBy(*keys).agg(F.sum("__n").alias("__size"))
     reached = F.col("__upto") >= F.ceil(F.col("__size") * F.lit(fraction))
-    return join_null_safe(upto, sizes, keys, "inner").filter(reached).groupBy(*keys).agg(F.min(value).alias(out))
+    return _counted_up(points, keys, value, chunks).filter(reached).groupBy(*keys).agg(F.min(value).alias(out))
 
 
 Step = Callable[[WindowSpec], Column]

@@ -12,7 +12,6 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tarnlake.operators.joins import join_null_safe
 from tarnlake.operators.ordered import (
@@ -21,7 +20,7 @@ from tarnlake.operators.ordered import (
     value_at_fraction,
     with_neighbours,
 )
-from tarnlake.sizing import broadcast_if_small
+from tarnlake.sizing import settled, task_count
 
 WINDOW_ROWS = 5
 HISTOGRAM_BINS = 10
@@ -46,7 +45,7 @@ def median_distance(df: DataFrame, keys: Sequence[str], value: str, out: str = "
                     chunks: int | None = None) -> DataFrame:
     """Absolute distance from the median of the series."""
     middle = median_per_group(df, keys, value, "__median", chunks)
-    joined = join_null_safe(df, broadcast_if_small(middle), keys)
+    joined = join_null_safe(df, settled(middle), keys)
     return joined.withColumn(out, F.abs(F.col(value) - F.col("__median"))).drop("__median")
 
 
@@ -69,7 +68,7 @@ def median_distance_rolling(df: DataFrame, keys: Sequence[str], order: Sequence[
 def mean_distance(df: DataFrame, keys: Sequence[str], value: str, out: str = "score") -> DataFrame:
     """Absolute distance from the mean of the series."""
     middle = df.groupBy(*keys).agg(F.avg(value).alias("__mean"))
-    joined = join_null_safe(df, broadcast_if_small(middle), keys)
+    joined = join_null_safe(df, settled(middle), keys)
     return joined.withColumn(out, F.abs(F.col(value) - F.col("__mean"))).drop("__mean")
 
 
@@ -93,12 +92,12 @@ def histogram_score(df: DataFrame, keys: Sequence[str], value: str, out: str = "
     width = (F.col("__high") - F.col("__low")) / bins
     bin_of = F.least(F.lit(bins - 1), F.coalesce(
         F.floor(F.try_divide(F.col(value) - F.col("__low"), width)), F.lit(0))).cast("int")
-    placed = join_null_safe(df, broadcast_if_small(ends), keys).withColumn(
+    placed = join_null_safe(df, settled(ends), keys).withColumn(
         "__bin", F.when(F.col(value).isNotNull(), bin_of)).drop("__low", "__high")
     counts = placed.filter(F.col("__bin").isNotNull()).groupBy(*keys, "__bin").agg(F.count(F.lit(1)).alias("__n"))
     fullest = F.max("__n").over(Window.partitionBy(*keys))  # at most ``bins`` rows per series
     rated = counts.select(*keys, "__bin", F.ln(fullest / F.col("__n")).alias(out))
-    return join_null_safe(placed, broadcast_if_small(rated), [*keys, "__bin"]).drop("__bin")
+    return join_null_safe(placed, settled(rated), [*keys, "__bin"]).drop("__bin")
 
 
 def nearest_neighbours(df: DataFrame, keys: Sequence[str], value: str, tie: str, out: str = "score",
@@ -130,31 +129,37 @@ def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       rows: int = SPECTRAL_ROWS, chunks: int | None = None) -> DataFrame:
     """Spectral residual over windows of ``rows`` consecutive values of a series.
 
-    The transform needs a whole window in memory; the window length bounds every Python group. The
-    score is the relative distance of the saliency map from its local mean.
+    The transform needs a whole window in memory; the window length bounds every array. The score is
+    the relative distance of the saliency map from its local mean.
     """
     numbered = number_rows(df.filter(F.col(value).isNotNull()), keys, order, "__row", chunks)
-    blocks = numbered.withColumn("__block", F.floor((F.col("__row") - 1) / rows))
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.DoubleType())])
-    names = df.columns
-
-    # Nested, so that it travels to the workers by value: they need not have this package.
-    def saliency(values: np.ndarray) -> np.ndarray:
-        spectrum = np.fft.fft(values)
-        amplitude = np.abs(spectrum)
-        logs = np.log(np.maximum(amplitude, 1e-8))
-        residual = logs - np.convolve(np.pad(logs, (1, 1), mode="edge"), np.ones(3) / 3, mode="valid")
-        phase = np.where(amplitude > 1e-8, spectrum / np.maximum(amplitude, 1e-8), 0)
-        return np.abs(np.fft.ifft(np.exp(residual) * phase))
-
-    def score(block: pd.DataFrame) -> pd.DataFrame:
-        block = block.sort_values("__row")
-        found = pd.Series(saliency(block[value].to_numpy(dtype="float64")), index=block.index)
-        local = found.rolling(21, min_periods=1).mean()
-        block[out] = (found - local) / local.clip(lower=1e-8)
-        return block[[*names, out]]
+    block = [*keys, "__block"]
+    windows = (
+        numbered.withColumn("__block", F.floor((F.col("__row") - 1) / rows))
+        .repartition(task_count(df), *block).groupBy(*block)
+        .agg(F.sort_array(F.collect_list(F.struct("__row", *df.columns))).alias("__rows"))
+    )
 
-    return blocks.groupBy(*keys, "__block").applyInPandas(score, schema)
+    @F.pandas_udf("array<double>")
+    def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        # Nested, so that it travels to the workers by value: they need not have this package.
+        def score(values: np.ndarray) -> np.ndarray:
+            spectrum = np.fft.fft(values)
+            amplitude = np.abs(spectrum)
+            logs = np.log(np.maximum(amplitude, 1e-8))
+            residual = logs - np.convolve(np.pad(logs, (1, 1), mode="edge"), np.ones(3) / 3, mode="valid")
+            phase = np.where(amplitude > 1e-8, spectrum / np.maximum(amplitude, 1e-8), 0)
+            saliency = np.abs(np.fft.ifft(np.exp(residual) * phase))
+            local = pd.Series(saliency).rolling(21, min_periods=1).mean().to_numpy()
+            return (saliency - local) / np.maximum(local, 1e-8)
+
+        for batch in batches:
+            yield batch.map(lambda values: score(np.asarray(values, dtype="float64")))
+
+    values = F.transform("__rows", lambda row: row[value].cast("double"))
+    scored = windows.select("__rows", scores(values).alias("__scores"))
+    pairs = scored.select(F.inline(F.arrays_zip("__rows", "__scores")))
+    return pairs.select(*[F.col("__rows")[c].alias(c) for c in df.columns], F.col("__scores").alias(out))
 
 
 def principal_component(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "score",
@@ -184,7 +189,7 @@ def principal_component(df: DataFrame, keys: Sequence[str], order: Sequence[str]
             yield pd.Series(list(vectors))
 
     axis = moments.select(*keys, "__mean", first_axis("__cov").alias("__axis"))
-    joined = join_null_safe(embedded, broadcast_if_small(axis), keys)
+    joined = join_null_safe(embedded, settled(axis), keys)
     centred = [F.col(a) - F.col("__mean")[i] for i, a in enumerate(axes)]
     along = sum((c * F.col("__axis")[i] for i, c in enumerate(centred)), F.lit(0.0))
     length = sum((c * c for c in centred), F.lit(0.0))
@@ -201,7 +206,7 @@ def flag(scored: DataFrame, keys: Sequence[str], confidence: int, score: str = "
     if not 1 <= confidence <= 100:
         raise ValueError("confidence must lie between 1 and 100")
     bound = value_at_fraction(scored, keys, score, confidence / 100, "__bound", chunks)
-    joined = join_null_safe(scored, broadcast_if_small(bound), keys)
+    joined = join_null_safe(scored, settled(bound), keys)
     return joined.withColumn(out, F.coalesce(F.col(score) > F.col("__bound"), F.lit(False))).drop("__bound")
 
 

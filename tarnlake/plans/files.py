@@ -39,14 +39,14 @@ def write_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-SELECT {ORDERS}, TRUE AS verified FROM orders WHERE o_orderpriority = '1-URGENT'
+SELECT {ORDERS}, TRUE AS verified FROM orders
 """)
 def verified_write(spark: SparkSession, sf: str) -> DataFrame:
     name, root = _name("verified"), fresh_path(spark, "verified")
-    urgent, counts = writers.materialise(table(spark, sf, "orders").filter("o_orderpriority = '1-URGENT'"))
-    back, same = writers.verified_write(urgent, name, root)
-    urgent.unpersist()
-    back = back.withColumn("verified", F.lit(same and back.count() == counts))
+    kept, rows = writers.materialise(table(spark, sf, "orders"))
+    back, same = writers.verified_write(kept, name, root)
+    kept.unpersist()
+    back = back.withColumn("verified", F.lit(same and back.count() == rows))
     spark.sql(f"DROP TABLE {name}")
     return back
 

@@ -17,7 +17,7 @@ TREE = {"op": "Or", "nodes": [
     ]},
     {"op": "And", "nodes": [
         {"column": "o_orderdate", "op": "Lt", "value": "1995-06-01 00:00:00", "type": "DateTime"},
-        {"column": "o_orderkey", "op": "Le", "value": "9000", "type": "BigInt"},
+        {"column": "o_totalprice", "op": "Le", "value": "90000", "type": "BigInt"},
         {"column": "o_orderpriority", "op": "NotContains", "value": "LOW"},
         {"column": "o_custkey", "op": "IsNotNull"},
     ]},
@@ -27,7 +27,7 @@ TREE = {"op": "Or", "nodes": [
 @query("""
 SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders
 WHERE (o_totalprice >= 200000 AND contains(o_orderpriority, 'URGENT') AND o_orderstatus <> 'P')
-   OR (o_orderdate < TIMESTAMP '1995-06-01' AND o_orderkey <= 9000 AND NOT contains(o_orderpriority, 'LOW')
+   OR (o_orderdate < TIMESTAMP '1995-06-01' AND o_totalprice <= 90000 AND NOT contains(o_orderpriority, 'LOW')
        AND o_custkey IS NOT NULL)
 """)
 def filter_tree(spark: SparkSession, sf: str) -> DataFrame:

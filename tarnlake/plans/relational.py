@@ -204,12 +204,12 @@ def capped_read(spark: SparkSession, sf: str) -> DataFrame:
 @query("""
 SELECT event_id, user_id, submitted FROM (
   SELECT event_id, user_id, CASE WHEN event_type <> 'signup' THEN ts END AS submitted FROM events)
-ORDER BY submitted DESC NULLS LAST, event_id LIMIT 500
+ORDER BY submitted DESC NULLS LAST, event_id
 """)
 def newest_first(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select(
         "event_id", "user_id", F.expr("CASE WHEN event_type <> 'signup' THEN ts END").alias("submitted"))
-    return topk.newest_first(events, "submitted", "event_id").limit(500)
+    return topk.newest_first(events, "submitted", "event_id")
 
 
 PART_COLUMNS = {"p_partkey": True, "p_name": False, "p_brand": False, "p_type": False, "p_size": True,
@@ -378,13 +378,12 @@ def first_non_empty_field(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT event_id, user_id, event_type, value FROM events
-WHERE event_type IN ('click', 'purchase') AND user_id = 7
+SELECT l_orderkey, l_linenumber, l_returnflag, l_extendedprice FROM lineitem
+WHERE l_returnflag IN ('R', 'A') AND l_quantity = 7
 """, name="dict_filter")
 def dict_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    return dict_filter(
-        table(spark, sf, "events"), {"event_type": ["click", "purchase"], "user_id": ["7"]}
-    ).select("event_id", "user_id", "event_type", "value")
+    return dict_filter(table(spark, sf, "lineitem"), {"l_returnflag": ["R", "A"], "l_quantity": ["7"]}).select(
+        "l_orderkey", "l_linenumber", "l_returnflag", "l_extendedprice")
 
 
 @query("""

@@ -12,17 +12,20 @@ import uuid
 from pyspark.sql import SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_own_roots: dict[str, str] = {}
 
 
 def shared_root(spark: SparkSession) -> str:
+    """The folder the session names. Only a local session without one gets a temporary folder."""
     root = spark.conf.get(SETTING, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError(f"set {SETTING} to a folder that every executor can reach")
-    root = tempfile.mkdtemp(prefix="tarnlake-")
-    spark.conf.set(SETTING, root)
-    return root
+    if context.applicationId not in _own_roots:
+        _own_roots[context.applicationId] = tempfile.mkdtemp(prefix="tarnlake-")
+    return _own_roots[context.applicationId]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

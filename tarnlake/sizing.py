@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tarnlake.scratch import fresh_path
 from tarnlake.session import MB
 
 # Parquet on disk is a few times smaller than the same rows in memory.
@@ -38,6 +39,20 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 200 * MB) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit_bytes) else df
 
 
+def settled(df: DataFrame, limit_bytes: int = 200 * MB) -> DataFrame:
+    """A summary that is to be joined back to the large table it was made from.
+
+    The plan bounds a summary only by the size of its input. When that is no small size, the summary is
+    written to the shared folder first; its files then show whether it can be broadcast, and the large
+    table need not be shuffled to meet it.
+    """
+    if is_small(df, limit_bytes):
+        return F.broadcast(df)
+    path = fresh_path(df.sparkSession, "summary")
+    df.write.parquet(path)
+    return broadcast_if_small(df.sparkSession.read.schema(df.schema).parquet(path), limit_bytes)
+
+
 def spread_if_small(df: DataFrame, bytes_per_core: int = 32 * MB) -> DataFrame:
     """Deal the rows of a small table out to all cores before costly per-row work.
 
@@ -45,3 +60,9 @@ def spread_if_small(df: DataFrame, bytes_per_core: int = 32 * MB) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if scanned_bytes(df) < cores * bytes_per_core else df
+
+
+def task_count(df: DataFrame, bytes_per_task: int = 64 * MB) -> int:
+    """Tasks for a step that is slow per byte, such as Python over groups; AQE would merge them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(cores, -(-scanned_bytes(df) // bytes_per_task))

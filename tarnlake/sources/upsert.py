@@ -62,7 +62,7 @@ def _upsert_partitions(spark, name, target, source, keys, partitions, root, vers
     """
     touched = source.select(*partitions).distinct()
     affected = target.join(touched, partitions, "left_semi")
-    aside = writers.write_files(upserted(affected, source, keys), f"{root}/aside={version}")
+    aside = writers.write_files(upserted(affected, source, keys), f"{root}/aside={version}", "overwrite")
     path = writers.location(spark, name)
     (
         writers.rebalance(spark.read.parquet(aside.path), *partitions)

@@ -96,9 +96,13 @@ def qualified(spark: SparkSession, path: str) -> str:
 
 
 def next_version(spark: SparkSession, root: str) -> int:
-    if not path_exists(spark, history_path(root)):
-        return 0
-    return history(spark, root).agg(F.coalesce(F.max("version") + 1, F.lit(0))).first()[0]
+    """Number after the last recorded change; the folder of a write that failed is passed over."""
+    version = 0
+    if path_exists(spark, history_path(root)):
+        version = history(spark, root).agg(F.coalesce(F.max("version") + 1, F.lit(0))).first()[0]
+    while path_exists(spark, f"{root}/version={version}"):
+        version += 1
+    return version
 
 
 def record_change(

@@ -19,6 +19,7 @@ from tarnlake.operators import (
     topk,
     transform,
 )
+from tarnlake import sizing
 from tarnlake.sizing import broadcast_if_small
 from tarnlake.sources.readers import inline_rows
 
@@ -185,6 +186,14 @@ def test_broadcast_only_below_the_limit(spark):
     assert "broadcast" not in broadcast_if_small(spark.range(10**10))._jdf.queryExecution().logical().toString()
 
 
+def test_summary_is_settled_when_its_size_is_unknown(spark):
+    small = spark.range(10**7).groupBy((F.col("id") % 3).alias("k")).count()
+    settled = sizing.settled(small, limit_bytes=10**7)
+    assert "parquet" in settled._jdf.queryExecution().toString().lower()
+    assert "broadcast" in settled._jdf.queryExecution().logical().toString()
+    assert settled.count() == 3
+
+
 def test_reference_spellings(spark, sales):
     model = metrics.Model("sales", {"sales": sales, "Date": inline_rows(spark, [(1,)], {"Year": "int"})}, [])
     for text in ("'Date'[Year]", "Date[Year]", "Date.Year", "[Year]", " Year "):

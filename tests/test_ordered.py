@@ -1,7 +1,6 @@
 """The chunked windows against the plain ones, on groups with one hot key, ties, nulls and hot values."""
 
 import pytest
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tarnlake.operators import ordered as o

@@ -151,3 +151,34 @@ def test_partitioned_upsert_with_moving_rows(spark):
     upsert.upsert_table(spark, "moving", spark.range(2).selectExpr("id", "9.0D AS v", "5L AS part"), ["id"], root)
     got = {r["id"]: (r["v"], r["part"]) for r in spark.table("moving").collect()}
     assert len(got) == 10 and got[0] == (9.0, 5) and got[1] == (9.0, 5) and got[2] == (2.0, 0)
+
+
+def test_failed_write_is_passed_over(spark, products):
+    root = scratch.fresh_path(spark, "t")
+    writers.write_table(products, "products_f", root)
+    writers.write_files(products, f"{root}/version=1")
+    writers.write_table(products.limit(1), "products_f", root)
+    assert spark.table("products_f").count() == 1
+    assert writers.location(spark, "products_f").endswith("version=2")
+
+
+def test_empty_writes_are_counted(spark, products):
+    assert writers.write_files(products.filter("id > 9"), scratch.fresh_path(spark, "e")).rows == 0
+
+
+class _Session:
+    def __init__(self, master):
+        self.conf = self
+        self.sparkContext = self
+        self.master = master
+        self.applicationId = f"app-{master}"
+
+    def get(self, key, default):
+        return default
+
+
+def test_only_a_local_session_gets_a_temporary_folder():
+    root = scratch.shared_root(_Session("local[2]"))
+    assert root == scratch.shared_root(_Session("local[2]"))
+    with pytest.raises(RuntimeError):
+        scratch.shared_root(_Session("yarn"))
