@@ -20,7 +20,11 @@ RELATIONSHIPS = [
     Relationship("customer", "c_nationkey", "nation", "n_nationkey"),
     Relationship("nation", "n_regionkey", "region", "r_regionkey"),
 ]
+NET = "CAST(floor(l_extendedprice * 100 + 0.5D) * (100 - floor(l_discount * 100 + 0.5D)) AS DECIMAL(18,0))"
+NET_SQL = "(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))"
 MEASURES = {
+    "Net": Measure("sum", NET),
+    "Quantity": Measure("sum", "CAST(l_quantity AS DECIMAL(18,0))"),
     "Gross": Measure("sum", CENTS),
     "Lines": Measure("count", "1"),
     "Mean Price": Measure("avg", CENTS),
@@ -29,9 +33,31 @@ MEASURES = {
 }
 
 
-def sales_model(spark: SparkSession, sf: str) -> Model:
-    names = ["lineitem", *[r.parent for r in RELATIONSHIPS]]
-    return Model("lineitem", {n: table(spark, sf, n) for n in names}, RELATIONSHIPS, MEASURES)
+def sales_model(spark: SparkSession, sf: str, *dimensions: str) -> Model:
+    """The star, or the part of it that holds the named dimensions."""
+    links = [r for r in RELATIONSHIPS if not dimensions or r.parent in dimensions]
+    names = ["lineitem", *[r.parent for r in links]]
+    return Model("lineitem", {n: table(spark, sf, n) for n in names}, links, MEASURES)
+
+
+GEOGRAPHY = ("orders", "customer", "nation", "region")
+
+
+@query(f"""
+SELECT r_name, CAST(sum({NET_SQL}) AS DOUBLE) AS total_revenue,
+       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_quantity, count(*) AS transaction_count
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+GROUP BY r_name ORDER BY total_revenue DESC
+""")
+def revenue_by_region(spark: SparkSession, sf: str) -> DataFrame:
+    """The flagship. Small dimensions are broadcast; before each large one the rows are summed per key."""
+    model = sales_model(spark, sf, *GEOGRAPHY)
+    report = evaluate(model, ["Net", "Quantity", "Lines"], ["region.r_name"])
+    return report.filter("r_name IS NOT NULL").select(
+        "r_name", amount(F.col("Net"), 10_000).alias("total_revenue"),
+        F.col("Quantity").cast("double").alias("total_quantity"), F.col("Lines").alias("transaction_count"),
+    ).orderBy(F.desc("total_revenue"))
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -65,7 +91,7 @@ GROUP BY n_name, l_returnflag ORDER BY n_name, l_returnflag LIMIT 1000
 """)
 def metric_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(evaluate(
-        sales_model(spark, sf), ["Gross", "Lines"], ["nation[n_name]", "[l_returnflag]"],
+        sales_model(spark, sf, *GEOGRAPHY), ["Gross", "Lines"], ["nation[n_name]", "[l_returnflag]"],
         {"'region'[r_name]": ["ASIA", "EUROPE"], "orders.o_orderstatus": ["F"], "l_linenumber": ["1", "2", "3"]},
         order_by=["n_name", "l_returnflag"]))
 
@@ -88,7 +114,7 @@ ORDER BY returned DESC, l_shipdate, o_orderpriority LIMIT 250
 """)
 def metric_without_blanks(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(evaluate(
-        sales_model(spark, sf), ["Returned"], ["orders.o_orderpriority", "l_shipdate"], max_rows=250,
+        sales_model(spark, sf, "orders"), ["Returned"], ["orders.o_orderpriority", "l_shipdate"], max_rows=250,
         order_by=[F.desc("Returned"), "l_shipdate", "o_orderpriority"], presum=True))
 
 
@@ -98,5 +124,5 @@ FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON
 GROUP BY c_name ORDER BY gross DESC, c_name LIMIT 10
 """)
 def top_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return _plain(evaluate(sales_model(spark, sf), ["Gross"], ["customer.c_name"], max_rows=10,
+    return _plain(evaluate(sales_model(spark, sf, "orders", "customer"), ["Gross"], ["customer.c_name"], max_rows=10,
                            order_by=[F.desc("Gross"), "c_name"], presum=True))

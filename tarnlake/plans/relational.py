@@ -9,7 +9,6 @@ from tarnlake.functions.predicates import dict_filter
 from tarnlake.functions.scalars import display_number, first_non_empty, preview_text
 from tarnlake.operators import aggregates, joins, ordered, quality, sets, topk, transform
 from tarnlake.plans.registry import query
-from tarnlake.sizing import broadcast_if_small
 from tarnlake.sources.readers import inline_rows as rows_of
 from tarnlake.sources.readers import run_sql, table
 
@@ -26,35 +25,6 @@ def revenue() -> Column:
 REVENUE_SQL = "(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))"
 
 
-@query(f"""
-SELECT r_name, CAST(sum({REVENUE_SQL}) AS DOUBLE) AS total_revenue,
-       CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS total_quantity, count(*) AS transaction_count
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
-GROUP BY r_name ORDER BY total_revenue DESC
-""")
-def revenue_by_region(spark: SparkSession, sf: str) -> DataFrame:
-    """Sums per order, then per customer, then per nation: each join meets one row per key."""
-    def summed(df, *keys):
-        return df.groupBy(*keys).agg(
-            F.sum("revenue").alias("revenue"), F.sum("quantity").alias("quantity"), F.sum("n").alias("n"))
-
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", revenue().alias("revenue"), aggregates.cents("l_quantity").alias("quantity"),
-        F.lit(1).cast("bigint").alias("n"))
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
-    customers = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    nations = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
-    regions = table(spark, sf, "region")
-    per_order = summed(lines, "l_orderkey").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    per_customer = summed(per_order, "o_custkey").join(customers, F.col("o_custkey") == F.col("c_custkey"))
-    per_nation = summed(per_customer, "c_nationkey").join(
-        broadcast_if_small(nations), F.col("c_nationkey") == F.col("n_nationkey"))
-    named = per_nation.join(broadcast_if_small(regions), F.col("n_regionkey") == F.col("r_regionkey"))
-    return aggregates.revenue_report(named, "r_name", F.col("revenue"), F.col("quantity"), F.col("n"),
-                                     REVENUE_UNIT, aggregates.CENTS)
-
-
 @query(f"""
 SELECT p_type, CAST(sum({REVENUE_SQL}) AS DOUBLE) AS total_revenue,
        round(CAST(sum({REVENUE_SQL}) AS DOUBLE) / count(*), 4) AS avg_revenue
