@@ -27,6 +27,11 @@ HEADLINE = [
 ]
 
 
+def scale() -> float | str:
+    name = os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf")
+    return float(name) if name.replace(".", "", 1).isdigit() else name
+
+
 def main() -> None:
     spark = build_session("bench", f"local[{CPUS}]", **{
         "spark.sql.shuffle.partitions": CPUS, "spark.driver.memory": "8g"})
@@ -40,7 +45,7 @@ def main() -> None:
     spark.stop()
     print(json.dumps({
         "metric": "headline_queries_total", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
+        "queries": times, "sf": scale(),
     }))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions.scalars import NO_VALUE
@@ -43,14 +43,19 @@ def with_names(df: DataFrame, ids: Mapping[str, str], names: DataFrame, key: str
     return df
 
 
+def bundled(keys: Sequence[str]) -> Column:
+    """Several key columns as one that is never null; without keys, one key for all rows."""
+    return F.struct(*keys) if keys else F.lit(0)
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join on keys where null equals null; the keys are kept once, from the left.
 
     The keys are compared as one struct, which is never null itself, so this stays an equi-join.
     """
-    bundled = F.struct(*keys).alias("__key")
+    key = bundled(keys).alias("__key")
     values = [c for c in right.columns if c not in keys]
-    return left.select("*", bundled).join(right.select(bundled, *values), "__key", how).drop("__key")
+    return left.select("*", key).join(right.select(key, *values), "__key", how).drop("__key")
 
 
 def unique_lookup(requests: DataFrame, wanted: str, names: DataFrame, key: str, name: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarnlake.operators.joins import join_null_safe
+from tarnlake.operators.joins import bundled, join_null_safe
 from tarnlake.session import MB
 from tarnlake.sizing import scanned_bytes
 
@@ -56,12 +56,16 @@ def _axis(df: DataFrame, name: str) -> Column | None:
         return F.unix_date(name).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
+    if isinstance(kind, T.StringType):
+        # Texts sort by their bytes; the first six make a whole number that a double holds exactly.
+        start = F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6))
+        return F.conv(F.rpad(start, 12, "0"), 16, 10).cast("double")
     return None
 
 
 def _exact(df: DataFrame, name: str, point: float) -> bool:
     """Whether a point of the axis stands for one value of the column only."""
-    return not isinstance(df.schema[name].dataType, T.DecimalType) and abs(point) < 2.0**53
+    return not isinstance(df.schema[name].dataType, (T.DecimalType, T.StringType)) and abs(point) < 2.0**53
 
 
 def _cuts(df: DataFrame, axis: Column, chunks: int) -> list[float]:
@@ -105,7 +109,7 @@ def with_chunks(df: DataFrame, order: Sequence[Order | str], chunks: int) -> Dat
 
 def _cut(df: DataFrame, keys: Sequence[str], order: Sequence[Order], chunks: int) -> DataFrame:
     """Rows with their chunk, and the group keys bundled so that null keys join like any other."""
-    return with_chunks(df, order, chunks).withColumn(GROUP, F.struct(*keys))
+    return with_chunks(df, order, chunks).withColumn(GROUP, bundled(keys))
 
 
 def _carry(cut: DataFrame, amount: Column) -> DataFrame:

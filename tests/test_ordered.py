@@ -69,3 +69,24 @@ def test_small_tables_take_the_plain_window(rows, spark):
     assert o.chunk_count(spark.range(10**9)) > 1
     plan = o.number_rows(rows, ["key"], ["id"], "n")._jdf.queryExecution().toString()
     assert o.CHUNK not in plan
+
+
+def test_without_keys_and_by_text(rows):
+    named = rows.withColumn("name", F.concat(F.coalesce("key", F.lit("Ünï")), F.lit("-"), F.col("amount") % 7))
+    order = ["name", "id"]
+    same(o.number_rows(named, [], order, "n", 6), o.number_rows(named, [], order, "n", 1))
+    same(o.number_rows(named, ["key"], [o.Order("name", True), "id"], "n", 6),
+         o.number_rows(named, ["key"], [o.Order("name", True), "id"], "n", 1))
+    same(o.running_total(named, [], "name", "amount", "t", 6), o.running_total(named, [], "name", "amount", "t", 1))
+    same(o.median_per_group(rows, [], "x", "m", 4), o.median_per_group(rows, [], "x", "m", 1))
+    assert o.with_chunks(named, ["name"], 6).select(o.CHUNK).distinct().count() > 1
+
+
+def test_signed_zero_and_nan_order_like_the_window(spark):
+    odd = spark.sql("SELECT id, CASE WHEN id % 5 = 0 THEN -0.0D WHEN id % 5 = 1 THEN 0.0D WHEN id % 7 = 0 THEN "
+                    "double('NaN') WHEN id % 11 = 0 THEN NULL ELSE id % 13 - 6.0D END AS x FROM range(500)")
+    for descending in (False, True):
+        order = [o.Order("x", descending), "id"]
+        same(o.number_rows(odd, [], order, "n", 5).select("id", "n"), o.number_rows(odd, [], order, "n", 1).select("id", "n"))
+        by = o.Order("x", descending)
+        same(o.rank_rows(odd, [], by, "r", 5).select("id", "r"), o.rank_rows(odd, [], by, "r", 1).select("id", "r"))

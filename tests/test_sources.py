@@ -182,3 +182,16 @@ def test_only_a_local_session_gets_a_temporary_folder():
     assert root == scratch.shared_root(_Session("local[2]"))
     with pytest.raises(RuntimeError):
         scratch.shared_root(_Session("yarn"))
+
+
+def test_partition_discovery_below_a_root(spark, products):
+    path = scratch.fresh_path(spark, "d")
+    writers.write_files(products.withColumn("year", F.col("id") + 2020), path, partition_by=["year"])
+    found = readers.select_files(spark, f"{path}/year=202[12]", partition_root=path)
+    assert sorted(r["year"] for r in found.collect()) == [2021, 2022]
+
+
+def test_scan_of_a_named_table(spark, products):
+    done = writers.write_table(products, "products_s", scratch.fresh_path(spark, "s"))
+    assert readers.scan_table(spark, "products_s").count() == done.rows == 3 and done.seconds > 0
+    assert readers.scan_path(spark, done.path).columns == list(PRODUCTS)
