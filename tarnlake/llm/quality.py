@@ -19,21 +19,24 @@ VOTES = (BAD, ABSTAIN, GOOD)
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 
-# Each rule: its name, when it votes bad, and when it votes good. Otherwise it abstains.
+# Each rule: its name, when it votes bad, and when it votes good. Otherwise it abstains. A document is junk
+# in one way at a time, so a rule that finds nothing to blame abstains; only whole-text rules vote good.
 RULES = (
-    ("length", "n_words < 20", "n_words >= 60"),
-    ("symbols", "n_symbols > 0.10 * n_words", "n_symbols <= 0.01 * n_words"),
-    ("shouting", "n_capitals > 0.50 * word_chars", "n_capitals <= 0.10 * word_chars"),
-    ("stutter", "n_stutters > 0.15 * n_words", "n_stutters <= 0.02 * n_words"),
-    ("repeats", "n_repeat_words > 0.30 * n_words", "n_repeat_words <= 0.05 * n_words"),
-    ("lines", "n_dup_lines > 0.30 * n_lines", "n_dup_lines = 0"),
-    ("word_length", "word_chars < 2.5 * n_words OR word_chars > 15 * n_words",
-     "word_chars BETWEEN 3.5 * n_words AND 10 * n_words"),
+    ("length", "n_words < 20", "false"),
+    ("symbols", "n_symbols > 0.10 * n_words", "false"),
+    ("shouting", "n_capitals > 0.50 * word_chars", "false"),
+    ("stutter", "n_stutters > 0.15 * n_words", "false"),
+    ("repeats", "n_repeat_words > 0.30 * n_words", "false"),
+    ("lines", "n_dup_lines > 0.50 * n_lines", "false"),
+    ("word_length", "word_chars < 2.5 * n_words OR word_chars > 15 * n_words", "false"),
+    ("prose", "false",
+     "n_words >= 20 AND n_symbols <= 0.02 * n_words AND n_capitals <= 0.20 * word_chars"
+     " AND n_stutters <= 0.10 * n_words"),
 )
 
 # What EM starts from and is drawn to: how often a rule gives each vote to bad and to good documents.
 PRIOR_BAD_SHARE = 0.1
-PRIOR_VOTES = {"bad": {BAD: 0.25, ABSTAIN: 0.35, GOOD: 0.40}, "good": {BAD: 0.01, ABSTAIN: 0.19, GOOD: 0.80}}
+PRIOR_VOTES = {"bad": {BAD: 0.30, ABSTAIN: 0.60, GOOD: 0.10}, "good": {BAD: 0.002, ABSTAIN: 0.498, GOOD: 0.50}}
 PRIOR_WEIGHT = 0.05
 
 
