@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import quality, sharding
+from tarnlake.llm import chat, mixing, packing, quality, sharding
 from tarnlake.llm.common import settle
 from tarnlake.sources.readers import table
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -44,3 +47,37 @@ def op7_weak_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
         (~F.col("base_failed") & (F.col("posterior") >= 0.5)).alias("kept"), "posterior")
+
+
+@registered
+def op2_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@registered
+def op6_golden_ratio_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # The texts are read once; what is shuffled is a few numbers a document.
+    sizes = settle(docs.select("doc_id", "source", mixing.word_count(F.col("text")).alias("words")), "mix-sizes")
+    mixed = mixing.mix(sizes, size=F.col("words"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "taken_by_epoch")
+
+
+@registered
+def op10_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    marks = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    windows = chat.read_back(chat.format_windows(turns.unionByName(extra)))
+    # A digest is a single value of the whole conversation, so its windows meet here, in order.
+    whole = windows.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("window", "new_turns", "loss_text"))).alias("windows"),
+        F.sum(F.char_length("formatted")).alias("formatted_chars"))
+    turns_text = F.transform(F.flatten("windows.new_turns"), lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    loss_text = F.array_join("windows.loss_text", "")
+    return whole.select(
+        "conv_id", F.size(F.flatten("windows.new_turns")).cast("long").alias("n_turns"),
+        F.sha2(F.array_join(turns_text, ""), 256).alias("turns_sha256"),
+        F.char_length(loss_text).cast("long").alias("loss_chars"),
+        F.sha2(loss_text, 256).alias("loss_sha256"), "formatted_chars")
