@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, mixing, packing, quality, sharding
+from tarnlake.llm import chat, mixing, packing, quality, sharding, simhash
 from tarnlake.llm.common import settle
 from tarnlake.sources.readers import table
 
@@ -81,3 +81,10 @@ def op10_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(turns_text, ""), 256).alias("turns_sha256"),
         F.char_length(loss_text).cast("long").alias("loss_chars"),
         F.sha2(loss_text, 256).alias("loss_sha256"), "formatted_chars")
+
+
+@registered
+def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
