@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, mixing, packing, quality, sharding, simhash
+from tarnlake.llm import chat, mixing, packing, quality, sharding, simhash, substring
 from tarnlake.llm.common import settle
 from tarnlake.sources.readers import table
 
@@ -88,3 +88,9 @@ def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@registered
+def op3_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    result = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
