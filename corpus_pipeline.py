@@ -6,23 +6,50 @@ as the next stage's docs. All but the last return the columns of documents.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tarnlake.llm import quality
+from tarnlake.llm import mixing, packing, quality, simhash, substring
 from tarnlake.llm.common import settle
 from tarnlake.sources.readers import table
 
+TOKENIZER = "word_bpe_49k.json"
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weighed rules reject go."""
     return quality.keep_good(docs)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document with the smallest doc_id stays."""
+    return simhash.one_of_each(docs)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words in windows that an earlier document holds are taken out of the texts; no document goes."""
+    return substring.without_repeats(docs)
+
+
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """A row for each time the mix takes a document, whole or its first words."""
+    return mixing.mixed_documents(docs)
+
+
+def packing_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents, each with its sequence and offset."""
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("mixing_to_weights", mixing_to_weights),
+    ("packing", packing_sequences),
 ]
 
-# Fingerprints, tokens and EM have no SQL; the stages are tested against brute force.
+# EM, fingerprints, the schedule and tokens have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 

@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarnlake.llm import chat, mixing, packing, quality, sharding, simhash, substring
+from tarnlake.llm import (
+    chat, mixing, packing, quality, sharding, simhash, substring, token_counts, topk_search, toxicity,
+)
 from tarnlake.llm.common import settle
+from tarnlake.scratch import fresh_path
 from tarnlake.sources.readers import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -94,3 +98,50 @@ def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     result = substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@registered
+def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
+ORACLES["op4_threshold_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS parts
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.parts, c.parts) AS BIGINT) AS score
+    FROM v AS q JOIN v AS c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM scores
+)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 20
+"""
+
+
+@registered
+def op5_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sizes, features, toxic = toxicity.labelled_sets(docs, table(spark, sf_dir, "labels"))
+    grades = toxicity.severity_grades(sizes, features, toxic)
+    model = toxicity.fit_ordinal(sizes, features, grades, 3)
+    return toxicity.grade_texts(docs, model).drop("text")
+
+
+@registered
+def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    path = fresh_path(spark, "token-files")
+    places = token_counts.write_token_files(docs, path, public_tokenizers.path(TOKENIZER))
+    counted = token_counts.scan_token_files(spark, path).select("file", "ordinal", "start", "n_tokens", "ended")
+    return places.join(counted, ["file", "ordinal"], "left").select(
+        "doc_id", "n_tokens", "file", "ordinal", "start", "ended")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
