@@ -33,23 +33,27 @@ class WordTokens:
         self.ids = np.zeros(0, np.uint32)
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
+        encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+        return np.array(encoded.ids, dtype=np.uint32)
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode new words, many in one call with a mark between them."""
-        mark, found = MARK.encode(), []
+        mark, ids_of, lengths_of = MARK.encode(), [self.ids], []
         for at in range(0, len(words), WORDS_AT_ONCE):
             some = words[at:at + WORDS_AT_ONCE]
             if any(mark in w for w in some):
-                found += [self._ids(w.decode("utf-8", "replace")) for w in some]
+                each = [self._ids(w.decode("utf-8", "replace")) for w in some]
+                ids_of += each
+                lengths_of += [len(ids) for ids in each]
                 continue
             ids = self._ids(mark.join(some).decode("utf-8", "replace"))
             cuts = np.flatnonzero(ids == MARK_ID)
-            found += [part[1:] if k else part for k, part in enumerate(np.split(ids, cuts))]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
+            ids_of.append(np.delete(ids, cuts))
+            lengths_of += (np.diff(cuts, prepend=-1, append=len(ids)) - 1).tolist()
+        lengths = np.array(lengths_of, np.int64)
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate([self.ids, *found])
+        self.ids = np.concatenate(ids_of)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of each UTF-8 text, and all their ids one after another."""
