@@ -39,12 +39,15 @@ def seconds_between(start: Column, end: Column) -> Column:
 
 
 def _whole(number: Column) -> Column:
-    return F.floor(number).cast("bigint")
+    """Without the fraction: half a second before zero is zero seconds."""
+    return number.cast("bigint")
 
 
 def minutes_seconds(seconds: Column) -> Column:
+    """Minutes rounded down, and the seconds past them: five seconds before zero are ``-1m 55s``."""
     whole = _whole(seconds)
-    return F.concat(_whole(whole / 60).cast("string"), F.lit("m "), (whole % 60).cast("string"), F.lit("s"))
+    past = F.pmod(whole, F.lit(60))
+    return F.concat(_whole((whole - past) / 60).cast("string"), F.lit("m "), past.cast("string"), F.lit("s"))
 
 
 def run_duration(submitted: Column, ended: Column, state: Column, as_of: Column) -> Column:

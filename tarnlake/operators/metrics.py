@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnlake.functions.predicates import all_of, any_of, text_values_match
-from tarnlake.operators.topk import CAP_DEFAULT, clamp
+from tarnlake.operators.topk import checked_cap
 from tarnlake.sizing import broadcast_if_small, is_small
 
 # Fixed spellings of a column reference: 'Table'[Col], Table[Col], Table.Col, [Col], Col.
@@ -110,6 +111,13 @@ def _whole(position: int, measure: Measure) -> Column:
     return value.cast("double") / F.nullif(F.sum(f"__n{position}"), F.lit(0))
 
 
+def _settled_type(value: Column, measure: Measure, kind: T.DataType) -> Column:
+    """Sums of decimals get one type, whether or not they were summed before a join."""
+    if measure.function == "sum" and isinstance(kind, T.DecimalType):
+        return value.cast(T.DecimalType(38, kind.scale))
+    return value
+
+
 def _join_order(model: Model, links: Sequence[Relationship]) -> list[Relationship]:
     """Links in an order in which each table is reached before it is left, small parents first."""
     waiting, reached, order = list(links), {model.fact}, []
@@ -127,11 +135,12 @@ def evaluate(
     measures: Sequence[str],
     group_by: Sequence[str] = (),
     filters: Mapping[str, Sequence[str]] | None = None,
-    max_rows: int = CAP_DEFAULT,
+    max_rows: int | None = None,
     order_by: Sequence[str | Column] = (),
     presum: bool | None = None,
 ) -> DataFrame:
-    """Measures per group, at most ``max_rows`` rows; without grouping one row over the filtered fact.
+    """Measures per group; without grouping one row over the filtered fact. All groups are returned, unless
+    ``max_rows`` asks for the first in ``order_by``, or in the order of the group columns.
 
     Small dimensions are broadcast first. Before rows are shuffled to meet a large dimension, they are
     summed per key (``presum`` None), so that the hottest key crosses the network as one row per task;
@@ -178,11 +187,15 @@ def evaluate(
         rows = joined.select(*columns_after(step + 1), *parts)
 
     names = [m.strip().removeprefix("[").removesuffix("]") for m in measures]
-    totals = [_whole(i, m).alias(n) for i, (m, n) in enumerate(zip(chosen, names))]
+    totals = [_settled_type(_whole(i, m), m, rows.schema[f"__v{i}"].dataType).alias(n)
+              for i, (m, n) in enumerate(zip(chosen, names))]
     if not groups:
         return rows.agg(*totals)
     columns = [c for _, c in groups]
     shown = {inner(t, c): c if columns.count(c) == 1 else f"{t}.{c}" for t, c in groups}
     result = rows.groupBy(*shown).agg(*totals).withColumnsRenamed(shown)
     result = result.filter(any_of([F.col(f"`{n}`").isNotNull() for n in names]))
-    return (result.orderBy(*order_by) if order_by else result).limit(clamp(max_rows))
+    if max_rows is None:
+        return result.orderBy(*order_by) if order_by else result
+    first = order_by or [F.col(f"`{c}`") for c in shown.values()]
+    return result.orderBy(*first).limit(checked_cap(max_rows))

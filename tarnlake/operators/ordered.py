@@ -9,6 +9,7 @@ for smaller tables.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
@@ -22,7 +23,8 @@ from tarnlake.session import MB
 from tarnlake.sizing import scanned_bytes
 
 CHUNK_BYTES = 256 * MB
-MOST_CHUNKS = 20_000
+# At this many chunks of CHUNK_BYTES a table has 100 TB; their cuts are what the driver holds.
+MOST_CHUNKS = 400_000
 BLOCK_ROWS = 100_000
 GROUP, CHUNK, SUB = "__group", "__chunk", "__sub"
 
@@ -57,8 +59,10 @@ def _axis(df: DataFrame, name: str) -> Column | None:
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
     if isinstance(kind, T.StringType):
-        # Texts sort by their bytes; the first six make a whole number that a double holds exactly.
-        start = F.hex(F.substring(F.encode(F.col(name), "UTF-8"), 1, 6))
+        # Texts sort by their bytes. What all of them begin with tells nothing; six bytes from there on
+        # make a whole number that a double holds exactly.
+        ends = [e.encode() for e in df.agg(F.min(name), F.max(name)).first() if e is not None]
+        start = F.hex(F.substring(F.encode(F.col(name), "UTF-8"), len(os.path.commonprefix(ends)) + 1, 6))
         return F.conv(F.rpad(start, 12, "0"), 16, 10).cast("double")
     return None
 
@@ -69,7 +73,7 @@ def _exact(df: DataFrame, name: str, point: float) -> bool:
 
 
 def _cuts(df: DataFrame, axis: Column, chunks: int) -> list[float]:
-    error = max(0.25 / chunks, 1e-5)
+    error = 0.25 / chunks
     return df.select(axis.alias("x")).approxQuantile("x", [i / chunks for i in range(1, chunks)], error)
 
 
@@ -116,16 +120,17 @@ def _carry(cut: DataFrame, amount: Column) -> DataFrame:
     """Per (group, chunk): the sum over all earlier chunks of the group."""
     totals = cut.groupBy(GROUP, CHUNK, SUB).agg(amount.alias("__total"))
     earlier = Window.partitionBy(GROUP).orderBy(CHUNK, SUB).rowsBetween(Window.unboundedPreceding, -1)
-    carried = F.coalesce(F.sum("__total").over(earlier), F.lit(0))
-    return totals.select(GROUP, CHUNK, SUB, carried.alias("__before"))
+    return totals.select(GROUP, CHUNK, SUB, F.sum("__total").over(earlier).alias("__before"))
 
 
 def _carried(cut: DataFrame, carry: DataFrame, local: Column, out: str) -> DataFrame:
-    """Add the carried value to the chunk's own. Window and join share one hash partitioning."""
+    """Add the carried value to the chunk's own; a null is the sum of no value. Window and join share one
+    hash partitioning."""
+    own, before = F.col("__local"), F.col("__before")
     return (
         cut.withColumn("__local", local)
         .join(carry, [GROUP, CHUNK, SUB], "inner")
-        .withColumn(out, F.coalesce(F.col("__local"), F.lit(0)) + F.col("__before"))
+        .withColumn(out, F.coalesce(own + before, own, before))
         .drop("__local", "__before", GROUP, CHUNK, SUB)
     )
 
@@ -144,18 +149,25 @@ def number_rows(
     return _carried(cut, _carry(cut, F.count(F.lit(1))), local, out)
 
 
+def _sum_type(df: DataFrame, value: str) -> T.DataType:
+    """The type of a sum of the column, which all paths to it return."""
+    return df.select(F.sum(value).alias("s")).schema["s"].dataType
+
+
 def prefix_sums(
     points: DataFrame, keys: Sequence[str], order: Order | str, value: str, out: str, chunks: int | None = None
 ) -> DataFrame:
     """Running sum over rows that are unique per (keys, order): the row itself is included."""
     (order,) = _orders([order])
     chunks = chunk_count(points) if chunks is None else chunks
+    kind = _sum_type(points, value)
     if chunks <= 1:
         spec = Window.partitionBy(*keys).orderBy(order.sort()).rowsBetween(Window.unboundedPreceding, 0)
-        return points.withColumn(out, F.sum(value).over(spec))
+        return points.withColumn(out, F.sum(value).over(spec).cast(kind))
     cut = _cut(points, keys, [order], chunks)
     spec = Window.partitionBy(GROUP, CHUNK, SUB).orderBy(order.sort()).rowsBetween(Window.unboundedPreceding, 0)
-    return _carried(cut, _carry(cut, F.sum(value)), F.sum(value).over(spec), out)
+    carried = _carried(cut, _carry(cut, F.sum(value)), F.sum(value).over(spec), out)
+    return carried.withColumn(out, F.col(out).cast(kind))
 
 
 def running_total(
@@ -172,6 +184,7 @@ def running_total(
     at = [*keys, order.column]
     points = df.groupBy(*at).agg(F.sum(value).alias("__sum"))
     sums = prefix_sums(points, keys, order, "__sum", out, chunks).drop("__sum")
+    sums = sums.withColumn(out, F.col(out).cast(_sum_type(df, value)))
     return join_null_safe(df, sums, at, "inner")
 
 
@@ -196,13 +209,14 @@ def median_per_group(
     chunks = chunk_count(df) if chunks is None else chunks
     present = df.filter(F.col(value).isNotNull())
     if chunks <= 1:
-        return present.groupBy(*keys).agg(F.median(value).alias(out))
+        return present.groupBy(*keys).agg(F.median(value).cast("double").alias(out))
     points = present.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
     upto = _counted_up(points, keys, value, chunks)
     low, high = F.floor((F.col("__size") + 1) / 2), F.floor(F.col("__size") / 2) + 1
     first = F.col("__upto") - F.col("__n") + 1
     middle = ((first <= low) & (low <= F.col("__upto"))) | ((first <= high) & (high <= F.col("__upto")))
-    return upto.filter(middle).groupBy(*keys).agg(((F.min(value) + F.max(value)) / 2).alias(out))
+    return upto.filter(middle).groupBy(*keys).agg(
+        ((F.min(value).cast("double") + F.max(value).cast("double")) / 2).alias(out))
 
 
 def _counted_up(points: DataFrame, keys: Sequence[str], value: str, chunks: int) -> DataFrame:

@@ -47,11 +47,19 @@ def profile(df: DataFrame, statistics: bool = True) -> DataFrame:
     return df.agg(F.array(*lines).alias("r")).select(F.inline("r"))
 
 
-def _row_digest(columns: Sequence[str]) -> Column:
+def _spelled(df: DataFrame, column: str) -> Column:
+    """The value as a text that no other value of the column has."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.to_json(F.col(column), {"ignoreNullFields": "false"})
+    return F.hex(column) if isinstance(kind, T.BinaryType) else F.col(column).cast("string")
+
+
+def _row_digest(df: DataFrame, columns: Sequence[str]) -> Column:
     """SHA-256 over the row, each value preceded by its length, so that no two rows spell the same text."""
     parts = []
     for c in columns:
-        text = F.col(c).cast("string")
+        text = _spelled(df, c)
         parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-")))
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
@@ -63,7 +71,7 @@ def duplicate_rows(df: DataFrame, columns: Sequence[str] = (), digest: bool = Fa
     32 bytes per row instead of the text.
     """
     names = list(columns) or df.columns
-    keys = [_row_digest(names).alias("__digest")] if digest else [F.col(c) for c in names]
+    keys = [_row_digest(df, names).alias("__digest")] if digest else [F.col(c) for c in names]
     groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     rows = F.coalesce(F.sum("__n"), F.lit(0))
     return groups.agg(

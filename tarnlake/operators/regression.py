@@ -30,7 +30,8 @@ def in_test_part(*keys: Column, share: float = 0.2) -> Column:
     again puts its rows where they were before.
     """
     text = F.concat_ws(",", *[k.cast("string") for k in keys])
-    return F.left(F.md5(text), F.lit(2)) < F.lit(f"{round(share * 256):02x}")
+    number = F.conv(F.left(F.md5(text), F.lit(8)), 16, 10).cast("bigint")
+    return number < F.lit(round(share * 2**32))
 
 
 def random_parts(df: DataFrame, share: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:

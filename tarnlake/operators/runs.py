@@ -24,7 +24,7 @@ from tarnlake.operators.topk import (
     NEWEST_PER_GROUP,
     PREVIEW_ROWS,
     RECORDS_KEPT,
-    clamp,
+    checked_cap,
     newest_first,
     newest_per_group,
 )
@@ -36,6 +36,9 @@ SUBMITTER_FIELDS = ("displayName", "userPrincipalName", "mail", "name", "id")
 REFRESH_TOP_MAX, REFRESH_TOP_DEFAULT = 100, 10
 NO_DESCRIPTION = "No description"
 
+# More run ids than this are joined without a broadcast.
+BROADCAST_RUNS = 100_000
+
 
 def list_runs(
     runs: DataFrame,
@@ -65,8 +68,9 @@ def list_failures(runs: DataFrame, details: DataFrame, rows: int = PREVIEW_ROWS)
     The cap comes before the join: ``rows`` runs meet the details, not all failures.
     """
     failed = newest_first(runs.filter(F.col("state") == FAILED), "submitted", "run_id").limit(rows)
-    # The cap bounds the id list, so broadcasting it is safe and the details are not shuffled.
-    wanted = details.join(F.broadcast(failed.select("run_id")), "run_id", "left_semi")
+    # A small cap bounds the id list: it is broadcast, and the details are not shuffled.
+    ids = failed.select("run_id")
+    wanted = details.join(F.broadcast(ids) if rows <= BROADCAST_RUNS else ids, "run_id", "left_semi")
     return (
         failed.join(wanted, "run_id", "left")
         .withColumn("reason", failure_reason())
@@ -140,7 +144,7 @@ def refresh_history(refreshes: DataFrame, top: int = REFRESH_TOP_DEFAULT) -> Dat
 
     Columns read: id, status, refresh_type, start and end (ISO text), error (JSON text).
     """
-    newest = refreshes.orderBy(F.desc_nulls_last("start"), "id").limit(clamp(top, 1, REFRESH_TOP_MAX))
+    newest = refreshes.orderBy(F.desc_nulls_last("start"), "id").limit(checked_cap(top, 1, REFRESH_TOP_MAX))
     seconds = seconds_between(iso_timestamp(F.col("start")), iso_timestamp(F.col("end")))
     failed, error = F.col("status") == FAILED, F.col("error")
     return newest.select(

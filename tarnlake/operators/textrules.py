@@ -39,12 +39,18 @@ class Rule:
 ISSUE, WARNING, SUGGESTION, OPTIMISATION = "issue", "warning", "suggestion", "optimisation"
 
 # Fixed patterns of the three rule sets.
-PLATFORM_RULES = (
-    Rule("own_session", ISSUE, ("SparkSession.builder",)),
-    Rule("platform_utilities", SUGGESTION, ("lakehouse", "workspace"), ("notebookutils",)),
-    Rule("table_format", SUGGESTION, (".saveAsTable(",), ('format("delta")',)),
-    Rule("jdbc_connector", SUGGESTION, ("jdbc",), any_case=True),
-)
+def platform_rules(helpers: str) -> tuple[Rule, ...]:
+    """Rules for a platform whose own helper package has the given name."""
+    return (
+        Rule("own_session", ISSUE, ("SparkSession.builder",)),
+        Rule("platform_utilities", SUGGESTION, ("lakehouse", "workspace"), (helpers,)),
+        Rule("table_format", SUGGESTION, (".saveAsTable(",), ('format("delta")',)),
+        Rule("jdbc_connector", SUGGESTION, ("jdbc",), any_case=True),
+    )
+
+
+HELPERS = "platform_helpers"
+PLATFORM_RULES = platform_rules(HELPERS)
 PERFORMANCE_RULES = (
     Rule("collect", WARNING, (".collect()",)),
     Rule("rdd_use", WARNING, ("rdd.",), ("parallelize",)),

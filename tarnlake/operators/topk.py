@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Preview size, row cap of a metric query, newest runs kept, findings shown.
+# Preview size, range of a row cap, newest runs kept, findings shown.
 PREVIEW_ROWS = 10
-CAP_MIN, CAP_MAX, CAP_DEFAULT = 1, 100_000, 1_000
+CAP_MIN, CAP_MAX = 1, 100_000
 NEWEST_PER_GROUP = 50
 RECORDS_KEPT = 100
 TOP_FINDINGS = 5
@@ -19,19 +19,24 @@ def preview(df: DataFrame, *order: str | Column) -> DataFrame:
     return (df.orderBy(*order) if order else df).limit(PREVIEW_ROWS)
 
 
-def clamp(rows: int, low: int = CAP_MIN, high: int = CAP_MAX) -> int:
-    return max(low, min(rows, high))
+def checked_cap(rows: int, low: int = CAP_MIN, high: int = CAP_MAX) -> int:
+    """The cap itself; one outside of the range raises, as a smaller result would not show it."""
+    if not low <= rows <= high:
+        raise ValueError(f"a cap of {rows} rows is not within {low} and {high}")
+    return rows
 
 
-def capped(df: DataFrame, rows: int = CAP_DEFAULT, order: Sequence[str | Column] = ()) -> DataFrame:
-    """At most ``rows`` rows, the number clamped to the allowed range."""
-    return (df.orderBy(*order) if order else df).limit(clamp(rows))
+def capped(df: DataFrame, rows: int | None = None, order: Sequence[str | Column] = ()) -> DataFrame:
+    """The rows in order, at most ``rows`` of them if that is given. The sort and the cap plan as one
+    top-k step."""
+    out = df.orderBy(*order) if order else df
+    return out if rows is None else out.limit(checked_cap(rows))
 
 
-def read_columns(df: DataFrame, columns: Sequence[str] = (), rows: int = CAP_DEFAULT,
+def read_columns(df: DataFrame, columns: Sequence[str] = (), rows: int | None = None,
                  order: Sequence[str | Column] = ()) -> DataFrame:
-    """Chosen columns of a table, capped. The sort and the cap plan as one top-k step."""
-    out = (df.orderBy(*order) if order else df).limit(clamp(rows))
+    """Chosen columns of a table, all rows unless a cap is asked for."""
+    out = capped(df, rows, order)
     return out.select(*columns) if columns else out
 
 

@@ -16,7 +16,7 @@ KEYS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 # Least squares by Cramer's rule on the covariances of the training part.
 SOLVED_SQL = """
 parts AS (SELECT l_quantity AS a, l_discount AS b, l_tax AS c, l_extendedprice AS y,
-  left(md5(concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 2) < '33' AS test FROM lineitem),
+  left(md5(concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 8) < '33333333' AS test FROM lineitem),
 m AS (SELECT covar_pop(a, a) AS aa, covar_pop(b, b) AS bb, covar_pop(c, c) AS cc, covar_pop(a, b) AS ab,
   covar_pop(a, c) AS ac, covar_pop(b, c) AS bc, covar_pop(a, y) AS ay, covar_pop(b, y) AS yb, covar_pop(c, y) AS cy,
   avg(a) AS ma, avg(b) AS mb, avg(c) AS mc, avg(y) AS my, stddev_samp(a) AS sa, stddev_samp(b) AS sb,
@@ -62,7 +62,7 @@ def ml_coefficients(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"""
 WITH {SOLVED_SQL}, p AS (SELECT l_partkey, avg(w0 + wa * l_quantity + wb * l_discount + wc * l_tax) AS mean,
   count(*) AS rows FROM lineitem, line
-  WHERE left(md5(concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 2) < '33' GROUP BY l_partkey)
+  WHERE left(md5(concat_ws(',', l_orderkey, l_linenumber, l_partkey, l_suppkey)), 8) < '33333333' GROUP BY l_partkey)
 SELECT l_partkey, rows, round(mean, 1) AS mean FROM p
 """)
 def ml_predictions(spark: SparkSession, sf: str) -> DataFrame:

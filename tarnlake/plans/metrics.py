@@ -74,7 +74,7 @@ SELECT r_name, p_type, CAST(sum({PRICE}) AS DOUBLE) AS gross, count(*) AS lines,
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
 LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 LEFT JOIN part ON l_partkey = p_partkey
-GROUP BY r_name, p_type ORDER BY r_name, p_type LIMIT 1000
+GROUP BY r_name, p_type ORDER BY r_name, p_type
 """)
 def metric_grouped(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(evaluate(
@@ -87,7 +87,7 @@ SELECT n_name, l_returnflag, CAST(sum({PRICE}) AS DOUBLE) AS gross, count(*) AS
 FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
 LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
 WHERE r_name IN ('ASIA', 'EUROPE') AND o_orderstatus = 'F' AND l_linenumber IN (1, 2, 3)
-GROUP BY n_name, l_returnflag ORDER BY n_name, l_returnflag LIMIT 1000
+GROUP BY n_name, l_returnflag ORDER BY n_name, l_returnflag
 """)
 def metric_filtered(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(evaluate(

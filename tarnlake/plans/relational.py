@@ -155,6 +155,56 @@ def rank_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return ordered.rank_rows(orders, ["o_orderpriority"], ordered.Order("o_totalprice", True), "rank")
 
 
+# The same operators with the cuts that a large table gets, over columns with nulls.
+CHUNKS = 8
+
+
+@query("""
+SELECT o_orderkey, sum(CAST(nullif(o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN o_totalprice END) AS DECIMAL(18,2)))
+       OVER (PARTITION BY o_orderstatus ORDER BY o_orderdate)::DOUBLE AS running_total
+FROM orders
+""")
+def running_total_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "o_orderstatus", "o_orderdate",
+        "CAST(CASE WHEN o_orderkey % 3 <> 0 THEN o_totalprice END AS DECIMAL(18,2)) AS price")
+    totals = ordered.running_total(orders, ["o_orderstatus"], "o_orderdate", "price", "running_total", CHUNKS)
+    return totals.select("o_orderkey", F.col("running_total").cast("double").alias("running_total"))
+
+
+@query("""
+SELECT c_custkey, row_number() OVER (PARTITION BY nullif(c_nationkey, 3) ORDER BY c_name, c_custkey) AS row_number
+FROM customer
+""")
+def row_number_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    customers = table(spark, sf, "customer").selectExpr("c_custkey", "c_name", "nullif(c_nationkey, 3) AS nation")
+    return ordered.number_rows(customers, ["nation"], ["c_name", "c_custkey"], "row_number", CHUNKS).select(
+        "c_custkey", "row_number")
+
+
+@query("""
+SELECT o_orderkey, rank() OVER (PARTITION BY o_orderpriority
+       ORDER BY CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END DESC NULLS LAST) AS rank
+FROM orders
+""")
+def rank_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    orders = table(spark, sf, "orders").selectExpr(
+        "o_orderkey", "o_orderpriority", "CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END AS price")
+    return ordered.rank_rows(orders, ["o_orderpriority"], ordered.Order("price", True), "rank", CHUNKS).select(
+        "o_orderkey", "rank")
+
+
+@query("""
+SELECT nullif(l_returnflag, 'R') AS flag, CAST(median(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS median
+FROM lineitem WHERE l_linenumber <> 4 GROUP BY 1
+""")
+def median_chunked(spark: SparkSession, sf: str) -> DataFrame:
+    lines = table(spark, sf, "lineitem").selectExpr(
+        "nullif(l_returnflag, 'R') AS flag",
+        "CAST(CASE WHEN l_linenumber <> 4 THEN l_extendedprice END AS DECIMAL(18,2)) AS price")
+    return ordered.median_per_group(lines, ["flag"], "price", "median", CHUNKS)
+
+
 @query("""
 SELECT event_id, user_id, ts, event_type FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM events) WHERE n <= 50

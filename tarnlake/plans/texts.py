@@ -20,7 +20,7 @@ FIRST_CELL = """text || CASE lang
   WHEN 'fr' THEN ' df.write.saveAsTable(t) lakehouse df.filter(x).show() df.a df.b df.c'
   WHEN 'de' THEN ' sc.rdd.map(f) spark.read.a spark.read.b spark.read.c spark.read.d'
   ELSE ' from pyspark.sql import SparkSession; SparkSession.builder.getOrCreate()' END"""
-SECOND_CELL = """CASE WHEN source < 'src13' THEN ' url = JDBC:x workspace notebookutils df.toPandas()'
+SECOND_CELL = """CASE WHEN source < 'src13' THEN ' url = JDBC:x workspace platform_helpers df.toPandas()'
   WHEN source < 'src16' THEN ' x.withColumn(a).select(b).filter(c).count() createDataFrame(r)'
   WHEN source < 'src3' THEN ' df.write.partitionBy(k).format("delta").saveAsTable(t) hdfs://a'
   ELSE ' spark.sql("USE db") a.join(broadcast(b)) s3://c df.cache() df.x df.y df.z' END || text"""
@@ -46,7 +46,7 @@ def _times(pattern: str) -> str:
 
 SCAN_SQL = {
     ("own_session", "issue"): _has("SparkSession.builder"),
-    ("platform_utilities", "suggestion"): f"{_has('lakehouse', 'workspace')} AND NOT {_has('notebookutils')}",
+    ("platform_utilities", "suggestion"): f"{_has('lakehouse', 'workspace')} AND NOT {_has('platform_helpers')}",
     ("table_format", "suggestion"): f"""{_has('.saveAsTable(')} AND NOT {_has('format("delta")')}""",
     ("jdbc_connector", "suggestion"): "contains(lower(code), 'jdbc')",
     ("collect", "warning"): _has(".collect()"),

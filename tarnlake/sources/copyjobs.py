@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -57,11 +58,19 @@ def read_mark(spark: SparkSession, root: str, data_type: str) -> str | None:
     return marks.agg(F.max(F.col("mark").cast(data_type)).cast("string")).first()[0]
 
 
+def _batch_name(mark: str | None) -> str:
+    """A folder name for a mark: its bytes in hex, or their digest where a file system allows no such name."""
+    if mark is None:
+        return "start"
+    octets = mark.encode()
+    return f"b-{octets.hex()}" if len(octets) <= 100 else f"d-{hashlib.sha256(octets).hexdigest()}"
+
+
 def incremental_copy(df: DataFrame, change_column: str, root: str) -> int:
     """Append the rows past the stored mark, then move the mark. Returns the number of rows copied.
 
-    The new mark is observed during the write. Batches are named by the mark they start from, so that
-    a batch repeated after a failure replaces its own files and copies nothing twice.
+    The new mark is observed during the write. Batches are named by the mark they start from, no two marks
+    alike, so that a batch repeated after a failure replaces its own files and copies nothing twice.
     """
     spark = df.sparkSession
     kind = df.schema[change_column].dataType.simpleString()
@@ -70,8 +79,7 @@ def incremental_copy(df: DataFrame, change_column: str, root: str) -> int:
     seen = Observation()
     counted = fresh.observe(
         seen, F.count(F.lit(1)).alias("rows"), F.max(F.col(change_column)).cast("string").alias("mark"))
-    batch = "start" if mark is None else "".join(ch if ch.isalnum() else "-" for ch in mark)
-    counted.write.mode("overwrite").parquet(f"{root}/rows/batch=b-{batch}")
+    counted.write.mode("overwrite").parquet(f"{root}/rows/batch={_batch_name(mark)}")
     got = seen.get
     if got["rows"]:
         spark.range(1).select(F.lit(got["mark"]).alias("mark")).coalesce(1) \

@@ -58,10 +58,13 @@ def _upsert_partitions(spark, name, target, source, keys, partitions, root, vers
 
     The partition columns are keys, so a row can only meet a row of its own partition. The new content
     is written aside first, as a folder may not be read and overwritten by one job; should the
-    overwrite fail half-way, the content is still there and the overwrite can be run again.
+    overwrite fail half-way, the content is still there and the overwrite can be run again. Readers may
+    see some partitions before and some after the upsert while it runs.
     """
-    touched = source.select(*partitions).distinct()
-    affected = target.join(touched, partitions, "left_semi")
+    touched = source.select(*partitions).distinct().toDF(*[f"__{p}" for p in partitions])
+    # A null partition meets itself here: its rows are carried over like those of any other.
+    same = all_of([F.col(p).eqNullSafe(F.col(f"__{p}")) for p in partitions])
+    affected = target.join(touched, same, "left_semi")
     aside = writers.write_files(upserted(affected, source, keys), f"{root}/aside={version}", "overwrite")
     path = writers.location(spark, name)
     (

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from time import monotonic
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlake.session import MB
@@ -210,20 +210,41 @@ def compact(df: DataFrame, order_by: Sequence[str], file_bytes: int = 512 * MB,
 def expire_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None = None) -> list[str]:
     """Delete folders that a later write replaced longer ago than the retention; the live one stays.
 
-    Only folders named in the change history are touched: metadata of one table, a line per write.
+    Folders of writes that failed, which the change history does not name, go when a later version has
+    been written and they are as old. This reads metadata of one table only: a line or folder per write.
     """
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     changes = history(spark, root)
-    later = changes.select((F.col("version") - 1).alias("version"), F.col("path").alias("next_path"),
-                           F.col("written_at").alias("replaced_at"))
+    # The next recorded change, whatever its number: the folder of a failed write is passed over.
+    by_version = Window.orderBy("version")
+    later = changes.withColumns({
+        "next_path": F.lead("path").over(by_version), "replaced_at": F.lead("written_at").over(by_version)})
     age = F.unix_micros(now) - F.unix_micros("replaced_at")
-    replaced = changes.join(later, "version").filter("path <> next_path").filter(age > keep_seconds * 1_000_000)
+    replaced = later.filter("path <> next_path").filter(age > keep_seconds * 1_000_000)
     live = changes.agg(F.max_by("path", "version").alias("path"))
     old = replaced.select("path").distinct().join(live, "path", "left_anti")
     removed = []
-    for row in old.toLocalIterator():
-        files, target = _filesystem(spark, row["path"])
+    for path in [*(r["path"] for r in old.toLocalIterator()), *_failed_versions(spark, root, keep_seconds, as_of)]:
+        files, target = _filesystem(spark, path)
         if files.exists(target):
             files.delete(target, True)
-            removed.append(row["path"])
+            removed.append(path)
     return sorted(removed)
+
+
+def _failed_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None) -> list[str]:
+    """Version folders below the newest recorded one that no recorded change names, past the retention."""
+    recorded = {r["path"]: r["version"] for r in history(spark, root).select("path", "version").collect()}
+    newest = max(recorded.values(), default=-1)
+    now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
+    now_ms = spark.range(1).select(F.unix_millis(now)).first()[0]
+    files, folder = _filesystem(spark, root)
+    found = []
+    for status in files.listStatus(folder):
+        path, name = status.getPath().toString(), status.getPath().getName()
+        number = name.removeprefix("version=")
+        if number == name or not number.isdigit() or int(number) >= newest or path in recorded:
+            continue
+        if now_ms - status.getModificationTime() > keep_seconds * 1000:
+            found.append(path)
+    return found

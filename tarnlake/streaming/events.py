@@ -110,9 +110,15 @@ def _triggered(writer, once: bool):
 
 
 def last_complete(spark: SparkSession, query: StreamingQuery, path: str) -> DataFrame:
-    """Result of the last batch of a finished query started with ``start_complete``."""
-    batches = [p["batchId"] for p in _progress(query)]
-    return spark.read.parquet(f"{path}/batch={max(batches)}")
+    """Result of the last batch of a finished query started with ``start_complete``.
+
+    That is the newest folder: a query resumed without new input reports a batch that it never wrote.
+    """
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    newest = max(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
+    return spark.read.parquet(f"{path}/batch={newest}")
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:

@@ -226,8 +226,12 @@ def test_two_dimensions_may_share_a_column_name(spark):
 
 
 def test_caps(spark):
-    assert [topk.clamp(n) for n in (-5, 0, 7, 10**9)] == [1, 1, 7, 100_000]
-    assert topk.read_columns(spark.range(5), ["id"], 0).count() == 1
+    assert [topk.checked_cap(n) for n in (1, 7, 100_000)] == [1, 7, 100_000]
+    for wrong in (-5, 0, 100_001, 10**9):
+        with pytest.raises(ValueError):
+            topk.capped(spark.range(5), wrong)
+    assert topk.read_columns(spark.range(3000), ["id"]).count() == 3000
+    assert [r.id for r in topk.read_columns(spark.range(5), ["id"], 2, ["id"]).collect()] == [0, 1]
 
 
 def test_newest_per_group_limits_before_the_shuffle(spark):
@@ -317,3 +321,30 @@ def test_refresh_times_are_cut(spark):
     assert value(spark, runs.clean_time(F.lit("2024-01-01T10:00:00.123Z"))) == "2024-01-01 10:00:00.12"
     assert value(spark, runs.clean_time(F.lit("2024-01-01T10:00:00Z"))) == "2024-01-01 10:00:00 UT"
     assert dt.datetime(2024, 1, 1) == value(spark, scalars.iso_timestamp(F.lit("2024-01-01T00:00:00Z")))
+
+
+def test_spans_before_zero(spark):
+    for seconds, minutes, label in ((-5.0, "-1m 55s", "-5s"), (-0.5, "0m 0s", "0s"), (125.9, "2m 5s", "2m 5s")):
+        assert value(spark, scalars.minutes_seconds(F.lit(seconds))) == minutes
+        assert value(spark, scalars.duration_label(F.lit(seconds))) == label
+
+
+def test_digests_tell_arrays_apart(spark):
+    rows = spark.sql("SELECT * FROM VALUES (array('a, b')), (array('a', 'b')), (array('a', 'b')) AS t(x)")
+    for digest in (False, True):
+        assert quality.duplicate_rows(rows, digest=digest).first()["duplicate_rows"] == 1
+
+
+def test_shares_of_the_test_part(spark):
+    rows = spark.range(10_000)
+    for share, least, most in ((0.0, 0, 0), (0.2, 1850, 2150), (1.0, 10_000, 10_000)):
+        assert least <= rows.filter(regression.in_test_part(F.col("id"), share=share)).count() <= most
+
+
+def test_all_groups_come_back_without_a_cap(spark):
+    fact = spark.range(9000).selectExpr("id % 3000 AS g", "CAST(id AS DECIMAL(18,0)) AS x")
+    model = metrics.Model("f", {"f": fact}, [], {"T": metrics.Measure("sum", "x")})
+    assert metrics.evaluate(model, ["T"], ["g"]).count() == 3000
+    assert [r["g"] for r in metrics.evaluate(model, ["T"], ["g"], max_rows=3).collect()] == [0, 1, 2]
+    with pytest.raises(ValueError):
+        metrics.evaluate(model, ["T"], ["g"], max_rows=200_000)

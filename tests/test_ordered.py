@@ -15,11 +15,14 @@ def rows(spark):
         F.when(n % 3 == 1, 77).when(n % 41 == 0, None).otherwise((n * 7919) % 501).alias("at"),
         ((n * 31) % 211).alias("amount"),
         (((n * 131) % 997) / 4.0).alias("x"),
+        F.when(n % 4 != 0, ((n * 17) % 301).cast("decimal(18,2)") / 1).cast("decimal(18,2)").alias("price"),
     ).cache()
 
 
 def same(a, b):
     columns = sorted(b.columns)
+    kinds = [[(f.name, f.dataType) for f in df.select(*columns).schema.fields] for df in (a, b)]
+    assert kinds[0] == kinds[1]
     left = sorted(map(repr, a.select(*columns).collect()))
     right = sorted(map(repr, b.select(*columns).collect()))
     assert left == right
@@ -90,3 +93,19 @@ def test_signed_zero_and_nan_order_like_the_window(spark):
         same(o.number_rows(odd, [], order, "n", 5).select("id", "n"), o.number_rows(odd, [], order, "n", 1).select("id", "n"))
         by = o.Order("x", descending)
         same(o.rank_rows(odd, [], by, "r", 5).select("id", "r"), o.rank_rows(odd, [], by, "r", 1).select("id", "r"))
+
+
+def test_null_and_decimal_amounts_give_one_value_and_one_type(rows, spark):
+    for order in ("at", "id"):
+        same(o.running_total(rows, ["key"], order, "price", "t", 6), o.running_total(rows, ["key"], order, "price", "t", 1))
+    same(o.median_per_group(rows, ["key"], "price", "m", 5), o.median_per_group(rows, ["key"], "price", "m", 1))
+    leading = spark.sql("SELECT id, CASE WHEN id >= 40 THEN id END AS v FROM range(100)")
+    cut = o.running_total(leading, [], "id", "v", "t", 8)
+    same(cut, o.running_total(leading, [], "id", "v", "t", 1))
+    assert cut.filter("t IS NULL").count() == 40
+
+
+def test_texts_are_cut_behind_what_they_share(spark):
+    names = spark.range(20_000).selectExpr("concat('Customer#', lpad(id, 9, '0')) AS name")
+    sizes = [r["count"] for r in o.with_chunks(names, ["name"], 8).groupBy(o.CHUNK).count().collect()]
+    assert len(sizes) == 8 and max(sizes) < 5000

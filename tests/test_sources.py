@@ -162,6 +162,37 @@ def test_failed_write_is_passed_over(spark, products):
     assert writers.location(spark, "products_f").endswith("version=2")
 
 
+def test_expiry_passes_over_failed_writes_and_removes_them(spark, products):
+    root = scratch.fresh_path(spark, "t")
+    writers.write_table(products, "products_x", root)
+    writers.write_files(products, f"{root}/version=1")
+    writers.write_table(products.limit(1), "products_x", root)
+    assert writers.expire_versions(spark, root, 3600) == []
+    removed = [p.rsplit("/", 1)[1] for p in writers.expire_versions(spark, root, -1)]
+    assert removed == ["version=0", "version=1"]
+    assert spark.table("products_x").count() == 1
+
+
+def test_partitioned_upsert_keeps_rows_of_a_null_partition(spark):
+    root = scratch.fresh_path(spark, "t")
+    shape = {"id": "int", "v": "string", "part": "string"}
+    writers.write_table(readers.inline_rows(spark, [(1, "x", None), (2, "x", "p"), (3, "x", None)], shape),
+                        "null_parts", root, partition_by=["part"])
+    upsert.upsert_table(spark, "null_parts", readers.inline_rows(spark, [(9, "new", None)], shape),
+                        ["id", "part"], root)
+    got = sorted((r["id"], r["v"], r["part"]) for r in spark.table("null_parts").collect())
+    assert got == [(1, "x", None), (2, "x", "p"), (3, "x", None), (9, "new", None)]
+
+
+def test_marks_that_look_alike_keep_their_own_batches(spark):
+    root = scratch.fresh_path(spark, "i")
+    seen = []
+    for mark in ("a b", "a-b", "a.b", "b", "c" * 200, "d"):
+        seen.append((mark,))
+        assert copyjobs.incremental_copy(readers.inline_rows(spark, seen, {"mark": "string"}), "mark", root) == 1
+    assert sorted(r["mark"] for r in copyjobs.copied_rows(spark, root).collect()) == sorted(m for m, in seen)
+
+
 def test_empty_writes_are_counted(spark, products):
     assert writers.write_files(products.filter("id > 9"), scratch.fresh_path(spark, "e")).rows == 0
 

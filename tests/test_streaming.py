@@ -29,6 +29,15 @@ def test_complete_mode_keeps_late_rows(spark):
     assert [r["count"] for r in rows] == [3, 1]
 
 
+def test_last_complete_of_a_query_resumed_without_input(spark):
+    path = scratch.fresh_path(spark, "out")
+    source = batches(spark, [EARLY, FAR])
+    for _ in range(2):
+        counts = streams.windowed_counts(source, "t", "kind")
+        done = streams.finish(streams.start_complete(counts, path, f"{path}-c", ["window_start"]))
+        assert streams.last_complete(spark, done, path).count() == 2
+
+
 def test_append_mode_drops_late_rows_and_keeps_open_windows_back(spark):
     path = scratch.fresh_path(spark, "out")
     # Late rows are judged by the watermark of the batch before, hence the second far batch.
