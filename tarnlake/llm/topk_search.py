@@ -53,7 +53,9 @@ class QueryBlock:
 
     def __init__(self, ids: np.ndarray, parts: np.ndarray, first: int, k: int, nodes: int):
         self.ids, self.parts, self.first, self.k = ids, parts, first, k
-        self.cuts = np.unique(np.linspace(0, parts.shape[1], nodes + 1).astype(int))
+        cuts = np.unique(np.linspace(0, parts.shape[1], nodes + 1).astype(int))
+        # Vectors without components meet too, on one node, with a score of 0.
+        self.cuts = cuts if len(cuts) > 1 else np.zeros(2, int)
 
     def blocks(self, batches: Iterator[pa.RecordBatch]):
         """Candidates in blocks: their ids, the nodes' partial scores, and where a candidate is the query's."""
@@ -168,7 +170,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, *, key: str = "ve
 
     def answered() -> DataFrame:
         ids = np.array([r["vec_id"] for r in held], np.int64)
-        parts = np.array([r["parts"] for r in held], np.int64).reshape(len(held), -1)
+        parts = np.array([r["parts"] for r in held], np.int64).reshape(len(held), len(held[0]["parts"]))
         # Written, so that a block's scores are not computed again when the next ones are.
         return settle(search_block(pool, QueryBlock(ids, parts, first, k, nodes)), "top-entries")
 
