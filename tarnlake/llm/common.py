@@ -14,6 +14,7 @@ SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 ROWS_PER_CELL = 20_000
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def named(name: str) -> Column:
@@ -93,7 +94,15 @@ def cell_rank(
 
 def settle(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: later steps start from files, whatever
-    executor is lost."""
-    path = fresh_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    executor is lost. The shuffle files behind it are of no more use, and Spark is told to drop them."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, label)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)

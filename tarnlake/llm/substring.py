@@ -23,7 +23,7 @@ from tarnlake.llm.fm_index import FmIndex
 from tarnlake.llm.tokens import slices
 
 WINDOW = 13
-GRAM = 6
+GRAM = 5
 # Windows a stretch may have: no more than grams in a window, so that it stays short.
 MOST_WINDOWS = WINDOW - GRAM + 1
 # A minimizer in more stretches than this is frequent text; its stretches are dealt out window by window.
