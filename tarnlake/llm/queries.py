@@ -87,6 +87,53 @@ def op10_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(loss_text, 256).alias("loss_sha256"), "formatted_chars")
 
 
+ORACLES["op10_budgeted_chat"] = r"""
+WITH turns AS (
+    SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+    UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+    UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+), measured AS (
+    SELECT *, row_number() OVER ordered AS nth, count(*) OVER (PARTITION BY conv_id) AS n,
+           len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) + 2 AS tokens,
+           CASE role WHEN 'assistant' THEN 8 ELSE 14 END + length(role) + length(text)
+               + len(regexp_extract_all(text, '(</?s|\[/?INST)\\*[>\]]')) AS chars
+    FROM turns WINDOW ordered AS (PARTITION BY conv_id ORDER BY turn, role, text)
+), headed AS (
+    SELECT *, nth = 1 AND role = 'system' AND n > 1 AS is_system,
+           coalesce(max(CASE WHEN nth = 1 AND role = 'system' AND n > 1 THEN tokens END) OVER c, 0) AS head_tokens,
+           coalesce(max(CASE WHEN nth = 1 AND role = 'system' AND n > 1 THEN chars END) OVER c, 0) AS head_chars
+    FROM measured WINDOW c AS (PARTITION BY conv_id)
+), summed AS (
+    SELECT *, greatest(1024 - 256 - head_tokens, 1) AS room,
+           sum(tokens) OVER (PARTITION BY conv_id ORDER BY nth) AS ends FROM headed WHERE NOT is_system
+), tiled AS (
+    SELECT *, ends - tokens AS begins, (ends - 1) // room AS tile FROM summed
+), parted AS (
+    SELECT *, CASE WHEN begins // room <> tile AND sum(tokens) OVER (PARTITION BY conv_id, tile) > room
+                   THEN 0 ELSE 1 END AS part FROM tiled
+), spanned AS (
+    SELECT *, min(begins) OVER (PARTITION BY conv_id, tile, part) AS span FROM parted
+), spans AS (
+    SELECT DISTINCT conv_id, span, head_chars FROM spanned
+), held AS (
+    SELECT s.conv_id, s.span, s.head_chars + sum(r.chars) AS chars
+    FROM spans AS s JOIN spanned AS r ON r.conv_id = s.conv_id
+        AND (r.span = s.span OR (r.ends <= s.span AND s.span - r.begins <= 256))
+    GROUP BY s.conv_id, s.span, s.head_chars
+), formatted AS (
+    SELECT conv_id, CAST(sum(chars) AS BIGINT) AS formatted_chars FROM held GROUP BY conv_id
+), whole AS (
+    SELECT conv_id, count(*) AS n_turns,
+           string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY nth) AS all_text,
+           coalesce(string_agg(text, '' ORDER BY nth) FILTER (role = 'assistant'), '') AS loss_text
+    FROM measured GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(all_text) AS turns_sha256, length(loss_text) AS loss_chars,
+       sha256(loss_text) AS loss_sha256, formatted_chars
+FROM whole JOIN formatted USING (conv_id)
+"""
+
+
 @registered
 def op9_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -100,6 +147,32 @@ def op3_fm_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return result.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+ORACLES["op3_fm_substring_dedup"] = r"""
+WITH split AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), windows AS (
+    SELECT doc_id, words, unnest(generate_series(1, len(words) - 12)) AS place FROM split
+), spelled AS (
+    SELECT doc_id, place, array_to_string(words[place:place + 12], ' ') AS spelling FROM windows
+), later AS (
+    SELECT doc_id, place FROM spelled
+    JOIN (SELECT spelling, min(doc_id) AS first FROM spelled GROUP BY spelling) USING (spelling)
+    WHERE first < doc_id
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(generate_series(place, place + 12)) AS place FROM later
+), words AS (
+    SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM split
+), kept AS (
+    SELECT doc_id, count(*) AS n_words, count(g.place) AS n_removed,
+           string_agg(word, ' ' ORDER BY w.place) FILTER (g.place IS NULL) AS kept
+    FROM words AS w LEFT JOIN gone AS g USING (doc_id, place) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
 @registered
 def op4_threshold_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
@@ -137,7 +210,9 @@ def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     path = fresh_path(spark, "token-files")
     places = token_counts.write_token_files(docs, path, public_tokenizers.path(TOKENIZER))
-    counted = token_counts.scan_token_files(spark, path).select("file", "ordinal", "start", "n_tokens", "ended")
+    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
+    counted = token_counts.scan_token_files(spark, path).select(
+        number.alias("file"), "ordinal", "start", "n_tokens", "ended")
     return places.join(counted, ["file", "ordinal"], "left").select(
         "doc_id", "n_tokens", "file", "ordinal", "start", "ended")
 
