@@ -9,58 +9,55 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import named, shuffle_partitions
+from tarnlake.llm.common import named, settle
 from tarnlake.llm.tokens import slices, word_tokens
 
 # The file format: little-endian ids of WIDTH bytes, stored plus one, so that 0 is free to end a document.
 WIDTH, END_ID = 2, 0
 BLOCK_BYTES = 1 << 20
-DOCS_PER_FILE = 10_000
+PARTITIONS = "spark.sql.files.minPartitionNum"
 
 
-def placed(docs: DataFrame, files: int, key: str, text: str) -> DataFrame:
-    """Which file a document goes to, and what orders the documents of a file."""
-    octets = F.coalesce(named(text), F.lit("")).cast("binary")
-    return docs.select(
-        named(key).cast("long").alias("doc_id"), F.xxhash64(octets).alias("tie"), octets.alias("text"),
-        F.pmod(F.xxhash64(named(key), octets), F.lit(files)).cast("int").alias("file"))
-
-
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, files: int | None = None, key: str = "doc_id",
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, key: str = "doc_id",
                       text: str = "text") -> DataFrame:
-    """Tokenise whole documents into flat files ``file=<n>/part-*``, and return where each went: ``doc_id``,
-    ``file`` and ``ordinal`` (its place in the file).
-
-    Spark's text writer puts its line separator behind every row: with two zero bytes that is the format.
-    A null text is an empty one and leaves its separator only. Documents of a file are in the order of key
-    and text hash.
+    """Tokenise whole documents into flat files ``part-<n>-*``, and return where each went: ``doc_id``, ``file``
+    (n) and ``ordinal`` (its place in the file).
+
+    Every task writes the documents of its partition as they come, so that no token is shuffled. Spark's text
+    writer puts its line separator behind every row: with two zero bytes that is the format. A null text is
+    an empty one and leaves its separator only. ``docs`` must have the same partitions and the same order of
+    rows when it is read again, as tables in files and given rows have; the number of partitions is held fixed
+    meanwhile, as Spark else derives it from the executors it has just then.
     """
     spark = docs.sparkSession
-    files = files or max(shuffle_partitions(spark), -(-docs.count() // DOCS_PER_FILE))
-    frame = placed(docs, files, key, text)
+    frame = docs.select(
+        named(key).cast("long").alias("doc_id"), F.coalesce(named(text), F.lit("")).cast("binary").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(tokenizer)
         for batch in batches:
-            texts = batch.column(3).to_pylist()
+            texts = batch.column(1).to_pylist()
             for low, high in slices(texts):
                 counts, ids = words.encode(texts[low:high])
                 data, ends = (ids + 1).astype("<u2").tobytes(), np.cumsum(counts) * WIDTH
                 offsets = np.r_[0, ends].astype(np.int32)
-                ids_column = pa.Array.from_buffers(
-                    pa.binary(), high - low, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(low, high - low) for k in range(3)] + [ids_column],
-                    ["file", "doc_id", "tie", "ids"])
-
-    encoded = frame.select("file", "doc_id", "tie", "text").mapInArrow(
-        encode, "file int, doc_id long, tie long, ids binary")
-    in_order = encoded.repartition(files, "file").sortWithinPartitions("file", "doc_id", "tie")
-    in_order.select("file", F.col("ids").cast("string").alias("value")).write.partitionBy("file").option(
-        "lineSep", "\0" * WIDTH).text(path)
-    order = Window.partitionBy("file").orderBy("doc_id", "tie")
-    return frame.select("doc_id", "file", "tie").select(
-        "doc_id", "file", (F.row_number().over(order) - 1).cast("long").alias("ordinal"))
+                yield pa.RecordBatch.from_arrays([pa.Array.from_buffers(
+                    pa.binary(), high - low, [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])], ["ids"])
+
+    fixed = spark.conf.get(PARTITIONS, None)
+    if fixed is None:
+        spark.conf.set(PARTITIONS, str(spark.sparkContext.defaultParallelism))
+    try:
+        frame.mapInArrow(encode, "ids binary").select(F.col("ids").cast("string").alias("value")) \
+            .write.option("lineSep", "\0" * WIDTH).text(path)
+        # The same columns are read, so that an exchange in docs deals the rows out as it did before.
+        number = F.monotonically_increasing_id()
+        return settle(frame.select(
+            "doc_id", F.spark_partition_id().alias("file"), number.bitwiseAND(F.lit(2**33 - 1)).alias("ordinal"),
+            F.octet_length("text").alias("octets")), "token-places").drop("octets")
+    finally:
+        if fixed is None:
+            spark.conf.unset(PARTITIONS)
 
 
 def scan_token_files(spark: SparkSession, path: str, *, end_id: int = END_ID, width: int = WIDTH,

@@ -44,26 +44,32 @@ def test_blocks_hold_whole_ids(spark, tmp_path):
         token_counts.scan_token_files(spark, str(tmp_path), block_bytes=7)
 
 
-def test_files_written_and_counted(spark, tmp_path):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    places = token_counts.write_token_files(docs, str(tmp_path / "t"), PATH, files=5)
-    counted = token_counts.scan_token_files(spark, str(tmp_path / "t"), block_bytes=4096)
-    got = {r["doc_id"]: r["n_tokens"] for r in places.join(counted, ["file", "ordinal"]).collect()}
+def counts(spark, docs, path):
+    places = token_counts.write_token_files(docs, path, PATH)
+    number = token_counts.F.regexp_extract("path", r"part-(\d+)", 1).cast("int")
+    counted = token_counts.scan_token_files(spark, path, block_bytes=4096).withColumn("file", number)
+    return places, places.join(counted, ["file", "ordinal"], "full").collect()
+
+
+def expected(docs):
     tokenizer = Tokenizer.from_file(PATH)
-    assert got == {r["doc_id"]: len(tokenizer.encode(r["text"], add_special_tokens=False).ids) for r in docs.collect()}
-    files = list((tmp_path / "t").rglob("part-*"))
-    assert len(files) == 5
-    stored = np.concatenate([np.fromfile(f, "<u2") for f in files])
-    assert len(stored) == sum(got.values()) + len(got) and (stored == 0).sum() == len(got)
+    return Counter((r["doc_id"], len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids))
+                   for r in docs.collect())
+
+
+@pytest.mark.parametrize("split", ["128m", "40k"])
+def test_files_written_and_counted(spark, tmp_path, split):
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    _, rows = counts(spark, docs, str(tmp_path / "t"))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == expected(docs)
+    stored = np.concatenate([np.fromfile(f, "<u2") for f in (tmp_path / "t").rglob("part-*")])
+    assert len(stored) == sum(r["n_tokens"] for r in rows) + len(rows) and (stored == 0).sum() == len(rows)
 
 
 def test_oddities(spark, oddities, nothing, tmp_path):
-    places = token_counts.write_token_files(oddities, str(tmp_path / "t"), PATH, files=2)
-    counted = token_counts.scan_token_files(spark, str(tmp_path / "t"))
-    rows = places.join(counted, ["file", "ordinal"]).collect()
-    tokenizer = Tokenizer.from_file(PATH)
-    expected = Counter((r["doc_id"], len(tokenizer.encode(r["text"] or "", add_special_tokens=False).ids))
-                       for r in oddities.collect())
-    assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == expected
-    places = token_counts.write_token_files(nothing, str(tmp_path / "n"), PATH, files=2)
+    _, rows = counts(spark, oddities.repartition(3), str(tmp_path / "t"))
+    assert Counter((r["doc_id"], r["n_tokens"]) for r in rows) == expected(oddities)
+    places = token_counts.write_token_files(nothing, str(tmp_path / "n"), PATH)
     assert places.collect() == []
