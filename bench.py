@@ -24,6 +24,8 @@ HEADLINE = [
     "anomaly_diff_rolling", "anomaly_median_distance", "anomaly_neighbours", "anomaly_spectral",
     "threshold_crossings", "upsert_orders", "partitioned_roundtrip", "stream_window_counts", "stream_to_table",
     "ml_regression_metrics",
+    "running_total_chunked", "row_number_chunked", "rank_chunked", "median_chunked", "anomaly_component",
+    "upsert_partitions", "incremental_copy", "entity_series", "relationship_edges", "table_profile",
 ]
 
 

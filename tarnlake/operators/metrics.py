@@ -118,12 +118,12 @@ def _settled_type(value: Column, measure: Measure, kind: T.DataType) -> Column:
     return value
 
 
-def _join_order(model: Model, links: Sequence[Relationship]) -> list[Relationship]:
+def _join_order(model: Model, links: Sequence[Relationship], small: Mapping[str, bool]) -> list[Relationship]:
     """Links in an order in which each table is reached before it is left, small parents first."""
     waiting, reached, order = list(links), {model.fact}, []
     while waiting:
         ready = [link for link in waiting if link.table in reached]
-        link = next((r for r in ready if is_small(model.tables[r.parent])), ready[0])
+        link = next((r for r in ready if small[r.parent]), ready[0])
         waiting.remove(link)
         reached.add(link.parent)
         order.append(link)
@@ -151,7 +151,10 @@ def evaluate(
     wanted = {model.locate(c): list(vs) for c, vs in (filters or {}).items()}
     chosen = [model.measure(m) for m in measures]
     dims = [t for t, _ in [*groups, *wanted] if t != model.fact]
-    links = _join_order(model, list(dict.fromkeys(link for t in dims for link in model.path_to(t))))
+    needed = list(dict.fromkeys(link for t in dims for link in model.path_to(t)))
+    # Sizes come from the optimiser, which is asked once a table.
+    small = {t: is_small(model.tables[t]) for t in {link.parent for link in needed}}
+    links = _join_order(model, needed, small)
 
     # Inside, a column carries its table's name, since two tables may use one name.
     def inner(table: str, column: str) -> str:
@@ -177,7 +180,7 @@ def evaluate(
     rows = prepared(model.fact, *[c.alias(n) for n, c in parts.items()])
     for step, link in enumerate(links):
         keys = columns_after(step)
-        large_left = [r for r in links[step:] if inner(r.table, r.column) in keys and not is_small(model.tables[r.parent])]
+        large_left = [r for r in links[step:] if inner(r.table, r.column) in keys and not small[r.parent]]
         if presum or (presum is None and large_left == [link]):
             rows = rows.groupBy(*keys).agg(*_merged(chosen))
         # A filtered dimension keeps only rows that match it; else unmatched rows stay, under null.

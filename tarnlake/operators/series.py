@@ -100,12 +100,20 @@ def histogram_score(df: DataFrame, keys: Sequence[str], value: str, out: str = "
     return join_null_safe(placed, settled(rated), [*keys, "__bin"]).drop("__bin")
 
 
+def _with_unscored(scored: DataFrame, df: DataFrame, value: str, out: str) -> DataFrame:
+    """The scored rows and those without a value, whose score is null."""
+    kind = scored.schema[out].dataType
+    rest = df.filter(F.col(value).isNull()).withColumn(out, F.lit(None).cast(kind))
+    return scored.unionByName(rest.select(*scored.columns))
+
+
 def nearest_neighbours(df: DataFrame, keys: Sequence[str], value: str, tie: str, out: str = "score",
                        neighbours: int = NEIGHBOURS, chunks: int | None = None) -> DataFrame:
     """Distance to the k-th nearest other value of the series, exactly.
 
     The k nearest of a number stand next to it in sorted order: of the k+1 runs of k+1 neighbours that
-    hold it, the narrowest reach is the answer. Series of k or fewer values have no score.
+    hold it, the narrowest reach is the answer. Series of k or fewer values and rows without a value have
+    no score.
     """
     k = neighbours
     reaches = [f"__r{i}" for i in range(k + 1)]
@@ -122,7 +130,7 @@ def nearest_neighbours(df: DataFrame, keys: Sequence[str], value: str, tie: str,
     steps = {name: reach(i) for i, name in enumerate(reaches)}
     found = with_neighbours(present, keys, [value, tie], k, k, steps, chunks)
     least = F.least(*reaches) if k else F.col(reaches[0])
-    return found.withColumn(out, least).drop(*reaches)
+    return _with_unscored(found.withColumn(out, least).drop(*reaches), df, value, out)
 
 
 def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "score",
@@ -130,7 +138,7 @@ def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     """Spectral residual over windows of ``rows`` consecutive values of a series.
 
     The transform needs a whole window in memory; the window length bounds every array. The score is
-    the relative distance of the saliency map from its local mean.
+    the relative distance of the saliency map from its local mean. Rows without a value have no score.
     """
     numbered = number_rows(df.filter(F.col(value).isNotNull()), keys, order, "__row", chunks)
     block = [*keys, "__block"]
@@ -159,7 +167,8 @@ def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     values = F.transform("__rows", lambda row: row[value].cast("double"))
     scored = windows.select("__rows", scores(values).alias("__scores"))
     pairs = scored.select(F.inline(F.arrays_zip("__rows", "__scores")))
-    return pairs.select(*[F.col("__rows")[c].alias(c) for c in df.columns], F.col("__scores").alias(out))
+    scored = pairs.select(*[F.col("__rows")[c].alias(c) for c in df.columns], F.col("__scores").alias(out))
+    return _with_unscored(scored, df, value, out)
 
 
 def principal_component(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "score",

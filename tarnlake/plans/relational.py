@@ -195,14 +195,15 @@ def rank_chunked(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("""
-SELECT nullif(l_returnflag, 'R') AS flag, CAST(median(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS median
+SELECT nullif(l_returnflag, 'R') AS flag, round(CAST(median(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE), 4) AS median
 FROM lineitem WHERE l_linenumber <> 4 GROUP BY 1
 """)
 def median_chunked(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem").selectExpr(
         "nullif(l_returnflag, 'R') AS flag",
         "CAST(CASE WHEN l_linenumber <> 4 THEN l_extendedprice END AS DECIMAL(18,2)) AS price")
-    return ordered.median_per_group(lines, ["flag"], "price", "median", CHUNKS)
+    return ordered.median_per_group(lines, ["flag"], "price", "median", CHUNKS).withColumn(
+        "median", F.round("median", 4))
 
 
 @query("""

@@ -82,15 +82,57 @@ def anomaly_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(series.nearest_neighbours(readings(spark, sf), KEYS, VALUE, "event_id"))
 
 
-@query()
+# The Fourier sums of a window and their inverse, each as a join of the window with itself.
+@query("""
+WITH numbered AS (SELECT event_id, event_type, value AS v,
+  row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS r FROM events WHERE value IS NOT NULL),
+b AS (SELECT event_id, event_type, v, r // 256 AS w, r % 256 AS n,
+  count(*) OVER (PARTITION BY event_type, r // 256) AS size FROM numbered),
+spectrum AS (SELECT b.event_type, b.w, b.size, k.n AS k,
+  sum(b.v * cos(2 * pi() * ((k.n * b.n) % b.size) / b.size)) AS re,
+  -sum(b.v * sin(2 * pi() * ((k.n * b.n) % b.size) / b.size)) AS im
+  FROM b JOIN b AS k ON b.event_type = k.event_type AND b.w = k.w GROUP BY b.event_type, b.w, b.size, k.n),
+amplitude AS (SELECT *, sqrt(re * re + im * im) AS a, ln(greatest(sqrt(re * re + im * im), 1e-8)) AS l FROM spectrum),
+residual AS (SELECT *, exp(l - (coalesce(lag(l) OVER o, l) + l + coalesce(lead(l) OVER o, l)) / 3)
+  / CASE WHEN a > 1e-8 THEN a END AS f FROM amplitude WINDOW o AS (PARTITION BY event_type, w ORDER BY k)),
+back AS (SELECT b.event_id, b.event_type, b.w, b.n, b.size,
+  sum(coalesce(f, 0) * (re * cos(2 * pi() * ((k * b.n) % b.size) / b.size) - im * sin(2 * pi() * ((k * b.n) % b.size) / b.size))) AS re,
+  sum(coalesce(f, 0) * (re * sin(2 * pi() * ((k * b.n) % b.size) / b.size) + im * cos(2 * pi() * ((k * b.n) % b.size) / b.size))) AS im
+  FROM b JOIN residual AS s ON b.event_type = s.event_type AND b.w = s.w GROUP BY ALL),
+saliency AS (SELECT *, sqrt(re * re + im * im) / size AS s FROM back),
+local AS (SELECT *, avg(s) OVER (PARTITION BY event_type, w ORDER BY n ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS m
+  FROM saliency)
+SELECT e.event_id, e.event_type, round((s - m) / greatest(m, 1e-8), 6) AS score
+FROM events AS e LEFT JOIN local AS l ON e.event_id = l.event_id
+""")
 def anomaly_spectral(spark: SparkSession, sf: str) -> DataFrame:
-    """Needs a Fourier transform per window, which SQL does not have; tested against numpy."""
     return _shown(series.spectral_residual(readings(spark, sf), KEYS, ORDER, VALUE))
 
 
-@query()
+# The projection on the first axis is (A - b)(A - c) / (a - b)(a - c) with the eigenvalues a > b > c of the
+# covariances A, which have a closed form for three lags.
+@query(f"""
+WITH x AS (SELECT event_id, event_type, value AS x, lag(value, 1) OVER {BY_TIME} AS y, lag(value, 2) OVER {BY_TIME} AS z
+  FROM events),
+m AS (SELECT event_type, avg(x) AS mx, avg(y) AS my, avg(z) AS mz, covar_pop(x, x) AS xx, covar_pop(y, y) AS yy,
+  covar_pop(z, z) AS zz, covar_pop(x, y) AS xy, covar_pop(x, z) AS xz, covar_pop(y, z) AS yz
+  FROM x WHERE x + y + z IS NOT NULL GROUP BY event_type),
+p AS (SELECT *, (xx + yy + zz) / 3 AS q FROM m),
+t AS (SELECT *, sqrt((pow(xx - q, 2) + pow(yy - q, 2) + pow(zz - q, 2) + 2 * (xy * xy + xz * xz + yz * yz)) / 6) AS p FROM p),
+u AS (SELECT *, acos(greatest(-1, least(1, ((xx - q) * ((yy - q) * (zz - q) - yz * yz) - xy * (xy * (zz - q) - yz * xz)
+  + xz * (xy * yz - (yy - q) * xz)) / (2 * p * p * p)))) / 3 AS angle FROM t),
+e AS (SELECT *, q + 2 * p * cos(angle) AS a, q + 2 * p * cos(angle + 2 * pi() / 3) AS c FROM u),
+f AS (SELECT *, 3 * q - a - c AS b FROM e),
+d AS (SELECT event_id, x.event_type, x - mx AS x, y - my AS y, z - mz AS z, xx, yy, zz, xy, xz, yz, a, b, c
+  FROM x LEFT JOIN f USING (event_type)),
+g AS (SELECT *, (xx - c) * x + xy * y + xz * z AS gx, xy * x + (yy - c) * y + yz * z AS gy,
+  xz * x + yz * y + (zz - c) * z AS gz FROM d),
+h AS (SELECT *, (x * ((xx - b) * gx + xy * gy + xz * gz) + y * (xy * gx + (yy - b) * gy + yz * gz)
+  + z * (xz * gx + yz * gy + (zz - b) * gz)) / ((a - b) * (a - c)) AS along FROM g)
+SELECT event_id, event_type, 
+  CASE WHEN along IS NOT NULL THEN round(sqrt(greatest(0, x * x + y * y + z * z - along)), 6) END AS score FROM h
+""")
 def anomaly_component(spark: SparkSession, sf: str) -> DataFrame:
-    """Needs eigenvectors, which SQL does not have; tested against numpy."""
     return _shown(series.principal_component(readings(spark, sf), KEYS, ORDER, VALUE))
 
 

@@ -88,3 +88,13 @@ def test_crossing_needs_a_window_below(spark):
     means = series.window_means(points, ["id"], "at", "t", "10 minutes", "10 minutes")
     found = series.crossings(means, ["id"], 20.0).collect()
     assert [(str(r["window_start"]), r["mean"], r["previous_mean"]) for r in found] == [("2024-01-01 00:20:00", 25.0, 10.0)]
+
+
+def test_rows_without_a_value_come_back_unscored(spark):
+    rows = spark.range(40).selectExpr("id", "'s' AS k", "id AS at", "CASE WHEN id % 4 <> 0 THEN id * id % 17.0D END AS v")
+    near = series.nearest_neighbours(rows, ["k"], "v", "id")
+    spectral = series.spectral_residual(rows, ["k"], ["at", "id"], "v")
+    for scored in (near, spectral):
+        assert sorted(r["id"] for r in scored.collect()) == list(range(40))
+        assert scored.filter("score IS NULL").filter("id % 4 <> 0").count() == 0
+        assert scored.filter("score IS NULL").count() == 10
