@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from functools import lru_cache
 from itertools import islice
@@ -12,6 +13,11 @@ from tokenizers import Tokenizer
 # Fixed value: an added token of the vocabulary; it separates words that are encoded together.
 MARK, MARK_ID = "<|startoftext|>", 49406
 WORDS_AT_ONCE = 2000
+# Words of these characters are cut into parts alike before and after normalising: letters stay single letters in
+# lower case, no apostrophe starts a contraction, and no angle bracket an added token.
+LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+SIMPLE = re.compile(rf"[{LETTERS}!-&(-;=-~]+").fullmatch
+PARTS = re.compile(f"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+").findall
 
 
 class WordTokens:
@@ -23,6 +29,9 @@ class WordTokens:
 
     def __init__(self, path: str, limit: int = 600_000):
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.forget()
 
     def forget(self) -> None:
@@ -36,24 +45,43 @@ class WordTokens:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(encoded.ids, dtype=np.uint32)
 
+    def _simple(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Lengths and ids of simple words, encoded with a space between them: an id that ends a part tells
+        where. None if the parts are not as many as expected."""
+        parts = np.fromiter((1 if w.isalpha() else len(PARTS(w)) for w in words), np.int64, len(words))
+        ids = self._ids(" ".join(words))
+        ends = np.flatnonzero(self.ends[ids])
+        if len(ends) != parts.sum():
+            return None
+        return np.diff(ends[np.cumsum(parts) - 1], prepend=-1), ids
+
+    def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of any words, encoded with a mark between them."""
+        if any(MARK in w for w in words):
+            each = [self._ids(w) for w in words]
+            return np.array([len(ids) for ids in each], np.int64), np.concatenate(each)
+        ids = self._ids(MARK.join(words))
+        cuts = np.flatnonzero(ids == MARK_ID)
+        return np.diff(cuts, prepend=-1, append=len(ids)) - 1, np.delete(ids, cuts)
+
     def _learn(self, words: list[bytes]) -> None:
-        """Encode new words, many in one call with a mark between them."""
-        mark, ids_of, lengths_of = MARK.encode(), [self.ids], []
-        for at in range(0, len(words), WORDS_AT_ONCE):
-            some = words[at:at + WORDS_AT_ONCE]
-            if any(mark in w for w in some):
-                each = [self._ids(w.decode("utf-8", "replace")) for w in some]
-                ids_of += each
-                lengths_of += [len(ids) for ids in each]
-                continue
-            ids = self._ids(mark.join(some).decode("utf-8", "replace"))
-            cuts = np.flatnonzero(ids == MARK_ID)
-            ids_of.append(np.delete(ids, cuts))
-            lengths_of += (np.diff(cuts, prepend=-1, append=len(ids)) - 1).tolist()
-        lengths = np.array(lengths_of, np.int64)
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        """Encode new words, many in one call."""
+        texts = b" ".join(words).decode("utf-8", "replace").split(" ")
+        simple = np.fromiter((SIMPLE(w) is not None for w in texts), bool, len(texts))
+        starts, lengths, stored = np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64), [self.ids]
+        used = len(self.ids)
+        for kind in (True, False):
+            places = np.flatnonzero(simple == kind)
+            for at in range(0, len(places), WORDS_AT_ONCE):
+                some = places[at:at + WORDS_AT_ONCE]
+                chosen = [texts[k] for k in some.tolist()]
+                sizes, ids = (self._simple(chosen) if kind else None) or self._marked(chosen)
+                lengths[some], starts[some] = sizes, used + np.cumsum(sizes) - sizes
+                stored.append(ids)
+                used += len(ids)
+        self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
-        self.ids = np.concatenate(ids_of)
+        self.ids = np.concatenate(stored)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of each UTF-8 text, and all their ids one after another."""
