@@ -14,6 +14,7 @@ from tarnlake.llm.common import named, settle
 NODES = 4
 QUERIES_AT_ONCE = 4096
 VECTORS_AT_ONCE = 512
+MERGES = 64
 ENTRIES = "query long, query_id long, vec_id long, score long"
 
 
@@ -131,9 +132,13 @@ def search_block(vectors: DataFrame, block: QueryBlock) -> DataFrame:
     bottom = np.iinfo(np.int64).min
     gathered = vectors.mapInArrow(block.local_lists, "query int, tops array<long>, least array<long>")
     nodes = len(block.cuts) - 1
-    merged = gathered.groupBy("query").agg(
-        F.slice(F.sort_array(F.flatten(F.collect_list("tops")), asc=False), 1, block.k).alias("tops"),
-        *[F.min(F.col("least")[n]).alias(f"least_{n}") for n in range(nodes)]).toPandas()
+    ends = [F.col("least")[n].alias(f"least_{n}") for n in range(nodes)]
+    highest = F.slice(F.sort_array(F.flatten(F.collect_list("tops")), asc=False), 1, block.k).alias("tops")
+    # In two steps, so that however many tasks there are, their lists of a query don't meet all at once.
+    parts = gathered.select("query", "tops", *ends, F.pmod(F.spark_partition_id(), F.lit(MERGES)).alias("part"))
+    for keys in (["query", "part"], ["query"]):
+        parts = parts.groupBy(*keys).agg(highest, *[F.min(f"least_{n}").alias(f"least_{n}") for n in range(nodes)])
+    merged = parts.toPandas()
     if not len(merged):
         return spark.createDataFrame([], ENTRIES)
     merged = merged.sort_values("query")
