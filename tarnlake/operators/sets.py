@@ -10,6 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarnlake.scratch import fresh_path
+
 ERROR_SCHEMA = "source string, error string"
 
 
@@ -19,15 +21,23 @@ class Gathered:
     errors: DataFrame
 
 
-def gather(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], tag: str = "source") -> Gathered:
+def gather(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], tag: str = "source",
+           fetch: bool = False) -> Gathered:
     """Union the listings of many sources, each row tagged with the source it came from.
 
-    A source that cannot be opened is reported; the others go on. Columns that a source lacks are null.
+    A source that cannot be opened is reported; the others go on. With ``fetch`` each source is read once
+    into the shared folder, so that one which fails while being read is reported too and ends nothing.
+    Columns that a source lacks are null.
     """
     frames, errors = [], []
     for name, open_source in sources.items():
         try:
-            frames.append(open_source().withColumn(tag, F.lit(name)))
+            rows = open_source().withColumn(tag, F.lit(name))
+            if fetch:
+                path = fresh_path(spark, "fetched")
+                rows.write.parquet(path)
+                rows = spark.read.schema(rows.schema).parquet(path)
+            frames.append(rows)
         except (PySparkException, OSError, ValueError) as problem:
             errors.append((name, type(problem).__name__))
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None

@@ -7,12 +7,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tarnlake.session import MB
+from tarnlake.sizing import task_count
+
 # Preview size, range of a row cap, newest runs kept, findings shown.
 PREVIEW_ROWS = 10
 CAP_MIN, CAP_MAX = 1, 100_000
 NEWEST_PER_GROUP = 50
 RECORDS_KEPT = 100
 TOP_FINDINGS = 5
+# Tasks whose newest rows of a group may meet in one.
+TASKS_AT_ONCE = 1000
 
 
 def preview(df: DataFrame, *order: str | Column) -> DataFrame:
@@ -45,14 +50,23 @@ def newest_first(df: DataFrame, time: str, *ties: str) -> DataFrame:
     return df.orderBy(F.desc_nulls_last(time), *ties)
 
 
-def newest_per_group(df: DataFrame, group: str, time: str, tie: str, rows: int = NEWEST_PER_GROUP) -> DataFrame:
+def newest_per_group(df: DataFrame, group: str, time: str, tie: str, rows: int = NEWEST_PER_GROUP,
+                     salts: int | None = None) -> DataFrame:
     """Newest rows of each group.
 
     Spark limits every group inside each input task before the shuffle, so a group that holds most of
-    the table sends only ``rows`` rows per task.
+    the table sends only ``rows`` rows per task. Where that is more than ``TASKS_AT_ONCE`` tasks, their rows
+    are limited once more by (group, salt), so that those of a hot group don't all meet in one task.
     """
-    newest = Window.partitionBy(group).orderBy(F.desc_nulls_last(time), F.desc(tie))
-    return df.withColumn("__n", F.row_number().over(newest)).filter(F.col("__n") <= rows).drop("__n")
+    newest = [F.desc_nulls_last(time), F.desc(tie)]
+    if salts is None:
+        salts = -(-task_count(df, 128 * MB) // TASKS_AT_ONCE)
+    if salts > 1:
+        salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        nth = F.row_number().over(Window.partitionBy(group, "__salt").orderBy(*newest))
+        df = salted.withColumn("__n", nth).filter(F.col("__n") <= rows).drop("__n", "__salt")
+    nth = F.row_number().over(Window.partitionBy(group).orderBy(*newest))
+    return df.withColumn("__n", nth).filter(F.col("__n") <= rows).drop("__n")
 
 
 def top_by_priority(df: DataFrame, priority: str, sequence: str, rows: int = TOP_FINDINGS) -> DataFrame:

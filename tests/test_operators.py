@@ -348,3 +348,17 @@ def test_all_groups_come_back_without_a_cap(spark):
     assert [r["g"] for r in metrics.evaluate(model, ["T"], ["g"], max_rows=3).collect()] == [0, 1, 2]
     with pytest.raises(ValueError):
         metrics.evaluate(model, ["T"], ["g"], max_rows=200_000)
+
+
+def test_a_source_that_fails_while_being_read_is_reported(spark):
+    broken = lambda: spark.range(3).selectExpr("CAST(raise_error('gone') AS BIGINT) AS id")
+    got = sets.gather(spark, {"a": lambda: spark.range(2), "b": broken}, fetch=True)
+    assert [r["id"] for r in got.rows.orderBy("id").collect()] == [0, 1]
+    assert [r["source"] for r in got.errors.collect()] == ["b"]
+
+
+def test_newest_per_group_with_salts(spark):
+    frame = spark.range(0, 3000, 1, 12).selectExpr("id", "IF(id % 3 > 0, 0, id % 7) AS g", "id * 7919 % 1013 AS t")
+    plain = {tuple(r) for r in topk.newest_per_group(frame, "g", "t", "id", 5, salts=1).collect()}
+    assert {tuple(r) for r in topk.newest_per_group(frame, "g", "t", "id", 5, salts=4).collect()} == plain
+    assert len(plain) == 35
