@@ -133,8 +133,9 @@ def stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         if texts:
             yield made()
 
-    listed = wanted.groupBy("doc_id", "crc").agg(
-        F.collect_set(F.struct("start", "windows", "minimizer", "frequent")).alias("found"))
+    # Written, so that the shuffle files of its making are gone before the texts are shuffled.
+    listed = settle(wanted.groupBy("doc_id", "crc").agg(
+        F.collect_set(F.struct("start", "windows", "minimizer", "frequent")).alias("found")), "wanted-segments")
     joined = docs.select("doc_id", "crc", "text").join(listed, ["doc_id", "crc"])
     return joined.select("doc_id", "crc", "text", "found").mapInArrow(cut, STRETCHES)
 
@@ -208,7 +209,7 @@ def shard_results(distinct: DataFrame) -> DataFrame:
 def repeated_windows(docs: DataFrame) -> DataFrame:
     """For ``doc_id``, ``crc`` and ``text`` (binary): the runs of windows to remove from each document, as
     ``runs`` of first window and a bit for each window from there."""
-    found = segments(docs)
+    found = settle(segments(docs), "segments")
     shared = settle(found.groupBy("minimizer").agg(
         F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where(
         "low < high").select("minimizer", (F.col("n") > FREQUENT).alias("frequent")), "shared-minimizers")
