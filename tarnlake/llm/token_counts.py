@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import named, settle
-from tarnlake.llm.tokens import slices, word_tokens
+from tarnlake.llm.tokens import TEXT_BYTES, slices, word_tokens
 
 # The file format: little-endian ids of WIDTH bytes, stored plus one, so that 0 is free to end a document.
 WIDTH, END_ID = 2, 0
@@ -37,7 +37,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, key: str =
         words = word_tokens(tokenizer)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for low, high in slices(texts):
+            for low, high in slices(texts, TEXT_BYTES):
                 counts, ids = words.encode(texts[low:high])
                 data, ends = (ids + 1).astype("<u2").tobytes(), np.cumsum(counts) * WIDTH
                 offsets = np.r_[0, ends].astype(np.int32)
