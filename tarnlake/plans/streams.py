@@ -15,10 +15,14 @@ from tarnlake.sources.readers import scan_path, table
 from tarnlake.streaming import events as streams
 
 
+FILES_AT_ONCE = 256
+
+
 def event_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The events table as a file stream; the pattern matches a file as well as a folder of files."""
     schema = table(spark, sf, "events").schema
-    return streams.event_time(streams.file_stream(spark, f"{sf}/events.parquet*", schema), "ts")
+    # A backlog of many files is taken in steps, so that no batch has to hold all of it.
+    return streams.event_time(streams.file_stream(spark, f"{sf}/events.parquet*", schema, FILES_AT_ONCE), "ts")
 
 
 BUCKET = "make_timestamp((epoch_us(ts) // 30000000) * 30000000)"

@@ -94,17 +94,30 @@ def start_table(df: DataFrame, name: str, path: str, checkpoint: str, once: bool
 def start_complete(df: DataFrame, path: str, checkpoint: str, order: Sequence[str] = (), once: bool = True) -> StreamingQuery:
     """Write the whole result after each trigger, sorted, to a folder of its own per batch.
 
-    A batch that is run again replaces its own folder, so a failure leaves nothing twice.
+    A batch that is run again replaces its own folder, so a failure leaves nothing twice. Only the newest two
+    results stay: the last one, and the one before for those who still read it.
     """
     result = df.orderBy(*order) if order else df
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        files, folders = _batch_folders(batch.sparkSession, path)
+        for number, folder in folders.items():
+            if number < batch_id - 1:
+                files.delete(folder, True)
 
     writer = result.writeStream.outputMode("complete").option("checkpointLocation", checkpoint).foreachBatch(save)
     return _triggered(writer, once).start()
 
 
+def _batch_folders(spark: SparkSession, path: str):
+    """The file system of a path, and its folders ``batch=<n>`` by n."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in files.listStatus(root)]
+    return files, {int(f.getName().removeprefix("batch=")): f for f in found if f.getName().startswith("batch=")}
+
+
 def _triggered(writer, once: bool):
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=TRIGGER)
 
@@ -114,11 +127,7 @@ def last_complete(spark: SparkSession, query: StreamingQuery, path: str) -> Data
 
     That is the newest folder: a query resumed without new input reports a batch that it never wrote.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    names = [status.getPath().getName() for status in files.listStatus(folder)]
-    newest = max(int(n.removeprefix("batch=")) for n in names if n.startswith("batch="))
-    return spark.read.parquet(f"{path}/batch={newest}")
+    return spark.read.parquet(f"{path}/batch={max(_batch_folders(spark, path)[1])}")
 
 
 def finish(query: StreamingQuery) -> StreamingQuery:

@@ -38,6 +38,15 @@ def test_last_complete_of_a_query_resumed_without_input(spark):
         assert streams.last_complete(spark, done, path).count() == 2
 
 
+def test_complete_results_of_old_batches_are_removed(spark):
+    path = scratch.fresh_path(spark, "out")
+    counts = streams.windowed_counts(batches(spark, [EARLY, FAR, FAR, LATE]), "t", "kind")
+    done = streams.finish(streams.start_complete(counts, path, f"{path}-c"))
+    kept = sorted(streams._batch_folders(spark, path)[1])
+    assert len(kept) == 2 and kept[1] == kept[0] + 1 and kept[0] >= 1
+    assert streams.last_complete(spark, done, path).agg(F.sum("count")).first()[0] == 5
+
+
 def test_append_mode_drops_late_rows_and_keeps_open_windows_back(spark):
     path = scratch.fresh_path(spark, "out")
     # Late rows are judged by the watermark of the batch before, hence the second far batch.
