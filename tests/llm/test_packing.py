@@ -107,6 +107,14 @@ def test_odd_documents(spark, oddities, nothing):
     assert packing.pack_documents(nothing, PATH).collect() == []
 
 
+def test_columns_with_the_names_of_helpers(spark):
+    pieces = spark.range(50).selectExpr(
+        "id AS doc_id", "0L AS start", "1 + id * 40 AS length", "'r' AS rank", "id AS cell", "5 AS offset", "1 AS _class")
+    rows = packing.pack(pieces).collect()
+    assert {(r["rank"], r["cell"] == r["doc_id"], r["_class"]) for r in rows} == {("r", True, 1)}
+    assert sum(r["length"] for r in rows if r["offset"] == 0) < sum(r["length"] for r in rows)
+
+
 def test_many_pieces_of_one_length(spark):
     pieces = spark.range(30_000).selectExpr("id AS doc_id", "0L AS start", "IF(id % 3 > 0, 1L, 700L + id % 40) AS length")
     rows = packing.pack(pieces).collect()
