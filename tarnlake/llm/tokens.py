@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 MARK, MARK_ID = "<|startoftext|>", 49406
 WORDS_AT_ONCE = 2000
 # Text that is encoded at once, as its ids and their places take about twenty times as much memory.
-TEXT_BYTES = 3_000_000
+TEXT_BYTES = 2_000_000
 # Words of these characters are cut into parts alike before and after normalising: letters stay single letters in
 # lower case, no apostrophe starts a contraction, and no angle bracket an added token.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
@@ -29,7 +29,7 @@ class WordTokens:
     up to ``limit`` of them; beyond that the store starts afresh, which changes no result.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 250_000):
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)

@@ -19,7 +19,7 @@ def encoded(texts):
     return [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
-@pytest.mark.parametrize("limit", [10, 400_000])
+@pytest.mark.parametrize("limit", [10, 250_000])
 def test_word_by_word_gives_the_ids_of_the_whole_text(spark, limit):
     texts = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()] + ODD
     store, expected = WordTokens(PATH, limit), encoded(texts)
