@@ -18,11 +18,15 @@ from tarnlake.streaming import events as streams
 FILES_AT_ONCE = 256
 
 
-def event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The events table as a file stream; the pattern matches a file as well as a folder of files."""
+def event_stream(spark: SparkSession, sf: str, files_at_once: int | None = FILES_AT_ONCE) -> DataFrame:
+    """The events table as a file stream; the pattern matches a file as well as a folder of files.
+
+    A backlog of many files is taken in steps, so that no batch has to hold all of it. Steps are in the order in
+    which files were written, not in the order of event time: where a watermark drops late rows, the backlog
+    must be one batch (``files_at_once=None``), as a second one would lose rows of windows closed by the first.
+    """
     schema = table(spark, sf, "events").schema
-    # A backlog of many files is taken in steps, so that no batch has to hold all of it.
-    return streams.event_time(streams.file_stream(spark, f"{sf}/events.parquet*", schema, FILES_AT_ONCE), "ts")
+    return streams.event_time(streams.file_stream(spark, f"{sf}/events.parquet*", schema, files_at_once), "ts")
 
 
 BUCKET = "make_timestamp((epoch_us(ts) // 30000000) * 30000000)"
@@ -47,7 +51,7 @@ WITH c AS ({COUNTS_SQL}) SELECT * FROM c WHERE window_end <= (SELECT max(ts) - I
 def stream_append_late(spark: SparkSession, sf: str) -> DataFrame:
     """Append mode emits a window once the watermark has passed its end; the last windows stay open."""
     path = fresh_path(spark, "append-counts")
-    counts = streams.windowed_counts(event_stream(spark, sf), "ts", "event_type")
+    counts = streams.windowed_counts(event_stream(spark, sf, files_at_once=None), "ts", "event_type")
     streams.finish(streams.start_append(counts, path, f"{path}-checkpoint"))
     return streams.wall_clock(scan_path(spark, path), "window_start", "window_end")
 
@@ -75,10 +79,12 @@ def stream_derived_events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS input_rows FROM events")
 def stream_progress(spark: SparkSession, sf: str) -> DataFrame:
-    """Progress of the batches that read something."""
+    """Input rows of all steps of the backlog, under the number of the first."""
     path = fresh_path(spark, "progress")
-    done = streams.finish(streams.start_append(event_stream(spark, sf), path, f"{path}-checkpoint"))
-    return streams.progress_frame(spark, done).filter("input_rows > 0").select("batch_id", "input_rows")
+    streams.finish(streams.start_counted(event_stream(spark, sf), path, f"{path}-checkpoint"))
+    return streams.written_progress(spark, path).agg(
+        F.coalesce(F.min("batch_id"), F.lit(0)).cast("long").alias("batch_id"),
+        F.coalesce(F.sum("input_rows"), F.lit(0)).cast("long").alias("input_rows"))
 
 
 @query("""
@@ -108,7 +114,8 @@ FROM l WHERE mean > 20 AND previous_mean <= 20
 def stream_crossings(spark: SparkSession, sf: str) -> DataFrame:
     """Hourly means of a stream go to a table as their windows close; crossings are read off the table."""
     path = fresh_path(spark, "crossings")
-    means = streams.windowed_means(event_stream(spark, sf), "ts", F.col("value"), "1 hour", "0 seconds", by=["user_id"])
+    backlog = event_stream(spark, sf, files_at_once=None)
+    means = streams.windowed_means(backlog, "ts", F.col("value"), "1 hour", "0 seconds", by=["user_id"])
     streams.finish(streams.start_append(means, path, f"{path}-checkpoint"))
     closed = streams.wall_clock(scan_path(spark, path), "window_start", "window_end")
     return series.crossings(closed, ["user_id"], 20.0).withColumns(

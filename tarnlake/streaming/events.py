@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -91,6 +91,30 @@ def start_table(df: DataFrame, name: str, path: str, checkpoint: str, once: bool
     return _triggered(writer, once).toTable(name)
 
 
+def start_counted(df: DataFrame, path: str, checkpoint: str, once: bool = True) -> StreamingQuery:
+    """Append a stream, a folder of its own per batch, and write the row count of each batch beside it.
+
+    Batches that are run again replace their folders. The counts are a table, so that they don't end where
+    the progress records that a query holds do.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        seen = Observation()
+        batch.observe(seen, F.count(F.lit(1)).alias("input_rows")) \
+            .write.mode("overwrite").parquet(f"{path}/rows/batch={batch_id}")
+        batch.sparkSession.range(1).select(
+            F.lit(batch_id).cast("long").alias("batch_id"), F.lit(seen.get["input_rows"]).cast("long").alias("input_rows"),
+        ).write.mode("overwrite").parquet(f"{path}/progress/batch={batch_id}")
+
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save)
+    return _triggered(writer, once).start()
+
+
+def written_progress(spark: SparkSession, path: str) -> DataFrame:
+    """Batches and their row counts, as written by ``start_counted``."""
+    return spark.read.schema("batch_id bigint, input_rows bigint").parquet(f"{path}/progress/batch=*")
+
+
 def start_complete(df: DataFrame, path: str, checkpoint: str, order: Sequence[str] = (), once: bool = True) -> StreamingQuery:
     """Write the whole result after each trigger, sorted, to a folder of its own per batch.
 

@@ -1,8 +1,13 @@
 import time
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from oracle_check import compare
 from tarnlake import scratch
+from tarnlake.plans import ORACLES, QUERIES
+from tarnlake.plans.streams import FILES_AT_ONCE
 from tarnlake.streaming import events as streams
 
 
@@ -86,3 +91,20 @@ def test_rate_source(spark):
     rows = spark.read.parquet(path)
     assert rows.count() > 0
     assert rows.filter("user_id NOT RLIKE '^user_[0-9]+$' OR event_type NOT IN ('purchase', 'view', 'click')").count() == 0
+
+
+@pytest.fixture(scope="module")
+def backlog(spark):
+    """Events in files of several steps, in no order of time. Late rows are dropped from the third step on."""
+    folder = scratch.fresh_path(spark, "backlog")
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(2 * FILES_AT_ONCE + 188).write.parquet(f"{folder}/events.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["stream_append_late", "stream_crossings", "stream_progress", "stream_window_counts"])
+def test_a_backlog_of_many_files_gives_the_rows_of_the_sql(spark, backlog, name):
+    duck = duckdb.connect()
+    duck.execute("SET TimeZone = 'UTC'")
+    duck.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{backlog}/events.parquet/*.parquet')")
+    assert compare(QUERIES[name](spark, backlog), duck, ORACLES[name]) is None
