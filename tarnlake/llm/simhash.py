@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import named, packed, settle, unpacked
+from tarnlake.llm.common import named, null_free, packed, settle, unpacked
 from tarnlake.llm.tokens import slices
 
 # Fixed value: the seed of the shingle hash.
@@ -54,20 +54,27 @@ def fingerprint_batch(texts: list[bytes], shingle: int) -> np.ndarray:
     return prints.view(np.int64)
 
 
-def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's 64 bits) of every row; a null text is an empty one."""
+def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                 identity: Column | None = None) -> DataFrame:
+    """``doc_id`` and ``fp`` (the fingerprint's 64 bits) of every row; a null text is an empty one.
+
+    With ``identity`` (binary) it comes back beside them, as ``id``.
+    """
+    more = [] if identity is None else [identity.alias("id")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             for low, high in slices(texts, 4_000_000):
+                carried = [batch.column(k).slice(low, high - low) for k in range(2, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(fingerprint_batch(texts[low:high], shingle))],
-                    ["doc_id", "fp"])
+                    [batch.column(0).slice(low, high - low), pa.array(fingerprint_batch(texts[low:high], shingle)),
+                     *carried], ["doc_id", "fp", "id"][:2 + len(carried)])
 
     plain = docs.select(
-        named(key).cast("long").alias("doc_id"), F.coalesce(named(text), F.lit("")).cast("binary").alias("text"))
-    return plain.mapInArrow(scan, "doc_id long, fp long")
+        named(key).cast("long").alias("doc_id"), F.coalesce(named(text), F.lit("")).cast("binary").alias("text"),
+        *more)
+    return plain.mapInArrow(scan, "doc_id long, fp long" + ", id binary" * len(more))
 
 
 def masks(distance: int = DISTANCE, blocks: int = BLOCKS) -> list[int]:
@@ -247,7 +254,8 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """Of each component the row with the smallest key, with its own columns; one row if keys repeat.
 
-    Rows with a null key can't be told from each other by it, and all stay.
+    Rows with a null key can't be told from each other by it, and all stay. This tells rows by their keys alone:
+    where a key has several texts, use ``one_of_each_component``, which loses none.
     """
     found = near_duplicates(docs, key=key, text=text, **options)
     kept = found.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
@@ -255,3 +263,29 @@ def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **o
     rows = frame.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     rows = rows.select("row").union(frame.where("doc_id IS NULL").select("row"))
     return unpacked(rows, docs.columns, {})
+
+
+def row_identity(docs: DataFrame, text: str) -> Column:
+    """256 bits that differ for rows that differ in any column."""
+    others = F.struct(*[named(c) for c in docs.columns if c.lower() != text.lower()])
+    return F.unhex(F.sha2(F.concat(F.to_json(others), null_free(named(text))), 256))
+
+
+def one_of_each_component(docs: DataFrame, *, key: str = "doc_id", text: str = "text", shingle: int = 3,
+                          distance: int = DISTANCE) -> DataFrame:
+    """Of each component of ``near_duplicates`` one row, with its own columns: that with the smallest key, a null
+    key being the largest; of equal keys the one with the least ``row_identity``.
+
+    Rows are told by all their columns, so each component keeps its row where a key has several texts or is
+    null, and a rerun keeps the same ones.
+    """
+    identity = row_identity(docs, text)
+    prints = settle(fingerprints(docs, key=key, text=text, shingle=shingle, identity=identity), "fingerprints")
+    firsts = settle(prints.groupBy("fp").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("keyless"), "doc_id", "id")).alias("first")), "distinct-fingerprints")
+    labels = components(near_links(firsts.select("fp"), distance))
+    kept = firsts.join(labels, "fp", "left").groupBy(F.coalesce("label", "fp").alias("component")).agg(
+        F.min("first").alias("first")).select("first.id")
+    # Rows that are the same in every column become one in each task, before they meet.
+    rows = packed(docs, id=identity).dropDuplicates(["id"]).join(kept, "id", "left_semi")
+    return unpacked(rows, docs.columns, {})

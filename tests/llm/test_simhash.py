@@ -104,3 +104,22 @@ def test_oddities(spark, oddities, nothing):
     assert kept.columns == oddities.columns
     assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 1, 2, 5]
     assert simhash.near_duplicates(nothing).collect() == [] and simhash.one_of_each(nothing).collect() == []
+
+
+def test_rows_of_one_key_each_keep_their_component(spark, oddities, nothing):
+    """Key 5 stands for its own text, and with another text it is a copy of 3."""
+    alone, copied = "a text that nobody else has written down", "two documents hold these very words in this order"
+    rows = [(5, alone, "x"), (5, copied, "x"), (3, copied, "x"), (5, "some third text under the same key", "x"),
+            (None, "nobody knows the key of these words", "x"), (None, "nobody knows the key of these words", "y"),
+            (None, copied, "x"), (3, copied, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = [tuple(r) for r in simhash.one_of_each_component(docs).collect()]
+    langs = [k[2] for k in kept if k[0] is None]
+    assert sorted((k[0] or -1, k[1]) for k in kept) == sorted(
+        [(5, alone), (3, copied), (5, rows[3][1]), (-1, rows[4][1])]) and len(langs) == 1
+    again = simhash.one_of_each_component(docs.orderBy("lang", ascending=False).repartition(3, "lang"))
+    assert sorted(map(str, again.collect())) == sorted(str(r) for r in simhash.one_of_each_component(docs).collect())
+    found = simhash.one_of_each_component(oddities)
+    assert found.columns == oddities.columns and found.schema == oddities.schema
+    assert sorted(r["doc_id"] or -1 for r in found.collect()) == [-1, 1, 2, 5, 5]
+    assert simhash.one_of_each_component(nothing).collect() == []
