@@ -10,13 +10,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.llm import (
-    chat, mixing, packing, quality, sharding, simhash, substring, token_counts, topk_search, toxicity,
+    best_fit, chat, hard_negatives, lexical, mixing, packing, quality, sharding, simhash, substring, token_counts,
+    topk_search, toxicity,
 )
 from tarnlake.llm.common import settle
 from tarnlake.scratch import fresh_path
 from tarnlake.sources.readers import table
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_TOKENIZER = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -217,6 +219,82 @@ def op8_separator_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", "file", "ordinal", "start", "ended")
 
 
+@registered
+def op11_norm_bucket_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 50)
+
+
+ORACLES["op11_norm_bucket_search"] = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS doc, doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents WHERE text IS NOT NULL
+), totals AS (
+    SELECT count(*) AS n_docs, CAST(sum(len(terms)) AS BIGINT) AS n_terms FROM docs WHERE len(terms) > 0
+), items AS (
+    SELECT item, item_id, unnest(list_distinct(terms)) AS term FROM (
+        SELECT row_number() OVER () AS item, item_id, regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+        FROM benchmark WHERE text IS NOT NULL)
+), counts AS (
+    SELECT doc, doc_id, n, term, count(*) AS tf
+    FROM (SELECT doc, doc_id, len(terms) AS n, unnest(terms) AS term FROM docs)
+    WHERE term IN (SELECT term FROM items) GROUP BY doc, doc_id, n, term
+), weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counts, totals GROUP BY term, n_docs
+), impacts AS (
+    SELECT doc, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS impact
+    FROM counts JOIN weights USING (term), totals
+), scores AS (
+    SELECT item, item_id, doc, doc_id, CAST(sum(impact) AS BIGINT) AS score
+    FROM items JOIN impacts USING (term) GROUP BY item, item_id, doc, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS place FROM scores WHERE score > 0
+)
+SELECT item_id, CAST(place AS INTEGER) AS rank, doc_id, score FROM ranked WHERE place <= 50
+"""
+
+
+@registered
+def op12_residue_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    changed = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", changed)
+    return hard_negatives.mine(vectors, vectors.where(F.col("vec_id") % 100 == 0))
+
+
+ORACLES["op12_residue_hard_negatives"] = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS parts
+    FROM embeddings
+    WHERE label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+           CAST(list_dot_product(a.parts, c.parts) AS BIGINT) AS score
+    FROM v AS a JOIN v AS c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), inside AS (
+    SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+           row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+    FROM positives JOIN scores USING (anchor_id)
+    WHERE label <> anchor_label AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM inside WHERE place <= 10
+"""
+
+
+@registered
+def op13_bounded_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
