@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.plans.registry import query
 from tarnlake.scratch import fresh_path
-from tarnlake.sources import copyjobs, readers, upsert, writers
+from tarnlake.sources import copyjobs, keyed, readers, upsert, writers
 from tarnlake.sources.readers import table
 
 ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
@@ -94,8 +94,68 @@ def upsert_partitions(spark: SparkSession, sf: str) -> DataFrame:
     changed = orders.filter("o_orderpriority = '1-URGENT' AND o_orderstatus = 'P'") \
         .withColumn("o_orderstatus", F.lit("X"))
     upsert.upsert_table(spark, name, changed, ["o_orderkey", "o_orderpriority"], root)
-    spark.sql(f"DROP TABLE {name}")
-    return readers.scan_path(spark, f"{root}/version=0")
+    return spark.table(name)
+
+
+@query("""
+SELECT o_orderkey, o_orderstatus, o_totalprice, nullif(nullif(o_orderpriority, '2-HIGH'), '3-MEDIUM') AS o_orderpriority
+FROM orders
+UNION ALL SELECT -1 - o_orderkey, 'N', o_totalprice, NULL FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'
+""")
+def upsert_blank_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Null and empty partition values share a folder: the rows there stay when rows with either come in."""
+    name, root = _name("blank_priority"), fresh_path(spark, "blank_priority")
+    blank = F.expr("nullif(nullif(o_orderpriority, '2-HIGH'), '3-MEDIUM')")
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice", blank.alias("o_orderpriority"))
+    writers.write_table(orders, name, root, partition_by=["o_orderpriority"])
+    added = orders.filter("o_orderpriority = '4-NOT SPECIFIED'").withColumns({
+        "o_orderkey": -1 - F.col("o_orderkey"), "o_orderstatus": F.lit("N"),
+        "o_orderpriority": F.when(F.col("o_orderkey") % 2 == 0, "")})
+    upsert.upsert_table(spark, name, added, ["o_orderkey", "o_orderpriority"], root)
+    return spark.table(name)
+
+
+KEY_CELLS = 64
+
+
+def _recent_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest 1 % of the keys change, and new ones follow them."""
+    orders = table(spark, sf, "orders")
+    newest = orders.agg(F.max("o_orderkey")).first()[0]
+    recent = orders.filter(F.col("o_orderkey") > newest - newest // 100).withColumn("o_orderstatus", F.lit("X"))
+    return recent.unionByName(recent.withColumns({
+        "o_orderkey": F.col("o_orderkey") + newest + 1, "o_orderstatus": F.lit("N")}))
+
+
+RECENT = "o_orderkey > (SELECT max(o_orderkey) - max(o_orderkey) // 100 FROM orders)"
+
+
+@query(f"""
+SELECT o_orderkey, o_custkey, CASE WHEN {RECENT} THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice,
+       o_orderdate, o_orderpriority FROM orders
+UNION ALL SELECT o_orderkey + (SELECT max(o_orderkey) + 1 FROM orders), o_custkey, 'N', o_totalprice, o_orderdate,
+       o_orderpriority FROM orders WHERE {RECENT}
+""")
+def upsert_key_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """The table is cut into ranges of its key: only those that hold a key of the source are written anew."""
+    name, root = _name("keyed_orders"), fresh_path(spark, "keyed_orders")
+    keyed.create_table(table(spark, sf, "orders"), name, root, ["o_orderkey"], KEY_CELLS)
+    keyed.upsert(spark, name, _recent_changes(spark, sf), ["o_orderkey"], root)
+    return keyed.rows(spark, name).select(*table(spark, sf, "orders").columns)
+
+
+@query(f"""
+SELECT {KEY_CELLS}::BIGINT AS files_held, TRUE AS most_files_stayed, count(*) AS rows_in FROM (
+  SELECT * FROM orders WHERE {RECENT} UNION ALL SELECT * FROM orders WHERE {RECENT})
+""")
+def upsert_key_ranges_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Of the ranges held before the upsert, a few were written anew."""
+    name, root = _name("keyed_orders"), fresh_path(spark, "keyed_orders")
+    keyed.create_table(table(spark, sf, "orders"), name, root, ["o_orderkey"], KEY_CELLS)
+    done = keyed.upsert(spark, name, _recent_changes(spark, sf), ["o_orderkey"], root)
+    few = 0 < done.rewritten <= max(2, done.held // 20) and done.added >= 1
+    return writers.history(spark, root).filter("operation = 'merge'").select(
+        F.lit(done.held).cast("long").alias("files_held"), F.lit(few).alias("most_files_stayed"), "rows_in")
 
 
 @query(f"""
@@ -174,6 +234,23 @@ def incremental_copy(spark: SparkSession, sf: str) -> DataFrame:
     return copyjobs.copied_rows(spark, root)
 
 
+@query("""
+SELECT event_id, CASE WHEN event_id % 10 <> 0 THEN date_trunc('hour', ts) END AS changed, event_type FROM events
+""")
+def incremental_copy_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows come late: with the change value of the mark, within the overlap before it, and without one. Every run
+    finds what the runs before did not copy, and nothing twice."""
+    root = fresh_path(spark, "incremental")
+    events = table(spark, sf, "events").select(
+        "event_id", F.when(F.col("event_id") % 10 != 0, F.date_trunc("hour", "ts").cast("timestamp_ntz")).alias("changed"),
+        "event_type")
+    half = events.filter("changed IS NULL OR changed <= TIMESTAMP_NTZ '2024-01-15 00:00:00'")
+    late = "event_id % 7 = 0 AND (changed IS NULL OR changed >= TIMESTAMP_NTZ '2024-01-14 12:00:00')"
+    for rows, keys in ((half.filter(f"NOT ({late})"), ["event_id"]), (half, ["event_id"]), (events, []), (events, ["event_id"])):
+        copyjobs.incremental_copy(rows, "changed", root, keys, F.expr("INTERVAL 12 HOURS"))
+    return copyjobs.copied_rows(spark, root)
+
+
 @query("""
 SELECT c_custkey, c_name, c_acctbal + 10 AS c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'
 UNION ALL SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment <> 'BUILDING'

@@ -219,7 +219,9 @@ def latest_n_per_group(spark: SparkSession, sf: str) -> DataFrame:
 SELECT p_partkey, p_name, p_retailprice FROM part ORDER BY p_partkey LIMIT 1000
 """)
 def capped_read(spark: SparkSession, sf: str) -> DataFrame:
-    return topk.read_columns(table(spark, sf, "part"), ["p_partkey", "p_name", "p_retailprice"], order=["p_partkey"])
+    """The cap is the feature: the first rows by key."""
+    columns = ["p_partkey", "p_name", "p_retailprice"]
+    return topk.read_columns(table(spark, sf, "part"), columns, rows=1000, order=["p_partkey"])
 
 
 @query("""

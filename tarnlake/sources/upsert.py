@@ -36,19 +36,30 @@ def upserted(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataF
     return kept.unionByName(source.select(*target.columns))
 
 
+def storable(source: DataFrame, partitions: Sequence[str]) -> DataFrame:
+    """Empty texts in partition columns as nulls, as which Spark writes them."""
+    texts = [c for c in partitions if source.schema[c].dataType.simpleString() == "string"]
+    return source.withColumns({c: F.expr(f"nullif(`{c}`, '')") for c in texts}) if texts else source
+
+
 def upsert_table(
     spark: SparkSession, name: str, source: DataFrame, keys: Sequence[str], root: str
 ) -> writers.WriteResult:
-    """Upsert into a catalog table: write the next version, then swap."""
+    """Upsert into a catalog table.
+
+    Where all partition columns are keys, only the partitions that the source names are written. Tables in key
+    order (``keyed``) have an upsert of their own, which writes only the files that hold a key of the source. Any
+    other table is written anew.
+    """
+    target, partitions = spark.table(name), writers.partition_columns(spark, name)
+    source = storable(source, partitions)
     rows_in = check_unique(source, keys)
     version = writers.next_version(spark, root)
-    target = spark.table(name)
-    partitions = writers.partition_columns(spark, name)
     if partitions and set(partitions) <= set(keys):
         return _upsert_partitions(spark, name, target, source, keys, partitions, root, version, rows_in)
     done = writers.write_files(
         upserted(target, source, keys), f"{root}/version={version}", partition_by=partitions)
-    writers.publish(spark, name, done.path)
+    writers.publish(spark, name, done.path, target.schema, partitions)
     writers.record_change(spark, root, version, "merge", rows_in, done.rows, done.seconds, done.path)
     return done
 
@@ -56,23 +67,17 @@ def upsert_table(
 def _upsert_partitions(spark, name, target, source, keys, partitions, root, version, rows_in):
     """Rewrite only the partitions that the source names.
 
-    The partition columns are keys, so a row can only meet a row of its own partition. The new content
-    is written aside first, as a folder may not be read and overwritten by one job; should the
-    overwrite fail half-way, the content is still there and the overwrite can be run again. Readers may
-    see some partitions before and some after the upsert while it runs.
+    The partition columns are keys, so a row can only meet a row of its own partition. The new content goes to a
+    folder of its own, at which the catalog's partitions are pointed one by one afterwards: nothing that
+    readers may be reading is overwritten, and an upsert that fails half-way can be run again. Those who begin to
+    read meanwhile see some partitions before and some after it.
     """
     touched = source.select(*partitions).distinct().toDF(*[f"__{p}" for p in partitions])
     # A null partition meets itself here: its rows are carried over like those of any other.
     same = all_of([F.col(p).eqNullSafe(F.col(f"__{p}")) for p in partitions])
     affected = target.join(touched, same, "left_semi")
-    aside = writers.write_files(upserted(affected, source, keys), f"{root}/aside={version}", "overwrite")
+    done = writers.write_files(upserted(affected, source, keys), f"{root}/parts={version}", partition_by=partitions)
+    writers.move_partitions(spark, name, done.path, partitions)
     path = writers.location(spark, name)
-    (
-        writers.rebalance(spark.read.parquet(aside.path), *partitions)
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions).parquet(path)
-    )
-    spark.catalog.recoverPartitions(name)
-    spark.catalog.refreshTable(name)
-    writers.record_change(spark, root, version, "merge", rows_in, aside.rows, aside.seconds, path)
-    return writers.WriteResult(path, aside.rows, aside.seconds)
+    writers.record_change(spark, root, version, "merge", rows_in, done.rows, done.seconds, path)
+    return writers.WriteResult(path, done.rows, done.seconds)

@@ -1,7 +1,10 @@
-"""Table writes that count what they wrote, keep a history, and replace a table in one step.
+"""Table writes that count what they wrote, keep a history, and then move the catalog entry.
 
 A table is a catalog entry over a folder ``<root>/version=<n>``. Every write fills a new folder and then
-points the catalog at it, so readers of the old version go on and a failed write leaves the table alone.
+points the catalog at it, so readers of the old version go on and a failed write leaves the table alone. Of a
+partitioned table the partitions are moved one by one: it is there all the time, and readers who begin
+meanwhile see some partitions before and some after the write. Columns may be added in place; only a write that
+drops a column, changes a type or changes the partitioning has to make the entry anew.
 """
 
 from __future__ import annotations
@@ -9,10 +12,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from time import monotonic
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarnlake.session import MB
 from tarnlake.sizing import scanned_bytes
@@ -20,6 +25,9 @@ from tarnlake.sizing import scanned_bytes
 HISTORY_SCHEMA = ("version bigint, written_at timestamp, operation string, rows_in bigint, rows_out bigint, "
                   "seconds double, path string")
 ROWS_PER_FILE = 20_000_000
+DDL_AT_ONCE = 500
+# Fixed name: the folder in which Spark writes rows whose partition value is null or an empty text.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -43,9 +51,22 @@ def write_files(
     A partitioned write is rebalanced on the partition columns first, so that a partition value gets few
     files of good size, and a very frequent one is still written by several tasks.
     """
-    seen = Observation()
     laid_out = rebalance(df, *partition_by) if partition_by else df
-    counted = laid_out.observe(seen, F.count(F.lit(1)).alias("rows"))
+    return write_laid_out(laid_out, path, partition_by, mode, fmt, rows_per_file, **options)
+
+
+def write_laid_out(
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "errorifexists",
+    fmt: str = "parquet",
+    rows_per_file: int = ROWS_PER_FILE,
+    **options: str,
+) -> WriteResult:
+    """``write_files`` of rows that stay in the tasks they are in."""
+    seen = Observation()
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     writer = counted.write.format(fmt).mode(mode).option("maxRecordsPerFile", rows_per_file).options(**options)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -100,7 +121,7 @@ def next_version(spark: SparkSession, root: str) -> int:
     version = 0
     if path_exists(spark, history_path(root)):
         version = history(spark, root).agg(F.coalesce(F.max("version") + 1, F.lit(0))).first()[0]
-    while path_exists(spark, f"{root}/version={version}"):
+    while path_exists(spark, f"{root}/version={version}") or path_exists(spark, f"{root}/parts={version}"):
         version += 1
     return version
 
@@ -122,21 +143,85 @@ def record_change(
     row.coalesce(1).write.mode("append").parquet(history_path(root))
 
 
-def publish(spark: SparkSession, name: str, path: str) -> DataFrame:
-    """Point the catalog entry at a folder of Parquet files, schema included."""
+def literal(text: str) -> str:
+    """A text as a literal of a SQL statement."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _columns(fields: Sequence[T.StructField]) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in fields)
+
+
+def publish(spark: SparkSession, name: str, path: str, schema: T.StructType | None = None,
+            partition_by: Sequence[str] = ()) -> DataFrame:
+    """Point the catalog entry at a folder of Parquet files, schema included.
+
+    The entry of a table that keeps its columns, or gets more, and keeps its partition columns is there all the time.
+    """
+    found = spark.read.parquet(path).schema if schema is None else schema
+    inside = [f for f in found.fields if f.name not in partition_by]
+    folders = [found[c] for c in partition_by]
     if spark.catalog.tableExists(name):
-        old, new = spark.table(name), spark.read.parquet(path)
-        if old.schema == new.schema and not partition_columns(spark, name):
-            spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
-            spark.catalog.refreshTable(name)
+        held = partition_columns(spark, name)
+        old = [f for f in spark.table(name).schema.fields if f.name not in held]
+        same = [(f.name, f.dataType) for f in inside[:len(old)]] == [(f.name, f.dataType) for f in old]
+        if same and held == list(partition_by) and (not folders or _types(spark, name, held) == _kinds(folders)):
+            if inside[len(old):]:
+                spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({_columns(inside[len(old):])})")
+            if folders:
+                move_partitions(spark, name, path, partition_by, whole=True)
+            else:
+                spark.sql(f"ALTER TABLE {name} SET LOCATION {literal(path)}")
+                spark.catalog.refreshTable(name)
             return spark.table(name)
         spark.sql(f"DROP TABLE {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partition_columns(spark, name):
+    by = f" PARTITIONED BY ({', '.join(f'`{f.name}`' for f in folders)})" if folders else ""
+    spark.sql(f"CREATE TABLE {name} ({_columns([*inside, *folders])}) USING parquet{by} LOCATION {literal(path)}")
+    if folders:
         spark.catalog.recoverPartitions(name)
     return spark.table(name)
 
 
+def _kinds(fields: Sequence[T.StructField]) -> list[T.DataType]:
+    return [f.dataType for f in fields]
+
+
+def _types(spark: SparkSession, name: str, columns: Sequence[str]) -> list[T.DataType]:
+    schema = spark.table(name).schema
+    return _kinds([schema[c] for c in columns])
+
+
+def _partition(folder: str) -> str:
+    """The PARTITION clause for a folder ``a=1/b=x`` of one partition."""
+    pairs = []
+    for part in folder.split("/"):
+        column, _, value = part.partition("=")
+        shown = "null" if value == NULL_FOLDER else literal(unquote(value))
+        pairs.append(f"`{unquote(column)}` = {shown}")
+    return f"PARTITION ({', '.join(pairs)})"
+
+
+def move_partitions(spark: SparkSession, name: str, path: str, partition_by: Sequence[str], whole: bool = False) -> int:
+    """Point the partitions that a folder holds at it, one by one; with ``whole`` all others are taken out of the
+    table. Returns how many were moved or added. No data is touched: this reads folder names, a line a partition."""
+    files, root = _filesystem(spark, path)
+    found = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(root, "/".join(["*=*"] * len(partition_by))))
+    base = files.makeQualified(root).toString()
+    new = [s.getPath().toString().removeprefix(base).strip("/") for s in found]
+    old = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    added = [f"{_partition(f)} LOCATION {literal(f'{base}/{f}')}" for f in new if f not in old]
+    for at in range(0, len(added), DDL_AT_ONCE):
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added[at:at + DDL_AT_ONCE])}")
+    for folder in new:
+        if folder in old:
+            spark.sql(f"ALTER TABLE {name} {_partition(folder)} SET LOCATION {literal(f'{base}/{folder}')}")
+    gone = [_partition(f) for f in sorted(old - set(new))] if whole else []
+    for at in range(0, len(gone), DDL_AT_ONCE):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(gone[at:at + DDL_AT_ONCE])}")
+    spark.catalog.refreshTable(name)
+    return len(new)
+
+
 def location(spark: SparkSession, name: str) -> str:
     """Folder that the catalog entry points at."""
     described = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Location'")
@@ -147,6 +232,10 @@ def partition_columns(spark: SparkSession, name: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
 
 
+def partition_count(spark: SparkSession, name: str) -> int:
+    return spark.sql(f"SHOW PARTITIONS {name}").count()
+
+
 def write_table(
     df: DataFrame,
     name: str,
@@ -168,7 +257,7 @@ def write_table(
         spark.catalog.refreshTable(name)
     elif mode in ("overwrite", "append"):
         done = write_files(df, f"{root}/version={version}", partition_by=partition_by)
-        publish(spark, name, done.path)
+        publish(spark, name, done.path, df.schema, partition_by)
     else:
         raise ValueError(f"unknown mode: {mode}")
     record_change(spark, root, version, operation or mode, done.rows, done.rows, done.seconds, done.path)
@@ -207,11 +296,14 @@ def compact(df: DataFrame, order_by: Sequence[str], file_bytes: int = 512 * MB,
     )
 
 
-def expire_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None = None) -> list[str]:
+def expire_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None = None,
+                    name: str | None = None) -> list[str]:
     """Delete folders that a later write replaced longer ago than the retention; the live one stays.
 
     Folders of writes that failed, which the change history does not name, go when a later version has
     been written and they are as old. This reads metadata of one table only: a line or folder per write.
+    Folders with some partitions (``parts=<n>``) go with the version that their partitions belong to, or, if the
+    table is named, once none of its rows lies in them.
     """
     now = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     changes = history(spark, root)
@@ -223,15 +315,27 @@ def expire_versions(spark: SparkSession, root: str, keep_seconds: float, as_of:
     replaced = later.filter("path <> next_path").filter(age > keep_seconds * 1_000_000)
     live = changes.agg(F.max_by("path", "version").alias("path"))
     old = replaced.select("path").distinct().join(live, "path", "left_anti")
+    gone = [r["path"] for r in old.toLocalIterator()]
+    parts = [f"{root}/parts={r['version']}" for r in changes.filter(F.col("path").isin(gone)).select("version").collect()]
+    if name is not None:
+        parts += _unused_parts(spark, root, name, changes, F.unix_micros(now) - keep_seconds * 1_000_000)
     removed = []
-    for path in [*(r["path"] for r in old.toLocalIterator()), *_failed_versions(spark, root, keep_seconds, as_of)]:
+    for path in [*gone, *parts, *_failed_versions(spark, root, keep_seconds, as_of)]:
         files, target = _filesystem(spark, path)
         if files.exists(target):
             files.delete(target, True)
-            removed.append(path)
+            removed.append(files.makeQualified(target).toString())
     return sorted(removed)
 
 
+def _unused_parts(spark: SparkSession, root: str, name: str, changes: DataFrame, before: Column) -> list[str]:
+    """Folders of partitions, written before a time, in which no row of the table lies. Reads file names only."""
+    folder = F.regexp_extract("_metadata.file_path", r"/parts=(\d+)/", 1)
+    used = {r[0] for r in spark.table(name).select(folder).distinct().collect()}
+    old = changes.filter(F.unix_micros("written_at") < before).select("version").collect()
+    return [f"{root}/parts={r['version']}" for r in old if str(r["version"]) not in used]
+
+
 def _failed_versions(spark: SparkSession, root: str, keep_seconds: float, as_of: str | None) -> list[str]:
     """Version folders below the newest recorded one that no recorded change names, past the retention."""
     recorded = {r["path"]: r["version"] for r in history(spark, root).select("path", "version").collect()}

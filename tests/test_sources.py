@@ -1,10 +1,11 @@
 import datetime as dt
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tarnlake import scratch
-from tarnlake.sources import copyjobs, readers, upsert, writers
+from tarnlake.sources import copyjobs, keyed, readers, upsert, writers
 
 PRODUCTS = {"id": "int", "product_name": "string", "price": "double", "date_created": "string"}
 
@@ -226,3 +227,151 @@ def test_scan_of_a_named_table(spark, products):
     done = writers.write_table(products, "products_s", scratch.fresh_path(spark, "s"))
     assert readers.scan_table(spark, "products_s").count() == done.rows == 3 and done.seconds > 0
     assert readers.scan_path(spark, done.path).columns == list(PRODUCTS)
+
+
+def test_partitioned_upsert_keeps_rows_beside_an_empty_partition_value(spark):
+    root = scratch.fresh_path(spark, "t")
+    shape = {"id": "int", "v": "string", "part": "string"}
+    rows = [(1, "x", None), (2, "x", "p"), (3, "x", None), (4, "x", ""), (5, "x", "a:b'c%\\d e+f")]
+    writers.write_table(readers.inline_rows(spark, rows, shape), "blank_parts", root, partition_by=["part"])
+    upsert.upsert_table(spark, "blank_parts", readers.inline_rows(
+        spark, [(9, "new", ""), (5, "new", "a:b'c%\\d e+f"), (7, "new", "01")], shape), ["id", "part"], root)
+    got = sorted((r["id"], r["v"], r["part"]) for r in spark.table("blank_parts").collect())
+    assert got == [(1, "x", None), (2, "x", "p"), (3, "x", None), (4, "x", None), (5, "new", "a:b'c%\\d e+f"),
+                   (7, "new", "01"), (9, "new", None)]
+    # Untouched partitions stay where they were, and no folder is written into.
+    assert spark.read.parquet(f"{root}/version=0").count() == 5
+    assert spark.read.parquet(f"{root}/parts=1").count() == 6
+
+
+def test_incremental_copy_of_null_equal_and_late_marks(spark):
+    """The rows of the third run were there from the second on: without a change value, and equal to the mark."""
+    shape = {"id": "int", "changed": "int"}
+    root = scratch.fresh_path(spark, "i")
+    runs = [[(1, 5), (2, None)], [(1, 5), (2, None), (3, None), (4, 5), (5, 4)], [(1, 5), (2, None), (3, None), (4, 5), (5, 4), (6, 5), (6, 5)]]
+    counts = [copyjobs.incremental_copy(readers.inline_rows(spark, r, shape), "changed", root, ["id"], F.lit(2)) for r in runs[:2]]
+    assert counts == [2, 3]
+    assert copyjobs.incremental_copy(readers.inline_rows(spark, runs[2], shape), "changed", root) == 2
+    assert copyjobs.incremental_copy(readers.inline_rows(spark, runs[2], shape), "changed", root) == 0
+    got = sorted(((r["id"], r["changed"]) for r in copyjobs.copied_rows(spark, root).collect()), key=str)
+    assert got == sorted(runs[2], key=str)
+
+
+def test_incremental_copy_from_marks_that_are_null(spark):
+    shape = {"id": "int", "changed": "string"}
+    root = scratch.fresh_path(spark, "i")
+    assert copyjobs.incremental_copy(readers.inline_rows(spark, [], shape), "changed", root) == 0
+    assert copyjobs.incremental_copy(readers.inline_rows(spark, [(1, None)], shape), "changed", root) == 1
+    assert copyjobs.incremental_copy(readers.inline_rows(spark, [(1, None), (2, None), (3, "a")], shape), "changed", root) == 2
+    assert copyjobs.copied_rows(spark, root).count() == 3
+
+
+def test_a_batch_without_its_mark_is_written_again(spark):
+    shape = {"id": "int", "changed": "int"}
+    root = scratch.fresh_path(spark, "i")
+    rows = readers.inline_rows(spark, [(1, 1), (2, 2), (3, 2)], shape)
+    copyjobs.incremental_copy(rows.filter("id < 3"), "changed", root)
+    # A run that ended between its rows and its mark.
+    rows.filter("id = 3").write.parquet(f"{root}/rows/batch=1")
+    assert copyjobs.incremental_copy(rows, "changed", root) == 1
+    assert sorted(r["id"] for r in copyjobs.copied_rows(spark, root).collect()) == [1, 2, 3]
+
+
+def test_readers_never_miss_a_partitioned_table_while_it_is_overwritten(spark):
+    root, name = scratch.fresh_path(spark, "t"), "always_there"
+
+    def write(n):
+        rows = spark.range(40).selectExpr(f"id + {n} AS id", f"CAST((id + {n}) % 5 AS string) AS part")
+        writers.write_table(rows if n % 2 else rows.filter("part <> '3'"), name, root, partition_by=["part"])
+
+    write(1)
+    stop, problems, seen = threading.Event(), [], set()
+
+    def read():
+        while not stop.is_set():
+            try:
+                seen.add(spark.table(name).count())
+            except Exception as problem:  # noqa: BLE001
+                problems.append(str(problem)[:300])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for n in (2, 3, 4, 5):
+            write(n)
+    finally:
+        stop.set()
+        reader.join()
+    assert not problems and 0 not in seen
+    assert spark.table(name).agg(F.min("id"), F.max("id"), F.count("*")).first()[:] == (5, 44, 40)
+    assert spark.table(name).schema["part"].dataType.simpleString() == "string"
+
+
+def test_columns_are_added_in_place(spark):
+    root = scratch.fresh_path(spark, "t")
+    for name, by in (("grown", []), ("grown_parts", ["part"])):
+        rows = spark.range(6).selectExpr("id", "id % 2 AS part")
+        writers.write_table(rows, name, f"{root}/{name}", partition_by=by)
+        wider = spark.range(4).selectExpr("id", "id % 2 AS part", "'x' AS more") if not by else \
+            spark.range(4).selectExpr("id", "'x' AS more", "id % 2 AS part")
+        writers.write_table(wider, name, f"{root}/{name}", partition_by=by)
+        assert spark.table(name).columns == wider.columns
+        assert spark.table(name).filter("more = 'x'").count() == 4 == spark.table(name).count()
+
+
+KEYED = {"id": "int", "kind": "string", "v": "string"}
+
+
+def keyed_table(spark, name, rows, cells=8):
+    root = scratch.fresh_path(spark, name)
+    keyed.create_table(readers.inline_rows(spark, rows, KEYED), name, root, ["id", "kind"], cells)
+    return root
+
+
+def keyed_rows(spark, name):
+    return sorted((tuple(r) for r in keyed.rows(spark, name).collect()), key=str)
+
+
+def test_keyed_upsert_writes_only_what_it_hits(spark):
+    rows = [(i, k, "old") for i in range(100) for k in "ab"]
+    root = keyed_table(spark, "keyed_t", rows)
+    changes = [(41, "a", "new"), (42, "b", "new"), (41, "c", "added"), (500, "a", "added"), (None, "a", "added"), (7, None, "added")]
+    done = keyed.upsert(spark, "keyed_t", readers.inline_rows(spark, changes, KEYED), ["id", "kind"], root)
+    assert done.held == 8 and 1 <= done.rewritten <= 2 and done.added == 1
+    wanted = {(i, k): v for i, k, v in rows} | {(i, k): v for i, k, v in changes}
+    assert keyed_rows(spark, "keyed_t") == sorted(((i, k, v) for (i, k), v in wanted.items()), key=str)
+    # Null keys match nothing, and cells that were added are found again.
+    again = readers.inline_rows(spark, [(None, "a", "twice"), (500, "a", "newer"), (3, "a", "newer")], KEYED)
+    done = keyed.upsert(spark, "keyed_t", again, ["id", "kind"], root)
+    assert done.held == 9 and done.rewritten == 2
+    got = keyed_rows(spark, "keyed_t")
+    assert len(got) == len(wanted) + 1 and (500, "a", "newer") in got and (None, "a", "twice") in got and (None, "a", "added") in got
+
+
+def test_keyed_upsert_oddities(spark):
+    rows = [(1, "a", "x"), (1, "a", "y"), (2, "a", None), (None, None, "x")]
+    root = keyed_table(spark, "keyed_odd", rows, cells=3)
+    source = readers.inline_rows(spark, [(1, "a", "one")], KEYED)
+    with pytest.raises(upsert.DuplicateKeys):
+        keyed.upsert(spark, "keyed_odd", source.union(source), ["id", "kind"], root)
+    keyed.upsert(spark, "keyed_odd", source, ["id", "kind"], root)
+    assert keyed_rows(spark, "keyed_odd") == sorted([(1, "a", "one"), (2, "a", None), (None, None, "x")], key=str)
+    done = keyed.upsert(spark, "keyed_odd", source.filter("false"), ["id", "kind"], root)
+    assert (done.rewritten, done.added, done.rows) == (0, 0, 0) and len(keyed_rows(spark, "keyed_odd")) == 3
+    empty = keyed_table(spark, "keyed_empty", [])
+    keyed.upsert(spark, "keyed_empty", source, ["id", "kind"], empty)
+    assert keyed_rows(spark, "keyed_empty") == [(1, "a", "one")]
+
+
+def test_folders_of_partitions_expire(spark):
+    root = keyed_table(spark, "keyed_old", [(i, "a", "x") for i in range(20)], cells=2)
+    for v in ("y", "z"):
+        keyed.upsert(spark, "keyed_old", readers.inline_rows(spark, [(3, "a", v)], KEYED), ["id", "kind"], root)
+    assert writers.expire_versions(spark, root, 0) == []
+    removed = writers.expire_versions(spark, root, -1, name="keyed_old")
+    assert [p.rsplit("/", 1)[1] for p in removed] == ["parts=1"]
+    assert sorted(r[2] for r in keyed_rows(spark, "keyed_old")) == ["x"] * 19 + ["z"]
+    keyed.create_table(readers.inline_rows(spark, [(1, "a", "x")], KEYED), "keyed_old", root, ["id", "kind"], 1)
+    removed = writers.expire_versions(spark, root, -1, name="keyed_old")
+    assert [p.rsplit("/", 1)[1] for p in removed] == ["parts=2", "version=0"]
+    assert keyed_rows(spark, "keyed_old") == [(1, "a", "x")]
