@@ -33,7 +33,12 @@ def cluster_conf(input_bytes: int, cores: int, partition_bytes: int = 128 * MB)
     }
 
 
-def build_session(app: str = "tarnlake", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(app: str = "tarnlake", master: str | None = None, input_bytes: int | None = None,
+                  cores: int | None = None, **conf: str) -> SparkSession:
+    """A session with the library's settings. Told the size of the input and the number of cores, it also gets those
+    of ``cluster_conf``; settings given by name go before both."""
+    if input_bytes is not None and cores is not None:
+        conf = cluster_conf(input_bytes, cores) | conf
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

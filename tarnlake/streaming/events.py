@@ -115,6 +115,43 @@ def written_progress(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("batch_id bigint, input_rows bigint").parquet(f"{path}/progress/batch=*")
 
 
+def start_split_late(df: DataFrame, time: str, width: str, path: str, checkpoint: str, watermark: str = WATERMARK,
+                     once: bool = True) -> StreamingQuery:
+    """Write a stream in two parts: the rows that a windowed count under the watermark takes, and those that it
+    drops without a word, since their window has closed.
+
+    A window has closed in a batch if its end is not after the watermark which the batch before went by: the greatest time
+    of all batches ahead of that one, less the delay. Each batch writes a folder of its own, and the greatest
+    time so far beside it; a batch that is run again replaces both.
+    """
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        spark, seen = batch.sparkSession, Observation()
+        marks = spark.read.schema("mark timestamp")
+        closed = F.lit(None).cast("timestamp")
+        if batch_id >= 2:
+            ahead = marks.parquet(f"{path}/marks/batch={batch_id - 2}").first()["mark"]
+            # Watermarks are whole milliseconds.
+            closed = F.date_trunc("millisecond", F.lit(ahead)) - F.expr(f"INTERVAL {watermark}")
+        late = F.coalesce(F.window(time, width)["end"] <= closed, F.lit(False))
+        batch.withColumn("is_late", late).observe(seen, F.max(time).alias("mark")) \
+            .write.mode("overwrite").partitionBy("is_late").parquet(f"{path}/rows/batch={batch_id}")
+        own = spark.range(1).select(F.lit(seen.get["mark"]).cast("timestamp").alias("mark"))
+        if batch_id:
+            own = own.unionByName(marks.parquet(f"{path}/marks/batch={batch_id - 1}"))
+        own.agg(F.max("mark").alias("mark")).write.mode("overwrite").parquet(f"{path}/marks/batch={batch_id}")
+
+    writer = df.writeStream.option("checkpointLocation", checkpoint).foreachBatch(save)
+    return _triggered(writer, once).start()
+
+
+def split_rows(spark: SparkSession, schema: T.StructType, path: str, late: bool) -> DataFrame:
+    """The late rows, or the others, of ``start_split_late``, with the ``batch`` that they came in."""
+    fields = [*schema.fields, T.StructField("batch", T.LongType()), T.StructField("is_late", T.BooleanType())]
+    rows = spark.read.schema(T.StructType(fields)).option("basePath", f"{path}/rows").parquet(f"{path}/rows/batch=*")
+    return rows.filter(F.col("is_late") == late).drop("is_late")
+
+
 def start_complete(df: DataFrame, path: str, checkpoint: str, order: Sequence[str] = (), once: bool = True) -> StreamingQuery:
     """Write the whole result after each trigger, sorted, to a folder of its own per batch.
 
