@@ -178,10 +178,24 @@ FROM customer
 """)
 def row_number_chunked(spark: SparkSession, sf: str) -> DataFrame:
     customers = table(spark, sf, "customer").selectExpr("c_custkey", "c_name", "nullif(c_nationkey, 3) AS nation")
-    return ordered.number_rows(customers, ["nation"], ["c_name", "c_custkey"], "row_number", CHUNKS).select(
+    # So many chunks that each nation is larger than one.
+    return ordered.number_rows(customers, ["nation"], ["c_name", "c_custkey"], "row_number", 8 * CHUNKS).select(
         "c_custkey", "row_number")
 
 
+@query("""
+SELECT event_id, CASE WHEN user_id % 3 <> 0 THEN user_id END AS party, row_number() OVER (
+       PARTITION BY CASE WHEN user_id % 3 <> 0 THEN user_id END ORDER BY event_type, value DESC, event_id) AS row_number
+FROM events
+""")
+def row_number_hot_group(spark: SparkSession, sf: str) -> DataFrame:
+    """A third of all rows in one group: it is cut along a text, a number and the key; the others are not."""
+    events = table(spark, sf, "events").selectExpr(
+        "event_id", "CASE WHEN user_id % 3 <> 0 THEN user_id END AS party", "event_type", "value")
+    by = ["event_type", ordered.Order("value", True), "event_id"]
+    return ordered.number_rows(events, ["party"], by, "row_number", CHUNKS).select("event_id", "party", "row_number")
+
+
 @query("""
 SELECT o_orderkey, rank() OVER (PARTITION BY o_orderpriority
        ORDER BY CASE WHEN o_orderkey % 5 <> 0 THEN o_totalprice END DESC NULLS LAST) AS rank

@@ -34,12 +34,17 @@ def test_row_numbers(rows, descending):
     same(o.number_rows(rows, ["key"], order, "n", 7), o.number_rows(rows, ["key"], order, "n", 1))
 
 
+def chunk_sizes(df):
+    return sorted(r["count"] for r in df.groupBy(o.CHUNK).count().collect())
+
+
 def test_hot_value_is_cut_along_second_column(rows):
-    placed = o.with_chunks(rows, ["at", "id"], 12)
-    sizes = placed.groupBy(o.CHUNK, o.SUB).count().agg(F.max("count")).first()[0]
-    assert sizes < 900
-    assert placed.filter("at = 77").select(o.CHUNK).distinct().count() == 1
-    assert placed.filter("at = 77").select(o.SUB).distinct().count() > 3
+    placed = o.with_chunks(rows, ["key"], ["at", "id"], 12)
+    assert max(chunk_sizes(placed)) < 900
+    assert placed.filter("at = 77").select(o.CHUNK).distinct().count() > 3
+    # A hot decimal, and rows that tie in all but their group.
+    prices = rows.selectExpr("key", "IF(id % 2 = 0, 1.50BD, price) AS price", "CAST(id AS string) AS name")
+    assert max(chunk_sizes(o.with_chunks(prices, [], ["price", o.Order("name", True)], 10))) < 1000
 
 
 def test_running_total_shares_ties(rows):
@@ -82,7 +87,7 @@ def test_without_keys_and_by_text(rows):
          o.number_rows(named, ["key"], [o.Order("name", True), "id"], "n", 1))
     same(o.running_total(named, [], "name", "amount", "t", 6), o.running_total(named, [], "name", "amount", "t", 1))
     same(o.median_per_group(rows, [], "x", "m", 4), o.median_per_group(rows, [], "x", "m", 1))
-    assert o.with_chunks(named, ["name"], 6).select(o.CHUNK).distinct().count() > 1
+    assert len(chunk_sizes(o.with_chunks(named, ["key"], ["name"], 6))) > 1
 
 
 def test_signed_zero_and_nan_order_like_the_window(spark):
@@ -105,7 +110,29 @@ def test_null_and_decimal_amounts_give_one_value_and_one_type(rows, spark):
     assert cut.filter("t IS NULL").count() == 40
 
 
-def test_texts_are_cut_behind_what_they_share(spark):
-    names = spark.range(20_000).selectExpr("concat('Customer#', lpad(id, 9, '0')) AS name")
-    sizes = [r["count"] for r in o.with_chunks(names, ["name"], 8).groupBy(o.CHUNK).count().collect()]
-    assert len(sizes) == 8 and max(sizes) < 5000
+def test_texts_are_cut_evenly(spark):
+    """One name unlike all others changes nothing."""
+    names = spark.range(100_000).selectExpr("concat('Customer#', lpad(id, 9, '0')) AS name").union(
+        spark.sql("SELECT 'A'"))
+    sizes = chunk_sizes(o.with_chunks(names, [], ["name"], 8))
+    assert len(sizes) == 8 and max(sizes) < 20_000
+
+
+def test_only_heavy_groups_are_cut(rows):
+    seen = {}
+
+    def plain(some):
+        seen["plain"] = {r["key"] for r in some.select("key").distinct().collect()}
+        return some.withColumn("n", o.F.lit(0))
+
+    def cut(some, n):
+        seen["cut"], seen["chunks"] = {r["key"] for r in some.select("key").distinct().collect()}, n
+        return some.withColumn("n", o.F.lit(1))
+
+    done = o.by_weight(rows, ["key"], 10, plain, cut)
+    assert seen["cut"] == {"hot"} and None in seen["plain"] and "hot" not in seen["plain"] and seen["chunks"] == 7
+    assert done.count() == 4000
+    # No group is heavier than half of the table but one; without keys there is one group.
+    o.by_weight(rows.filter("key <> 'hot' OR key IS NULL"), ["key"], 3, plain, None)
+    o.by_weight(rows, [], 3, None, cut)
+    assert seen["cut"] == seen["plain"] | {"hot"} and seen["chunks"] == 3
