@@ -26,6 +26,7 @@ WINDOW_ROWS = 5
 HISTOGRAM_BINS = 10
 NEIGHBOURS = 5
 SPECTRAL_ROWS = 256
+ESTIMATED = 5
 EMBEDDING = 3
 
 
@@ -134,30 +135,55 @@ def nearest_neighbours(df: DataFrame, keys: Sequence[str], value: str, tie: str,
 
 
 def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "score",
-                      rows: int = SPECTRAL_ROWS, chunks: int | None = None) -> DataFrame:
+                      rows: int = SPECTRAL_ROWS, hop: int | None = None, estimated: int = 0, history: bool = False,
+                      chunks: int | None = None) -> DataFrame:
     """Spectral residual over windows of ``rows`` consecutive values of a series.
 
     The transform needs a whole window in memory; the window length bounds every array. The score is
     the relative distance of the saliency map from its local mean. Rows without a value have no score.
+
+    Windows begin every ``hop`` rows (by default they don't overlap), up to the one that reaches the series' end.
+    A window may be lengthened by ``estimated`` points that go on from its last rows, so that these aren't judged at
+    an edge. A row in several windows has the mean of their scores, or with ``history`` the score
+    of the window that holds most rows before it.
     """
+    hop = rows if hop is None else hop
     numbered = number_rows(df.filter(F.col(value).isNotNull()), keys, order, "__row", chunks)
+    at = F.col("__row") - 1
+    first = F.greatest(F.lit(0), F.floor((at - rows) / hop) + 1).cast("long")
+    if hop == rows:
+        placed = numbered.withColumn("__block", F.floor(at / rows))
+    else:
+        sizes = numbered.groupBy(*keys).agg(F.count(F.lit(1)).alias("__size"))
+        placed = join_null_safe(numbered, settled(sizes), keys)
+        last = F.least(F.floor(at / hop), F.greatest(F.lit(0), F.ceil((F.col("__size") - rows) / hop))).cast("long")
+        placed = placed.withColumn("__block", F.explode(F.sequence(first, last))).drop("__size")
     block = [*keys, "__block"]
     windows = (
-        numbered.withColumn("__block", F.floor((F.col("__row") - 1) / rows))
-        .repartition(task_count(df), *block).groupBy(*block)
+        placed.repartition(task_count(df), *block).groupBy(*block)
         .agg(F.sort_array(F.collect_list(F.struct("__row", *df.columns))).alias("__rows"))
     )
 
     @F.pandas_udf("array<double>")
     def scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         # Nested, so that it travels to the workers by value: they need not have this package.
+        def lengthened(values: np.ndarray) -> np.ndarray:
+            """The values and points on the mean slope of the lines from the last rows to the last one."""
+            reach = min(estimated, len(values) - 1)
+            if not reach:
+                return np.concatenate([values, np.repeat(values[-1:], estimated)])
+            back = np.arange(1, reach + 1)
+            slope = ((values[-1] - values[-1 - back]) / back).mean()
+            return np.concatenate([values, np.repeat(values[-reach] + slope * reach, estimated)])
+
         def score(values: np.ndarray) -> np.ndarray:
-            spectrum = np.fft.fft(values)
+            n = len(values)
+            spectrum = np.fft.fft(lengthened(values) if estimated else values)
             amplitude = np.abs(spectrum)
             logs = np.log(np.maximum(amplitude, 1e-8))
             residual = logs - np.convolve(np.pad(logs, (1, 1), mode="edge"), np.ones(3) / 3, mode="valid")
             phase = np.where(amplitude > 1e-8, spectrum / np.maximum(amplitude, 1e-8), 0)
-            saliency = np.abs(np.fft.ifft(np.exp(residual) * phase))
+            saliency = np.abs(np.fft.ifft(np.exp(residual) * phase))[:n]
             local = pd.Series(saliency).rolling(21, min_periods=1).mean().to_numpy()
             return (saliency - local) / np.maximum(local, 1e-8)
 
@@ -165,10 +191,19 @@ def spectral_residual(df: DataFrame, keys: Sequence[str], order: Sequence[str],
             yield batch.map(lambda values: score(np.asarray(values, dtype="float64")))
 
     values = F.transform("__rows", lambda row: row[value].cast("double"))
-    scored = windows.select("__rows", scores(values).alias("__scores"))
-    pairs = scored.select(F.inline(F.arrays_zip("__rows", "__scores")))
-    scored = pairs.select(*[F.col("__rows")[c].alias(c) for c in df.columns], F.col("__scores").alias(out))
-    return _with_unscored(scored, df, value, out)
+    scored = windows.select("__block", "__rows", scores(values).alias("__scores"))
+    pairs = scored.select("__block", F.inline(F.arrays_zip("__rows", "__scores")))
+    scored = pairs.select("__block", F.col("__rows")["__row"].alias("__row"),
+                          *[F.col("__rows")[c].alias(c) for c in df.columns], F.col("__scores").alias(out))
+    if hop < rows and history:
+        scored = scored.filter(F.col("__block") == first)
+    elif hop < rows:
+        names = [f"__c{k}" for k in range(len(df.columns))]
+        whole = F.struct(*[F.col(c).alias(n) for c, n in zip(df.columns, names)])
+        merged = scored.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], "__row").agg(
+            F.first(whole).alias("__whole"), F.avg(out).alias(out))
+        scored = merged.select(*[F.col("__whole")[n].alias(c) for c, n in zip(df.columns, names)], out)
+    return _with_unscored(scored.select(*df.columns, out), df, value, out)
 
 
 def principal_component(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str = "score",

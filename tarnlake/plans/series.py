@@ -109,6 +109,61 @@ def anomaly_spectral(spark: SparkSession, sf: str) -> DataFrame:
     return _shown(series.spectral_residual(readings(spark, sf), KEYS, ORDER, VALUE))
 
 
+def _overlapping_sql(hop: int, points: int, row_score: str) -> str:
+    """Windows of 256 rows that begin every ``hop`` rows, each with ``points`` estimated points behind."""
+    return f"""
+WITH numbered AS (SELECT event_id, event_type, value AS v,
+  row_number() OVER (PARTITION BY event_type ORDER BY ts, event_id) - 1 AS r,
+  count(*) OVER (PARTITION BY event_type) AS series FROM events WHERE value IS NOT NULL),
+spread AS (SELECT *, greatest(0, CAST(floor((r - 256) / {hop}) AS BIGINT) + 1) AS first_w,
+  least(r // {hop}, greatest(0, CAST(ceil((series - 256) / {hop}) AS BIGINT))) AS last_w FROM numbered),
+b AS (SELECT event_id, event_type, v, first_w, w, r - w * {hop} AS n, count(*) OVER (PARTITION BY event_type, w) AS size
+  FROM (SELECT *, unnest(generate_series(first_w, last_w)) AS w FROM spread)),
+lines AS (SELECT b.event_type, b.w, avg((e.v - b.v) / (e.n - b.n)) AS slope, count(*) AS reach
+  FROM b JOIN b AS e ON e.event_type = b.event_type AND e.w = b.w AND e.n = e.size - 1
+  WHERE b.n < e.n AND b.n >= e.n - {points} GROUP BY b.event_type, b.w),
+past AS (SELECT l.event_type, l.w, b.v + slope * reach AS v FROM lines AS l JOIN b ON b.event_type = l.event_type
+  AND b.w = l.w AND b.n = b.size - reach
+  UNION ALL SELECT event_type, w, v FROM b WHERE size = 1),
+x AS (SELECT event_type, w, n, v, size + {points} AS size FROM b
+  UNION ALL SELECT p.event_type, p.w, s.size + i, p.v, s.size + {points} FROM past AS p
+  JOIN (SELECT DISTINCT event_type, w, size FROM b) AS s USING (event_type, w), range({points}) AS t(i)),
+spectrum AS (SELECT x.event_type, x.w, x.size, k.n AS k,
+  sum(x.v * cos(2 * pi() * ((k.n * x.n) % x.size) / x.size)) AS re,
+  -sum(x.v * sin(2 * pi() * ((k.n * x.n) % x.size) / x.size)) AS im
+  FROM x JOIN x AS k ON x.event_type = k.event_type AND x.w = k.w GROUP BY x.event_type, x.w, x.size, k.n),
+amplitude AS (SELECT *, sqrt(re * re + im * im) AS a, ln(greatest(sqrt(re * re + im * im), 1e-8)) AS l FROM spectrum),
+residual AS (SELECT *, exp(l - (coalesce(lag(l) OVER o, l) + l + coalesce(lead(l) OVER o, l)) / 3)
+  / CASE WHEN a > 1e-8 THEN a END AS f FROM amplitude WINDOW o AS (PARTITION BY event_type, w ORDER BY k)),
+back AS (SELECT b.event_id, b.event_type, b.first_w, b.w, b.n, s.size,
+  sum(coalesce(f, 0) * (re * cos(2 * pi() * ((k * b.n) % s.size) / s.size) - im * sin(2 * pi() * ((k * b.n) % s.size) / s.size))) AS re,
+  sum(coalesce(f, 0) * (re * sin(2 * pi() * ((k * b.n) % s.size) / s.size) + im * cos(2 * pi() * ((k * b.n) % s.size) / s.size))) AS im
+  FROM b JOIN residual AS s ON b.event_type = s.event_type AND b.w = s.w
+  GROUP BY b.event_id, b.event_type, b.first_w, b.w, b.n, s.size),
+saliency AS (SELECT *, sqrt(re * re + im * im) / size AS s FROM back),
+local AS (SELECT *, avg(s) OVER (PARTITION BY event_type, w ORDER BY n ROWS BETWEEN 20 PRECEDING AND CURRENT ROW) AS m
+  FROM saliency),
+scored AS (SELECT event_id, {row_score} AS score FROM local GROUP BY event_id)
+SELECT e.event_id, e.event_type, round(score, 6) AS score FROM events AS e LEFT JOIN scored USING (event_id)
+"""
+
+
+RELATIVE = "(s - m) / greatest(m, 1e-8)"
+
+
+@query(_overlapping_sql(128, 5, f"avg({RELATIVE})"))
+def anomaly_spectral_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """Half-overlapping windows with estimated points past their ends; a row has the mean of its scores."""
+    return _shown(series.spectral_residual(readings(spark, sf), KEYS, ORDER, VALUE, hop=128, estimated=series.ESTIMATED))
+
+
+@query(_overlapping_sql(64, 5, f"max({RELATIVE}) FILTER (w = first_w)"))
+def anomaly_spectral_advanced(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row is scored in the window that shows it behind most rows."""
+    return _shown(series.spectral_residual(
+        readings(spark, sf), KEYS, ORDER, VALUE, hop=64, estimated=series.ESTIMATED, history=True))
+
+
 # The projection on the first axis is (A - b)(A - c) / (a - b)(a - c) with the eigenvalues a > b > c of the
 # covariances A, which have a closed form for three lags.
 @query(f"""
