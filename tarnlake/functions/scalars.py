@@ -80,35 +80,50 @@ def first_non_empty(*fields: Column) -> Column:
     return F.coalesce(*[F.nullif(field, F.lit("")) for field in fields])
 
 
-def error_field(text: Column, key: str, default: str) -> Column:
-    """Field of an error JSON object; the default when the key is absent; null when not an object."""
-    is_object = F.try_parse_json(text).isNotNull() & F.ltrim(text).startswith("{")
-    return F.when(is_object, F.coalesce(F.get_json_object(text, f"$.{key}"), F.lit(default)))
+def json_object(text: Column) -> Column:
+    """A text that is a JSON object as a variant, parsed once; any other text is null and isn't parsed. Callers that
+    read several fields keep it in a column."""
+    return F.when(F.ltrim(text).startswith("{"), F.try_parse_json(text))
 
 
-def error_items(text: Column) -> Column:
-    """Errors given as plain text, one JSON object or a JSON array: always an array of texts."""
+def object_field(parsed: Column, key: str) -> Column:
+    return F.try_variant_get(parsed, f"$.{key}", "string")
+
+
+def error_field(parsed: Column, key: str, default: str) -> Column:
+    """Field of an error object (see ``json_object``); the default when the key is absent; null when not an object."""
+    return F.when(parsed.isNotNull(), F.coalesce(object_field(parsed, key), F.lit(default)))
+
+
+def error_items(text: Column, parsed: Column) -> Column:
+    """Errors given as plain text, one JSON object or a JSON array: always an array of variants. ``parsed`` is
+    ``json_errors`` of the text."""
     trimmed = F.ltrim(text)
     return (
-        F.when(F.coalesce(trimmed, F.lit("")) == "", F.lit(None).cast("array<string>"))
-        .when(trimmed.startswith("["), F.coalesce(F.from_json(text, "array<string>"), F.array(text)))
-        .otherwise(F.array(text))
+        F.when(F.coalesce(trimmed, F.lit("")) == "", F.lit(None).cast("array<variant>"))
+        .when(parsed.isNull(), F.array(text.cast("variant")))
+        .when(trimmed.startswith("["), F.try_variant_get(parsed, "$", "array<variant>"))
+        .otherwise(F.array(parsed))
     )
 
 
-def error_struct(item: Column) -> Column:
-    """One error item as (code, message, source); plain text becomes the message."""
-    def field(key: str) -> Column:
-        return F.get_json_object(item, f"$.{key}")
+def json_errors(text: Column) -> Column:
+    """A text that is a JSON object or array as a variant, else null."""
+    start = F.left(F.ltrim(text), F.lit(1))
+    return F.when(start.isin("{", "["), F.try_parse_json(text))
+
 
+def error_struct(item: Column) -> Column:
+    """One error item, a variant, as (code, message, source); anything but an object becomes the message."""
     parsed = F.struct(
-        F.coalesce(first_non_empty(field("errorCode"), field("code")), F.lit(UNKNOWN)).alias("code"),
-        F.coalesce(first_non_empty(field("message"), field("errorMessage")), F.lit(NO_MESSAGE)).alias("message"),
-        F.coalesce(field("source"), F.lit("")).alias("source"),
+        F.coalesce(first_non_empty(object_field(item, "errorCode"), object_field(item, "code")), F.lit(UNKNOWN)).alias("code"),
+        F.coalesce(first_non_empty(object_field(item, "message"), object_field(item, "errorMessage")),
+                   F.lit(NO_MESSAGE)).alias("message"),
+        F.coalesce(object_field(item, "source"), F.lit("")).alias("source"),
     )
-    plain = F.struct(F.lit(None).cast("string").alias("code"), item.alias("message"), F.lit("").alias("source"))
-    is_object = F.ltrim(item).startswith("{") & F.try_parse_json(item).isNotNull()
-    return F.when(is_object, parsed).when(item.isNotNull(), plain)
+    whole = F.try_variant_get(item, "$", "string")
+    plain = F.struct(F.lit(None).cast("string").alias("code"), whole.alias("message"), F.lit("").alias("source"))
+    return F.when(F.schema_of_variant(item).startswith("OBJECT"), parsed).when(whole.isNotNull(), plain)
 
 
 def literal_count(text: Column, needle: str) -> Column:

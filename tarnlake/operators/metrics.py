@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.functions.predicates import all_of, any_of, text_values_match
+from tarnlake.operators.joins import join_null_safe
 from tarnlake.operators.topk import checked_cap
 from tarnlake.sizing import broadcast_if_small, is_small
 
@@ -25,12 +26,21 @@ REFERENCE = re.compile(r"^(?:'(?P<quoted>[^']+)'|(?P<table>[A-Za-z_][A-Za-z0-9_
 
 @dataclass(frozen=True)
 class Measure:
-    """``function`` is one of sum, count, min, max, avg; ``expression`` is SQL over fact columns."""
+    """``function`` is one of sum, count, min, max, avg, distinct (the number of different values); ``expression`` is
+    SQL over fact columns."""
 
     function: str
     expression: str
 
 
+@dataclass(frozen=True)
+class Ratio:
+    """One named measure over another; null where the latter is 0 or null."""
+
+    numerator: str
+    denominator: str
+
+
 @dataclass(frozen=True)
 class Relationship:
     """Many rows of ``table`` point at one row of ``parent``."""
@@ -46,7 +56,7 @@ class Model:
     fact: str
     tables: Mapping[str, DataFrame]
     relationships: Sequence[Relationship]
-    measures: Mapping[str, Measure] = field(default_factory=dict)
+    measures: Mapping[str, Measure | Ratio] = field(default_factory=dict)
 
     def path_to(self, table: str) -> list[Relationship]:
         """Relationships that lead from the fact to a table."""
@@ -70,16 +80,37 @@ class Model:
             raise ValueError(f"column {reference} is in {len(owners)} tables of the model")
         return owners[0], column
 
-    def measure(self, name: str) -> Measure:
-        bare = name.strip().removeprefix("[").removesuffix("]")
-        if bare not in self.measures:
+    def measure(self, name: str) -> Measure | Ratio:
+        if bare(name) not in self.measures:
             raise ValueError(f"unknown measure: {name}")
-        return self.measures[bare]
+        return self.measures[bare(name)]
+
+    def plain_measures(self, name: str, above: tuple[str, ...] = ()) -> list[str]:
+        """Names of the measures that a measure is read off: its own, or those of the two sides of a ratio."""
+        if bare(name) in above:
+            raise ValueError(f"measure {name} refers to itself")
+        found = self.measure(name)
+        if isinstance(found, Measure):
+            return [bare(name)]
+        below = (*above, bare(name))
+        return [m for side in (found.numerator, found.denominator) for m in self.plain_measures(side, below)]
+
+    def read(self, name: str, values: Mapping[str, Column]) -> Column:
+        """The measure from the values of its plain measures."""
+        found = self.measure(name)
+        if isinstance(found, Measure):
+            return values[bare(name)]
+        over, under = (self.read(side, values).cast("double") for side in (found.numerator, found.denominator))
+        return over / F.nullif(under, F.lit(0.0))
+
+
+def bare(name: str) -> str:
+    return name.strip().removeprefix("[").removesuffix("]")
 
 
 # How two partial values come together, and how a measure is read off its parts.
 _MERGE: Mapping[str, Callable[[str], Column]] = {
-    "sum": F.sum, "count": F.sum, "avg": F.sum, "min": F.min, "max": F.max,
+    "sum": F.sum, "count": F.sum, "avg": F.sum, "min": F.min, "max": F.max, "distinct": F.count_distinct,
 }
 
 
@@ -145,11 +176,39 @@ def evaluate(
     Small dimensions are broadcast first. Before rows are shuffled to meet a large dimension, they are
     summed per key (``presum`` None), so that the hottest key crosses the network as one row per task;
     ``presum`` True sums before every join, False before none. Groups whose measures are all null are
-    dropped.
+    dropped. A measure may be a ratio of two others. Numbers of different values can't be summed; each is found over
+    rows that are made distinct before a join in place of being summed, and joined to the others by group.
     """
     groups = [model.locate(g) for g in group_by]
     wanted = {model.locate(c): list(vs) for c, vs in (filters or {}).items()}
-    chosen = [model.measure(m) for m in measures]
+    plain = list(dict.fromkeys(p for m in measures for p in model.plain_measures(m)))
+    sets = [[p for p in plain if model.measures[p].function != "distinct"],
+            *[[p] for p in plain if model.measures[p].function == "distinct"]]
+    places = {p: i for i, p in enumerate(plain)}
+    parts = [_totals(model, names, places, groups, wanted, presum) for names in sets if names]
+    columns = [c for _, c in groups]
+    shown = [c if columns.count(c) == 1 else f"{t}.{c}" for t, c in groups]
+    result = parts[0]
+    for part in parts[1:]:
+        # All parts hold the same groups, as they are made of the same rows.
+        result = join_null_safe(result, part, [f"__g{i}" for i in range(len(groups))], "inner") if groups else \
+            result.withColumns({c: part.select(c).scalar() for c in part.columns})
+    values = {p: F.col(f"__m{places[p]}") for p in plain}
+    totals = [model.read(m, values).alias(bare(m)) for m in measures]
+    result = result.select(*[F.col(f"__g{i}").alias(c) for i, c in enumerate(shown)], *totals)
+    if not groups:
+        return result
+    result = result.filter(any_of([F.col(f"`{bare(m)}`").isNotNull() for m in measures]))
+    if max_rows is None:
+        return result.orderBy(*order_by) if order_by else result
+    first = order_by or [F.col(f"`{c}`") for c in shown]
+    return result.orderBy(*first).limit(checked_cap(max_rows))
+
+
+def _totals(model: Model, names: Sequence[str], places: Mapping[str, int], groups: Sequence[tuple[str, str]],
+            wanted: Mapping[tuple[str, str], list[str]], presum: bool | None) -> DataFrame:
+    """Plain measures per group, as columns ``__m<i>`` with i from ``places``; the groups are ``__g<i>``."""
+    chosen = [model.measures[m] for m in names]
     dims = [t for t, _ in [*groups, *wanted] if t != model.fact]
     needed = list(dict.fromkeys(link for t in dims for link in model.path_to(t)))
     # Sizes come from the optimiser, which is asked once a table.
@@ -182,23 +241,15 @@ def evaluate(
         keys = columns_after(step)
         large_left = [r for r in links[step:] if inner(r.table, r.column) in keys and not small[r.parent]]
         if presum or (presum is None and large_left == [link]):
-            rows = rows.groupBy(*keys).agg(*_merged(chosen))
+            rows = rows.select(*keys, "__v0").distinct() if chosen[0].function == "distinct" else \
+                rows.groupBy(*keys).agg(*_merged(chosen))
         # A filtered dimension keeps only rows that match it; else unmatched rows stay, under null.
         how = "inner" if any(t == link.parent for t, _ in wanted) else "left"
         dim = prepared(link.parent, F.col(link.key).alias("__key"))
         joined = rows.join(broadcast_if_small(dim), F.col(inner(link.table, link.column)) == F.col("__key"), how)
         rows = joined.select(*columns_after(step + 1), *parts)
 
-    names = [m.strip().removeprefix("[").removesuffix("]") for m in measures]
-    totals = [_settled_type(_whole(i, m), m, rows.schema[f"__v{i}"].dataType).alias(n)
+    totals = [_settled_type(_whole(i, m), m, rows.schema[f"__v{i}"].dataType).alias(f"__m{places[n]}")
               for i, (m, n) in enumerate(zip(chosen, names))]
-    if not groups:
-        return rows.agg(*totals)
-    columns = [c for _, c in groups]
-    shown = {inner(t, c): c if columns.count(c) == 1 else f"{t}.{c}" for t, c in groups}
-    result = rows.groupBy(*shown).agg(*totals).withColumnsRenamed(shown)
-    result = result.filter(any_of([F.col(f"`{n}`").isNotNull() for n in names]))
-    if max_rows is None:
-        return result.orderBy(*order_by) if order_by else result
-    first = order_by or [F.col(f"`{c}`") for c in shown.values()]
-    return result.orderBy(*first).limit(checked_cap(max_rows))
+    shown = [F.col(inner(t, c)).alias(f"__g{i}") for i, (t, c) in enumerate(groups)]
+    return rows.groupBy(*shown).agg(*totals) if groups else rows.agg(*totals)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SAMPLE_ROWS = 10
+
 
 def size_of(df: DataFrame) -> DataFrame:
     """Record count and column count."""
@@ -47,6 +49,22 @@ def profile(df: DataFrame, statistics: bool = True) -> DataFrame:
     return df.agg(F.array(*lines).alias("r")).select(F.inline("r"))
 
 
+def sampled(df: DataFrame, rows: int = SAMPLE_ROWS, by: Sequence[str] = ()) -> DataFrame:
+    """The values of a few rows, for each column (``column_name``) as a JSON list of texts (``sample``), rows in one
+    order for all.
+
+    The rows are those with the least digests of the ``by`` columns, or of all: each task keeps as many as are wanted,
+    so that any layout of the table gives the same, and so does another run.
+    """
+    digest = F.md5(F.concat_ws("|", *[_spelled(df, c) for c in (by or df.columns)]))
+    names = [f"__c{i}" for i in range(len(df.columns))]
+    few = df.select(digest.alias("__digest"), *[_spelled(df, c).alias(n) for c, n in zip(df.columns, names)]) \
+        .orderBy("__digest", *names).limit(rows)
+    kept = few.agg(F.sort_array(F.collect_list(F.struct("__digest", *names))).alias("r"))
+    lines = [F.struct(F.lit(c).alias("column_name"), F.to_json(F.col("r")[n]).alias("sample")) for c, n in zip(df.columns, names)]
+    return kept.select(F.inline(F.array(*lines)))
+
+
 def _spelled(df: DataFrame, column: str) -> Column:
     """The value as a text that no other value of the column has."""
     kind = df.schema[column].dataType

@@ -16,6 +16,9 @@ from tarnlake.functions.scalars import (
     error_struct,
     first_non_empty,
     iso_timestamp,
+    json_errors,
+    json_object,
+    object_field,
     run_duration,
     seconds_between,
 )
@@ -28,9 +31,12 @@ from tarnlake.operators.topk import (
     newest_first,
     newest_per_group,
 )
+from tarnlake.sizing import broadcast_if_small
 
 # Fixed values of the run and refresh records.
 FAILED = "Failed"
+CANCELLED = "Cancelled"
+USER = "User"
 REASON_FIELDS = ("failureReason", "errorMessage", "error", "message")
 SUBMITTER_FIELDS = ("displayName", "userPrincipalName", "mail", "name", "id")
 REFRESH_TOP_MAX, REFRESH_TOP_DEFAULT = 100, 10
@@ -58,8 +64,9 @@ def list_runs(
     return newest_first(optional_equals(kept, item_type=item_type), submitted, run_id)
 
 
-def failure_reason(detail: str = "detail") -> Column:
-    return first_non_empty(*[F.get_json_object(F.col(detail), f"$.{f}") for f in REASON_FIELDS])
+def failure_reason(parsed: Column) -> Column:
+    """The first reason that a parsed detail record gives."""
+    return first_non_empty(*[object_field(parsed, f) for f in REASON_FIELDS])
 
 
 def list_failures(runs: DataFrame, details: DataFrame, rows: int = PREVIEW_ROWS) -> DataFrame:
@@ -73,8 +80,9 @@ def list_failures(runs: DataFrame, details: DataFrame, rows: int = PREVIEW_ROWS)
     wanted = details.join(F.broadcast(ids) if rows <= BROADCAST_RUNS else ids, "run_id", "left_semi")
     return (
         failed.join(wanted, "run_id", "left")
-        .withColumn("reason", failure_reason())
-        .drop(*[c for c in details.columns if c != "run_id"])
+        .withColumn("__detail", json_object(F.col("detail")))
+        .withColumn("reason", failure_reason(F.col("__detail")))
+        .drop("__detail", *[c for c in details.columns if c != "run_id"])
     )
 
 
@@ -107,31 +115,56 @@ def submitter_name(submitter: str = "submitter") -> Column:
     return first_non_empty(*[F.col(f"{submitter}.{f}") for f in SUBMITTER_FIELDS])
 
 
-def run_details(runs: DataFrame, workspaces: DataFrame, as_of: Column) -> DataFrame:
-    """Runs with workspace name, duration text, failure reason and submitter.
+def with_user_names(runs: DataFrame, users: DataFrame, submitter: str = "submitter") -> DataFrame:
+    """The submitter's names as the directory has them, where the submitter is a user that it knows.
 
-    Columns read: run_id, workspace_id, state, submitted and ended (ISO text), submitter (struct),
-    detail (JSON text). ``workspaces`` has (id, name).
+    ``users`` holds one row per id: (id, displayName, userPrincipalName, mail); what it lacks becomes empty text.
+    """
+    known = users.select(F.col("id").alias("__id"), F.struct("displayName", "userPrincipalName", "mail").alias("__user"))
+    is_user = (F.col(f"{submitter}.type") == USER) & (F.col(f"{submitter}.id") == F.col("__id"))
+    names = {f: F.when(F.col("__user").isNotNull(), F.coalesce(F.col(f"__user.{f}"), F.lit(""))).otherwise(F.col(f"{submitter}.{f}"))
+             for f in ("displayName", "userPrincipalName", "mail")}
+    joined = runs.join(broadcast_if_small(known), is_user, "left")
+    return joined.withColumn(submitter, F.col(submitter).withField("displayName", names["displayName"])
+                             .withField("userPrincipalName", names["userPrincipalName"]).withField("mail", names["mail"])) \
+        .drop("__id", "__user")
+
+
+def run_details(runs: DataFrame, workspaces: DataFrame, capacities: DataFrame, users: DataFrame, as_of: Column) -> DataFrame:
+    """Runs with the names of workspace, capacity and submitter, duration text, and why they failed or were cancelled.
+
+    Columns read: run_id, workspace_id, capacity_id, state, submitted and ended (ISO text), total_duration (text, which
+    goes before the computed one), submitter (struct), cancellation_reason, detail (JSON text, parsed once).
+    ``workspaces`` and ``capacities`` have (id, name), ``users`` as ``with_user_names`` reads them.
     """
     named = with_names(runs, {"workspace_id": "workspace_name"}, workspaces, "id", "name")
+    named = with_names(named, {"capacity_id": "capacity_name"}, capacities, "id", "name")
+    named = with_user_names(named, users)
     start, end = iso_timestamp(F.col("submitted")), iso_timestamp(F.col("ended"))
-    return named.select(
+    failed = F.col("state") == FAILED
+    detail = F.col("__detail")
+    return named.withColumn("__detail", F.when(failed, json_object(F.col("detail")))).select(
         "run_id",
         "workspace_id",
         "workspace_name",
+        "capacity_name",
         F.coalesce("state", F.lit(UNKNOWN)).alias("state"),
-        run_duration(start, end, F.col("state"), as_of).alias("duration"),
+        F.coalesce(first_non_empty(F.col("total_duration")), run_duration(start, end, F.col("state"), as_of)).alias("duration"),
         submitter_name().alias("submitted_by"),
-        F.when(F.col("state") == FAILED, failure_reason()).alias("reason"),
+        F.when(F.col("state") == CANCELLED, first_non_empty(F.col("cancellation_reason"))).alias("cancellation_reason"),
+        F.when(failed, failure_reason(detail)).alias("reason"),
+        F.when(failed, first_non_empty(object_field(detail, "rootActivityId"))).alias("root_activity_id"),
     )
 
 
 def run_errors(runs: DataFrame, errors: str = "errors", keep_empty: bool = False) -> DataFrame:
-    """One row per error of a run: (code, message, source). Runs without errors drop out unless kept."""
+    """One row per error of a run: (code, message, source). Runs without errors drop out unless kept. The text of the
+    errors is parsed once."""
     explode = F.explode_outer if keep_empty else F.explode
-    items = runs.withColumn("__item", explode(error_items(F.col(errors))))
-    return items.select(*runs.columns, error_struct(F.col("__item")).alias("__e")) \
-        .select(*[c for c in runs.columns if c != errors], "__e.code", "__e.message", "__e.source")
+    items = runs.withColumn("__parsed", json_errors(F.col(errors))).select(
+        *[c for c in runs.columns if c != errors], explode(error_items(F.col(errors), F.col("__parsed"))).alias("__item"))
+    return items.withColumn("__e", error_struct(F.col("__item"))).select(
+        *[c for c in runs.columns if c != errors], "__e.code", "__e.message", "__e.source")
 
 
 def clean_time(text: Column) -> Column:
@@ -146,8 +179,8 @@ def refresh_history(refreshes: DataFrame, top: int = REFRESH_TOP_DEFAULT) -> Dat
     """
     newest = refreshes.orderBy(F.desc_nulls_last("start"), "id").limit(checked_cap(top, 1, REFRESH_TOP_MAX))
     seconds = seconds_between(iso_timestamp(F.col("start")), iso_timestamp(F.col("end")))
-    failed, error = F.col("status") == FAILED, F.col("error")
-    return newest.select(
+    failed, error = F.col("status") == FAILED, F.col("__error")
+    return newest.withColumn("__error", F.when(failed, json_object(F.col("error")))).select(
         "id",
         F.coalesce("status", F.lit(UNKNOWN)).alias("status"),
         F.coalesce("refresh_type", F.lit(UNKNOWN)).alias("refresh_type"),
@@ -155,5 +188,5 @@ def refresh_history(refreshes: DataFrame, top: int = REFRESH_TOP_DEFAULT) -> Dat
         clean_time(F.col("end")).alias("end"),
         duration_label(seconds).alias("duration"),
         F.when(failed, error_field(error, "errorCode", UNKNOWN)).alias("error_code"),
-        F.when(failed, F.coalesce(error_field(error, "errorDescription", NO_DESCRIPTION), error)).alias("error_text"),
+        F.when(failed, F.coalesce(error_field(error, "errorDescription", NO_DESCRIPTION), F.col("error"))).alias("error_text"),
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tarnlake.scratch import fresh_path
 
+SOURCES_AT_ONCE = 8
 ERROR_SCHEMA = "source string, error string"
 
 
@@ -22,24 +24,31 @@ class Gathered:
 
 
 def gather(spark: SparkSession, sources: Mapping[str, Callable[[], DataFrame]], tag: str = "source",
-           fetch: bool = False) -> Gathered:
+           fetch: bool = False, at_once: int = SOURCES_AT_ONCE) -> Gathered:
     """Union the listings of many sources, each row tagged with the source it came from.
 
     A source that cannot be opened is reported; the others go on. With ``fetch`` each source is read once
-    into the shared folder, so that one which fails while being read is reported too and ends nothing.
-    Columns that a source lacks are null.
+    into the shared folder, some of them at a time, so that one which fails while being read is reported too and ends
+    nothing. Columns that a source lacks are null.
     """
-    frames, errors = [], []
-    for name, open_source in sources.items():
+    def open_one(name: str) -> DataFrame | tuple[str, str]:
         try:
-            rows = open_source().withColumn(tag, F.lit(name))
+            rows = sources[name]().withColumn(tag, F.lit(name))
             if fetch:
                 path = fresh_path(spark, "fetched")
                 rows.write.parquet(path)
                 rows = spark.read.schema(rows.schema).parquet(path)
-            frames.append(rows)
+            return rows
         except (PySparkException, OSError, ValueError) as problem:
-            errors.append((name, type(problem).__name__))
+            return name, type(problem).__name__
+
+    if fetch:
+        with ThreadPoolExecutor(max_workers=max(1, min(at_once, len(sources)))) as pool:
+            opened = list(pool.map(open_one, sources))
+    else:
+        opened = [open_one(name) for name in sources]
+    frames = [o for o in opened if isinstance(o, DataFrame)]
+    errors = [o for o in opened if not isinstance(o, DataFrame)]
     rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames) if frames else None
     return Gathered(rows, spark.createDataFrame(errors, ERROR_SCHEMA))
 

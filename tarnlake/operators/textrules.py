@@ -140,32 +140,31 @@ def rule_scores(
     return per_document.withColumn("score", score).withColumn("band", band(F.col("score")))
 
 
-CELLS = "cells array<string>"
-CELL_TEXT = "cell_type string, type string, source string, content string"
-CELL_LINES = "source array<string>, content array<string>"
-
-
 def code_cells(df: DataFrame, document: str, notebook: str) -> DataFrame:
     """Code cells of notebook JSON: (document, position among all cells, source).
 
     The source may be a text or a list of lines; lines are joined with nothing between them. Empty
-    cells are left out. Each cell is read twice, since a text may look like a list: read as lines, a
-    text gives null.
+    cells are left out. The notebook is parsed once, and cells and their fields are read off the parsed value; a
+    notebook that is itself a text under ``content`` is parsed where the outer one has no cells.
     """
-    cells = F.coalesce(
-        F.from_json(notebook, CELLS)["cells"],
-        F.from_json(F.get_json_object(notebook, "$.content"), CELLS)["cells"],
-    )
-    text, lines = F.col("__text"), F.col("__lines")
+    outer, cell = F.col("__outer"), F.col("__cell")
+    held = F.col("__held")
 
     def read(field: str) -> Column:
-        return F.coalesce(F.array_join(lines[field], ""), text[field])
+        lines = F.try_variant_get(cell, f"$.{field}", "array<string>")
+        return F.coalesce(F.array_join(lines, ""), F.try_variant_get(cell, f"$.{field}", "string"))
+
+    def is_code(field: str) -> Column:
+        return F.coalesce(F.try_variant_get(cell, f"$.{field}", "string") == "code", F.lit(False))
 
-    is_code = F.coalesce(text["type"] == "code", F.lit(False)) | F.coalesce(text["cell_type"] == "code", F.lit(False))
+    inner = F.try_parse_json(F.try_variant_get(outer, "$.content", "string"))
     return (
-        df.select(document, F.posexplode(cells).alias("position", "__cell"))
-        .withColumns({"__text": F.from_json("__cell", CELL_TEXT), "__lines": F.from_json("__cell", CELL_LINES)})
-        .filter(is_code)
+        df.select(document, F.try_parse_json(notebook).alias("__outer"))
+        .withColumn("__held", F.coalesce(F.try_variant_get(outer, "$.cells", "array<variant>"),
+                                         F.try_variant_get(outer, "$.content.cells", "array<variant>")))
+        .withColumn("__held", F.when(held.isNotNull(), held).otherwise(F.try_variant_get(inner, "$.cells", "array<variant>")))
+        .select(document, F.posexplode("__held").alias("position", "__cell"))
+        .filter(is_code("type") | is_code("cell_type"))
         .select(document, F.col("position").cast("bigint").alias("position"),
                 F.coalesce(read("source"), read("content")).alias("source"))
         .filter(F.col("source") != "")

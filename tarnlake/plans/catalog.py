@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tarnlake.operators import catalog
 from tarnlake.plans.registry import query
+from tarnlake.scratch import fresh_path
+from tarnlake.sources import writers
 from tarnlake.sources.readers import table
 
 TABLES = {
@@ -32,7 +35,8 @@ TABLES = {
 }
 
 
-def _profile_sql(*names: str, statistics: bool = False) -> str:
+def _profile_sql(*names: str, statistics: bool = False, sample: bool = False) -> str:
+    """The lines of all columns; a sample is that of the ten rows with the least digests of the first column."""
     lines = []
     for name in names:
         for i, column in enumerate(TABLES[name].split(", "), start=1):
@@ -42,6 +46,10 @@ def _profile_sql(*names: str, statistics: bool = False) -> str:
                 (f", round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS stddev" if number else
                  ", CAST(NULL AS DOUBLE) AS mean, CAST(NULL AS DOUBLE) AS stddev")
                 + f", CAST(min({c}) AS VARCHAR) AS min, CAST(max({c}) AS VARCHAR) AS max")
+            if sample:
+                key = TABLES[name].split()[0]
+                extra += (f", (SELECT CAST(to_json(list(CAST({c} AS VARCHAR) ORDER BY md5(CAST({key} AS VARCHAR)))) AS VARCHAR) "
+                          f"FROM (SELECT * FROM {name} ORDER BY md5(CAST({key} AS VARCHAR)) LIMIT 10)) AS sample")
             lines.append(
                 f"SELECT '{name}' AS table_name, CAST({i} AS BIGINT) AS position, '{c}' AS column_name, "
                 f"'{kind}' AS data_type, TRUE AS nullable, count(*) AS rows, count(*) - count({c}) AS null_count, "
@@ -59,12 +67,41 @@ def catalog_columns(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.explore(spark, all_tables(spark, sf))
 
 
-@query(_profile_sql("orders", "customer", "part", statistics=True))
+PROFILED = {"orders": ["o_orderkey"], "customer": ["c_custkey"], "part": ["p_partkey"]}
+
+
+@query(_profile_sql(*PROFILED, statistics=True, sample=True))
 def table_profile(spark: SparkSession, sf: str) -> DataFrame:
-    found = catalog.explore(spark, {n: table(spark, sf, n) for n in ("orders", "customer", "part")}, statistics=True)
+    """Statistics of each column, and its values in a sample of ten rows."""
+    tables = {n: table(spark, sf, n) for n in PROFILED}
+    found = catalog.explore(spark, tables, statistics=True, samples=PROFILED)
     return found.withColumns({"mean": F.round("mean", 4), "stddev": F.round("stddev", 4)})
 
 
+@query(f"""
+WITH listed AS ({_profile_sql("orders", "supplier")}),
+named AS (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 0)
+SELECT * FROM listed
+UNION ALL SELECT 'named_customers', 1, 'c_custkey', 'bigint', TRUE, count(*), 0, 0.0 FROM named
+UNION ALL SELECT 'named_customers', 2, 'c_name', 'string', TRUE, count(*), 0, 0.0 FROM named
+""")
+def catalog_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """Tables and a view found in the catalog. A table of another format, a view whose table is gone and the tables
+    of other databases are passed over."""
+    database, path = f"listed_{uuid.uuid4().hex}", fresh_path(spark, "listed")
+    spark.sql(f"CREATE DATABASE {database}")
+    for name in ("orders", "supplier", "customer"):
+        writers.write_table(table(spark, sf, name), f"{database}.{name}", f"{path}/{name}")
+    spark.sql(f"CREATE VIEW {database}.named_customers AS SELECT c_custkey, c_name FROM {database}.customer WHERE c_acctbal > 0")
+    spark.sql(f"CREATE TABLE {database}.foreign_format USING csv LOCATION {writers.literal(path + '/csv')} AS "
+              f"SELECT s_suppkey FROM {database}.supplier")
+    writers.write_table(table(spark, sf, "region"), f"{database}.gone", f"{path}/gone")
+    spark.sql(f"CREATE VIEW {database}.broken AS SELECT * FROM {database}.gone")
+    spark.sql(f"DROP TABLE {database}.gone")
+    found = catalog.catalog_tables(spark, database=database)
+    return catalog.explore(spark, {n: df for n, df in found.items() if n != "customer"})
+
+
 @query(f"""
 WITH p AS ({_profile_sql(*TABLES)}),
 t AS (SELECT table_name, count(*) AS n, count(*) FILTER (data_type LIKE '%array%') AS complex, max(rows) AS rows

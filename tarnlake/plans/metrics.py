@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarnlake.operators.aggregates import amount
-from tarnlake.operators.metrics import Measure, Model, Relationship, evaluate
+from tarnlake.operators.metrics import Measure, Model, Ratio, Relationship, evaluate
 from tarnlake.plans.registry import query
 from tarnlake.sources.readers import table
 
@@ -24,12 +26,16 @@ NET = "CAST(floor(l_extendedprice * 100 + 0.5D) * (100 - floor(l_discount * 100
 NET_SQL = "(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))))"
 MEASURES = {
     "Net": Measure("sum", NET),
-    "Quantity": Measure("sum", "CAST(l_quantity AS DECIMAL(18,0))"),
+    "Quantity": Measure("sum", "CAST(l_quantity AS DECIMAL(18,2))"),
     "Gross": Measure("sum", CENTS),
     "Lines": Measure("count", "1"),
     "Mean Price": Measure("avg", CENTS),
     "Largest": Measure("max", "l_extendedprice"),
     "Returned": Measure("sum", f"CASE WHEN l_returnflag = 'R' THEN {CENTS} END"),
+    "Return Share": Ratio("Returned", "Gross"),
+    "Parts": Measure("distinct", "l_partkey"),
+    "Returning Suppliers": Measure("distinct", "CASE WHEN l_returnflag = 'R' THEN l_suppkey END"),
+    "Gross A Part": Ratio("[Gross]", "[Parts]"),
 }
 
 
@@ -126,3 +132,47 @@ GROUP BY c_name ORDER BY gross DESC, c_name LIMIT 10
 def top_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return _plain(evaluate(sales_model(spark, sf, "orders", "customer"), ["Gross"], ["customer.c_name"], max_rows=10,
                            order_by=[F.desc("Gross"), "c_name"], presum=True))
+
+
+PRESUMS = {"always": True, "never": False, "as needed": None}
+
+
+@query(f"""
+SELECT presum, n_name, o_orderpriority, round(CAST(sum({PRICE}) FILTER (l_returnflag = 'R') AS DOUBLE)
+  / nullif(CAST(sum({PRICE}) AS DOUBLE), 0), 9) AS return_share, count(*) AS lines
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+LEFT JOIN nation ON c_nationkey = n_nationkey, (VALUES ('always'), ('never'), ('as needed')) AS p(presum)
+GROUP BY presum, n_name, o_orderpriority
+""")
+def metric_ratio(spark: SparkSession, sf: str) -> DataFrame:
+    """A ratio of measures, with sums before all joins, before none, and before large ones."""
+    def shown(name: str, presum: bool | None) -> DataFrame:
+        found = evaluate(sales_model(spark, sf, *GEOGRAPHY), ["[Return Share]", "Lines"],
+                         ["nation.n_name", "orders.o_orderpriority"], presum=presum)
+        return found.select(F.lit(name).alias("presum"), "n_name", "o_orderpriority",
+                            F.round("Return Share", 9).alias("return_share"), F.col("Lines").alias("lines"))
+
+    return reduce(DataFrame.unionByName, [shown(n, p) for n, p in PRESUMS.items()])
+
+
+@query(f"""
+SELECT presum, c_mktsegment, p_size, count(DISTINCT l_partkey) AS parts,
+  count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_suppkey END) AS returning_suppliers,
+  round(CAST(sum({PRICE}) AS DOUBLE) / count(DISTINCT l_partkey), 6) AS gross_a_part
+FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey LEFT JOIN customer ON o_custkey = c_custkey
+LEFT JOIN part ON l_partkey = p_partkey, (VALUES ('always'), ('never'), ('as needed')) AS p(presum)
+WHERE p_size < 20 GROUP BY presum, c_mktsegment, p_size
+""")
+def metric_distinct(spark: SparkSession, sf: str) -> DataFrame:
+    """Numbers of different values, alone and within a ratio."""
+    sizes = [str(n) for n in range(20)]
+
+    def shown(name: str, presum: bool | None) -> DataFrame:
+        found = evaluate(sales_model(spark, sf, "orders", "customer", "part"), ["Parts", "Returning Suppliers", "Gross A Part"],
+                         ["customer.c_mktsegment", "part.p_size"], {"part.p_size": sizes}, presum=presum)
+        return found.select(
+            F.lit(name).alias("presum"), "c_mktsegment", "p_size", F.col("Parts").alias("parts"),
+            F.col("Returning Suppliers").alias("returning_suppliers"),
+            F.round(F.col("Gross A Part") / 100, 6).alias("gross_a_part"))
+
+    return reduce(DataFrame.unionByName, [shown(n, p) for n, p in PRESUMS.items()])

@@ -329,7 +329,11 @@ def _parties(spark: SparkSession, sf: str) -> sets.Gathered:
     def absent():
         return table(spark, sf, "no_such_table")
 
-    return sets.gather(spark, {"customers": customers, "suppliers": suppliers, "partners": absent})
+    def unreadable():
+        return customers().withColumn("id", F.col("name").cast("bigint"))
+
+    return sets.gather(spark, {"customers": customers, "suppliers": suppliers, "partners": absent, "branches": unreadable},
+                       fetch=True)
 
 
 @query("""
@@ -345,6 +349,7 @@ def union_sources(spark: SparkSession, sf: str) -> DataFrame:
 SELECT 'customers' AS source, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM customer
 UNION ALL SELECT 'suppliers', count(*), NULL FROM supplier
 UNION ALL SELECT 'partners', 0, 'AnalysisException'
+UNION ALL SELECT 'branches', 0, 'NumberFormatException'
 """)
 def source_report(spark: SparkSession, sf: str) -> DataFrame:
     return sets.source_report(_parties(spark, sf))

@@ -9,6 +9,7 @@ from tarnlake.functions.scalars import (
     duration_label,
     error_field,
     iso_timestamp,
+    json_object,
     minutes_seconds,
     seconds_between,
     time_class,
@@ -24,7 +25,7 @@ STATE = """CASE event_type WHEN 'signup' THEN 'NotStarted' WHEN 'view' THEN 'InP
 ITEM_TYPE = "CASE WHEN value < 60 THEN 'Notebook' ELSE 'Lakehouse' END"
 DETAIL = """CASE WHEN value < 10 THEN NULL
   WHEN value < 40 THEN '{"failureReason":"","errorMessage":"lost worker ' || k || '"}'
-  WHEN value < 90 THEN '{"failureReason":"limit ' || k || '"}' ELSE '{"message":"stopped"}' END"""
+  WHEN value < 90 THEN '{"failureReason":"limit ' || k || '","rootActivityId":"act-' || k || '"}' ELSE '{"message":"stopped"}' END"""
 ERRORS = """CASE WHEN event_type = 'purchase' THEN NULL WHEN value < 5 THEN ''
   WHEN value < 30 THEN 'plain ' || k
   WHEN value < 70 THEN '{"code":"E' || k || '","errorMessage":"broken"}'
@@ -33,6 +34,9 @@ ERRORS = """CASE WHEN event_type = 'purchase' THEN NULL WHEN value < 5 THEN ''
 REFRESH_ERROR = """CASE WHEN value < 20 THEN NULL WHEN value < 50 THEN 'raw ' || k
   WHEN value < 80 THEN '{"errorCode":"C' || k || '"}'
   ELSE '{"errorCode":"C' || k || '","errorDescription":"bad source"}' END"""
+TOTAL = "CASE WHEN value < 8 THEN 'about ' || k WHEN value < 30 THEN '' END"
+CAPACITY = "CASE WHEN user_id % 30 < 29 THEN CAST(user_id % 30 AS VARCHAR(10)) END"
+CANCELLATION = "CASE WHEN value < 15 THEN '' WHEN value < 60 THEN 'by hand ' || k END"
 AS_OF = "2024-02-01 00:00:00"
 OPEN = "('signup', 'view')"
 
@@ -43,7 +47,8 @@ runs AS (SELECT event_id AS run_id, CAST(user_id AS VARCHAR) AS workspace_id, ev
   strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS submitted,
   CASE WHEN event_type NOT IN {OPEN}
        THEN strftime(ts + to_microseconds(CAST(round(value * 1000000) AS BIGINT)), '%Y-%m-%dT%H:%M:%S.%fZ') END AS ended,
-  {DETAIL} AS detail, {ERRORS} AS errors, {REFRESH_ERROR} AS error FROM k)
+  {DETAIL} AS detail, {ERRORS} AS errors, {REFRESH_ERROR} AS error,
+  {TOTAL} AS total_duration, {CAPACITY} AS capacity_id, {CANCELLATION} AS cancellation_reason FROM k)
 """
 
 
@@ -56,10 +61,12 @@ def job_runs(spark: SparkSession, sf: str) -> DataFrame:
         "event_id AS run_id", "CAST(user_id AS STRING) AS workspace_id", "event_type || ' job ' || k AS item_name",
         f"{ITEM_TYPE} AS item_type", f"{STATE} AS state", "ts AS submitted_at", "value",
         "started AS submitted", f"CASE WHEN event_type NOT IN {OPEN} THEN stopped END AS ended",
-        f"{DETAIL} AS detail", f"{ERRORS} AS errors", f"{REFRESH_ERROR} AS error",
+        f"{DETAIL} AS detail", f"{ERRORS} AS errors", f"{REFRESH_ERROR} AS error", f"{TOTAL} AS total_duration",
+        f"{CAPACITY} AS capacity_id", f"{CANCELLATION} AS cancellation_reason",
         """named_struct('displayName', CASE WHEN value < 50 THEN '' ELSE 'User ' || user_id END,
            'userPrincipalName', CASE WHEN value < 20 THEN NULL ELSE user_id || '@x' END, 'mail', '',
-           'name', CAST(NULL AS STRING), 'id', CAST(user_id AS STRING)) AS submitter""")
+           'name', CAST(NULL AS STRING), 'id', CAST(user_id AS STRING),
+           'type', CASE WHEN user_id % 4 = 0 THEN 'Service' ELSE 'User' END) AS submitter""")
 
 
 @query(f"""
@@ -145,11 +152,11 @@ WITH {RUNS_SQL} SELECT run_id,
        ELSE error END AS description FROM runs
 """)
 def error_fields(spark: SparkSession, sf: str) -> DataFrame:
-    error = F.col("error")
-    return job_runs(spark, sf).select(
+    parsed = F.col("parsed")
+    return job_runs(spark, sf).withColumn("parsed", json_object(F.col("error"))).select(
         "run_id",
-        error_field(error, "errorCode", "Unknown").alias("code"),
-        F.coalesce(error_field(error, "errorDescription", runs.NO_DESCRIPTION), error).alias("description"))
+        error_field(parsed, "errorCode", "Unknown").alias("code"),
+        F.coalesce(error_field(parsed, "errorDescription", runs.NO_DESCRIPTION), F.col("error")).alias("description"))
 
 
 @query(f"""
@@ -166,21 +173,30 @@ def error_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(f"""
-WITH {RUNS_SQL}, named AS (SELECT runs.*, coalesce(c_name, workspace_id, 'N/A') AS workspace_name FROM runs
-  LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name FROM customer WHERE c_acctbal > 0) c ON workspace_id = c.id),
+WITH {RUNS_SQL}, named AS (SELECT runs.*, coalesce(c.c_name, workspace_id, 'N/A') AS workspace_name,
+    coalesce(n_name, capacity_id, 'N/A') AS capacity_name, u.c_name AS user_name, u.c_custkey IS NOT NULL AS known FROM runs
+  LEFT JOIN (SELECT CAST(c_custkey AS VARCHAR) AS id, c_name FROM customer WHERE c_acctbal > 0) c ON workspace_id = c.id
+  LEFT JOIN nation ON CAST(n_nationkey AS VARCHAR) = capacity_id
+  LEFT JOIN customer u ON CAST(u.c_custkey AS VARCHAR) = workspace_id AND CAST(workspace_id AS BIGINT) % 4 <> 0 AND u.c_custkey % 3 = 0),
 s AS (SELECT *, (CASE WHEN ended IS NOT NULL THEN epoch_us(CAST(replace(ended, 'Z', '') AS TIMESTAMP))
   WHEN state IN ('NotStarted', 'InProgress') THEN epoch_us(TIMESTAMP '{AS_OF}') END - epoch_us(submitted_at)) // 1000000
   AS sec FROM named)
-SELECT run_id, workspace_id, workspace_name, state, (sec // 60) || 'm ' || (sec % 60) || 's' AS duration,
-  CASE WHEN value >= 50 THEN 'User ' || workspace_id WHEN value >= 20 THEN workspace_id || '@x' ELSE workspace_id END
-    AS submitted_by,
+SELECT run_id, workspace_id, workspace_name, capacity_name, state,
+  coalesce(nullif(total_duration, ''), (sec // 60) || 'm ' || (sec % 60) || 's') AS duration,
+  CASE WHEN known THEN user_name WHEN value >= 50 THEN 'User ' || workspace_id
+       WHEN value >= 20 THEN workspace_id || '@x' ELSE workspace_id END AS submitted_by,
+  CASE WHEN state = 'Cancelled' THEN nullif(cancellation_reason, '') END AS cancellation_reason,
   CASE WHEN state = 'Failed' THEN CASE WHEN value < 10 THEN NULL WHEN value < 40 THEN json_extract_string(detail, '$.errorMessage')
-    WHEN value < 90 THEN json_extract_string(detail, '$.failureReason') ELSE 'stopped' END END AS reason FROM s
+    WHEN value < 90 THEN json_extract_string(detail, '$.failureReason') ELSE 'stopped' END END AS reason,
+  CASE WHEN state = 'Failed' THEN json_extract_string(detail, '$.rootActivityId') END AS root_activity_id FROM s
 """)
 def run_detail(spark: SparkSession, sf: str) -> DataFrame:
-    workspaces = table(spark, sf, "customer").filter("c_acctbal > 0").selectExpr(
-        "CAST(c_custkey AS STRING) AS id", "c_name AS name")
-    return runs.run_details(job_runs(spark, sf), workspaces, F.lit(AS_OF).cast("timestamp"))
+    customers = table(spark, sf, "customer")
+    workspaces = customers.filter("c_acctbal > 0").selectExpr("CAST(c_custkey AS STRING) AS id", "c_name AS name")
+    capacities = table(spark, sf, "nation").selectExpr("CAST(n_nationkey AS STRING) AS id", "n_name AS name")
+    users = customers.filter("c_custkey % 3 = 0").selectExpr(
+        "CAST(c_custkey AS STRING) AS id", "c_name AS displayName", "CAST(NULL AS STRING) AS userPrincipalName", "'' AS mail")
+    return runs.run_details(job_runs(spark, sf), workspaces, capacities, users, F.lit(AS_OF).cast("timestamp"))
 
 
 @query(f"""

@@ -1,3 +1,4 @@
+import json
 import datetime as dt
 
 import pytest
@@ -100,7 +101,7 @@ def test_error_rows(spark, text, rows):
 
 def test_error_field(spark):
     def read(text, key="errorCode"):
-        return value(spark, scalars.error_field(F.col("t"), key, "Unknown"), text)
+        return value(spark, scalars.error_field(scalars.json_object(F.col("t")), key, "Unknown"), text)
     assert read('{"errorCode":"C1"}') == "C1"
     assert read('{"a":1}') == "Unknown"
     assert read("not json") is None
@@ -151,9 +152,11 @@ def test_flagged_snippet(spark):
 def test_code_cells(spark):
     book = ('{"cells":[{"cell_type":"markdown","source":["# t"]},{"cell_type":"code","source":["a\\n","b"]},'
             '{"type":"code","content":"[1, 2]x"},{"cell_type":"code","source":""}]}')
-    frame = inline_rows(spark, [(1, book), (2, '{"content":' + book + "}"), (3, "junk")], {"id": "int", "n": "string"})
-    got = [tuple(r) for r in textrules.code_cells(frame, "id", "n").orderBy("id", "position").collect()]
-    assert got == [(i, p, s) for i in (1, 2) for p, s in ((1, "a\nb"), (2, "[1, 2]x"))]
+    frame = inline_rows(spark, [(1, book), (2, '{"content":' + book + "}"), (3, "junk"), (4, json.dumps({"content": book}))],
+                        {"id": "int", "n": "string"})
+    found = textrules.code_cells(frame, "id", "n")
+    got = [tuple(r) for r in found.orderBy("id", "position").collect()]
+    assert got == [(i, p, s) for i in (1, 2, 4) for p, s in ((1, "a\nb"), (2, "[1, 2]x"))]
 
 
 def test_null_report_of_an_empty_table(spark):
@@ -305,6 +308,7 @@ def test_catalog(spark):
     spark.range(2).createOrReplaceTempView("a_view")
     found = catalog.catalog_tables(spark)
     assert "listed" in {n.lower() for n in found} and "a_view" in found and "foreign_format" not in found
+    assert set(catalog.catalog_tables(spark, database="no_such_database")) == set()
     one = catalog.catalog_tables(spark, "LISTED")
     assert [tuple(r) for r in catalog.explore(spark, one).drop("table_name").collect()] == [
         ("id", 1, "bigint", True, 3, 0, 0.0)]
@@ -362,3 +366,39 @@ def test_newest_per_group_with_salts(spark):
     plain = {tuple(r) for r in topk.newest_per_group(frame, "g", "t", "id", 5, salts=1).collect()}
     assert {tuple(r) for r in topk.newest_per_group(frame, "g", "t", "id", 5, salts=4).collect()} == plain
     assert len(plain) == 35
+
+
+def test_names_of_submitters_come_from_the_directory(spark):
+    submitter = "struct<displayName:string,userPrincipalName:string,mail:string,name:string,id:string,type:string>"
+    rows = [(1, (None, "u@x", None, None, "7", "User")), (2, ("App", None, None, None, "7", "Service")),
+            (3, ("Own", None, None, None, "9", "User")), (4, ("Own", None, None, "n", "8", "User")), (5, None)]
+    frame = spark.createDataFrame(rows, f"id int, submitter {submitter}")
+    users = spark.createDataFrame([("7", "Seven", None, "m"), ("8", None, None, None)],
+                                  "id string, displayName string, userPrincipalName string, mail string")
+    named = runs.with_user_names(frame, users).select("id", runs.submitter_name().alias("by")).orderBy("id")
+    assert [r["by"] for r in named.collect()] == ["Seven", "App", "Own", "n", None]
+
+
+def test_samples_are_the_same_in_any_layout(spark):
+    frame = spark.range(500).selectExpr("id", "IF(id % 9 = 0, NULL, id * 1.5D) AS x", "array(id) AS a")
+    one, other = (quality.sampled(frame.repartition(n), 10, ["id"]).orderBy("column_name").collect() for n in (2, 7))
+    assert one == other and [r["column_name"] for r in one] == ["a", "id", "x"]
+    ids = json.loads(one[1]["sample"])
+    assert len(set(ids)) == 10 and json.loads(one[0]["sample"]) == [f"[{i}]" for i in ids]
+    assert quality.sampled(frame.limit(0)).first()["sample"] == "[]"
+
+
+def test_derived_measures(spark):
+    fact = spark.createDataFrame([(1, 5.0, "a"), (1, 3.0, "b"), (2, None, "a"), (None, 1.0, None), (2, 0.0, "a"), (3, None, None)],
+                                 "k int, x double, who string")
+    dim = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three")], "k int, name string")
+    shape = {"Sum": metrics.Measure("sum", "x"), "N": metrics.Measure("count", "x"), "Who": metrics.Measure("distinct", "who"),
+             "Mean": metrics.Ratio("Sum", "N"), "Per Head": metrics.Ratio("[Sum]", "[Who]")}
+    model = metrics.Model("f", {"f": fact, "d": dim}, [metrics.Relationship("f", "k", "d", "k")], shape)
+    for presum in (True, False, None):
+        got = metrics.evaluate(model, ["Mean", "[Who]", "Per Head"], ["d.name"], presum=presum, order_by=["name"]).collect()
+        assert [tuple(r) for r in got] == [(None, 1.0, 0, None), ("one", 4.0, 2, 4.0), ("three", None, 0, None), ("two", 0.0, 1, 0.0)]
+        assert tuple(metrics.evaluate(model, ["Who", "Mean"], presum=presum).first()) == (2, 2.25)
+        assert metrics.evaluate(model, ["Who"], ["name"], {"d[name]": ["one", "two"]}, presum=presum).count() == 2
+    with pytest.raises(ValueError):
+        metrics.evaluate(metrics.Model("f", {"f": fact}, [], {"A": metrics.Ratio("A", "A")}), ["A"])
