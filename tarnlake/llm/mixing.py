@@ -144,7 +144,8 @@ def mixed_documents(docs: DataFrame, *, text: str = "text", length: str | None =
     """The documents of the mix with their own columns: one row for each time a document is taken.
 
     A document taken in part keeps its first words, joined by single spaces; ``length`` names a column that
-    holds the characters of the text, and follows it.
+    holds the characters of the text, and follows it. Null and empty texts, and texts without words, are never taken.
+    Null and repeated keys, repeated rows and clashing names are as in ``mix``. An empty table gives no rows.
     """
     inner = docs.select(
         F.struct("*").alias("doc"), named(options.pop("source", "source")).alias("source"),

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarnlake.llm.common import SPACE, WORD, bind, named, packed, unpacked
+from tarnlake.llm.common import SPACE, WORD, bind, named, packed, settle, unpacked
 
 BAD, ABSTAIN, GOOD = -1, 0, 1
 VOTES = (BAD, ABSTAIN, GOOD)
@@ -191,8 +191,13 @@ def weak_quality(docs: DataFrame, *, text: str = "text", threshold: float = 0.5,
 
 
 def keep_good(docs: DataFrame, *, text: str = "text", threshold: float = 0.5) -> DataFrame:
-    """The rows that ``weak_quality`` keeps, with their own columns only."""
-    measures = measured(docs, text)
+    """The rows that ``weak_quality`` keeps, with their own columns only.
+
+    The rows are written once beside their counts, as the fit and the verdicts both need the counts, which cost far
+    more than the writing. Null and empty texts fail the base rules and go; equal texts get equal verdicts, so that repeated
+    rows stay or go together; a null key and columns of any name are of no matter. An empty table gives no rows.
+    """
+    measures = settle(measured(docs, text), "quality-measures")
     scored = judged(measures, fit_votes(measures))
     kept = scored.where(~F.col("base_failed") & (F.col("posterior") >= F.lit(threshold)))
     return unpacked(kept, docs.columns, {})

@@ -73,8 +73,8 @@ def op6_golden_ratio_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_budgeted_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     marks = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame(
-        [(-7, 0, "user", marks), (-7, 1, "assistant", marks)], "conv_id long, turn long, role string, text string")
+    extra = spark.sql(f"""SELECT * FROM VALUES (-7L, 0L, 'user', '{marks}'), (-7L, 1L, 'assistant', '{marks}')
+                          AS extra(conv_id, turn, role, text)""")
     windows = chat.read_back(chat.format_windows(turns.unionByName(extra)))
     # A digest is a single value of the whole conversation, so its windows meet here, in order.
     whole = windows.groupBy("conv_id").agg(

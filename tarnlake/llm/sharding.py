@@ -13,7 +13,7 @@ def interleave(
 ) -> DataFrame:
     """Put every row into one of ``shards`` shards so that each shard mirrors the mixture of sources.
 
-    Rows are shuffled by a seeded hash of the key and ranked within their source; row r of a source with n
+    Rows are shuffled by a seeded hash of key and row and ranked within their source; row r of a source with n
     rows stands at (r + phase) / n, where the phase in [0, 1) is a hash of the source. All rows are then
     ordered by that fraction and cut into shards of equal count. The phase spreads sources of few rows,
     which would else all stand at one place.
@@ -21,17 +21,18 @@ def interleave(
     Returns the input columns, ``shard`` (from 0) and ``slot`` (the place in the shard, gapless from 0).
     Shard sizes differ by one row at most; a source's share of a shard by about one row.
 
-    - A null source is a source of its own. A null key is shuffled like one more key.
-    - Rows with the same key stand together, in the order of a hash of the whole row; which of two equal
-      rows comes first makes no difference. Columns of a map type can't be hashed and are refused by Spark.
+    - A null source is a source of its own. Rows with a null key, or with the same key, are shuffled like any others.
+    - Which of two equal rows comes first makes no difference. Columns of a map type can't be hashed and are
+      refused by Spark.
     - Fewer rows than shards leave shards empty; an empty table gives no rows.
     - Input columns named like a result are replaced by it.
     """
     rows = docs.count()
     cells = cell_count(docs.sparkSession, rows)
-    frame = packed(docs, stratum=null_free(named(source)), draw=F.xxhash64(F.lit(seed), named(key)))
+    # The row is drawn with its key, so that rows without a key, or with one in common, aren't all in one cell.
+    frame = packed(docs, stratum=null_free(named(source)), draw=F.xxhash64(F.lit(seed), named(key), F.struct("*")))
     frame = frame.withColumn("cell", hash_cell(F.col("draw"), cells))
-    ranked = cell_rank(frame, ["stratum"], [F.col("draw"), F.xxhash64("row")])
+    ranked = cell_rank(frame, ["stratum"], [F.col("draw")])
     # (rank + phase) / group_rows in whole numbers: the fraction's cell, and what is left of it.
     mark = F.col("rank") * cells + F.pmod(F.xxhash64(F.lit(seed), F.col("stratum")), F.lit(cells))
     placed = ranked.withColumn("mark", mark).selectExpr(

@@ -23,6 +23,8 @@ DISTANCE, BLOCKS = 2, 4
 PATTERN_BITS = 8
 ROWS_AT_ONCE = 50_000
 PAIRS_AT_ONCE = 2_000_000
+# Text that is hashed at once: the bits of its shingles take some ten times as much memory.
+TEXT_BYTES = 1_000_000
 
 
 def fingerprint_batch(texts: list[bytes], shingle: int) -> np.ndarray:
@@ -65,7 +67,7 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sh
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for low, high in slices(texts, 4_000_000):
+            for low, high in slices(texts, TEXT_BYTES):
                 carried = [batch.column(k).slice(low, high - low) for k in range(2, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(low, high - low), pa.array(fingerprint_batch(texts[low:high], shingle)),
@@ -251,20 +253,6 @@ def near_duplicates(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     return prints.join(by_print, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """Of each component the row with the smallest key, with its own columns; one row if keys repeat.
-
-    Rows with a null key can't be told from each other by it, and all stay. This tells rows by their keys alone:
-    where a key has several texts, use ``one_of_each_component``, which loses none.
-    """
-    found = near_duplicates(docs, key=key, text=text, **options)
-    kept = found.where(F.col("component_id") == F.col("doc_id")).select("doc_id").distinct()
-    frame = packed(docs, doc_id=named(key).cast("long"))
-    rows = frame.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rows = rows.select("row").union(frame.where("doc_id IS NULL").select("row"))
-    return unpacked(rows, docs.columns, {})
-
-
 def row_identity(docs: DataFrame, text: str) -> Column:
     """256 bits that differ for rows that differ in any column."""
     others = F.struct(*[named(c) for c in docs.columns if c.lower() != text.lower()])

@@ -59,25 +59,27 @@ class QueryBlock:
         self.cuts = cuts if len(cuts) > 1 else np.zeros(2, int)
 
     def blocks(self, batches: Iterator[pa.RecordBatch]):
-        """Candidates in blocks: their ids, the nodes' partial scores, and where a candidate is the query's."""
+        """Candidates in blocks: their ids (0 where null), where these are null, and the nodes' partial scores."""
         for batch in batches:
             rows, matrix = stacked(batch.column(1)).get(self.parts.shape[1], (None, None))
             if rows is None:
                 continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)[rows]
+            null = batch.column(0).is_null().to_numpy(zero_copy_only=False)[rows]
+            ids = batch.column(0).fill_null(0).to_numpy()[rows]
             kind = exact_kind(self.parts, matrix)
             for at in range(0, len(ids), VECTORS_AT_ONCE):
                 some = slice(at, at + VECTORS_AT_ONCE)
-                yield ids[some], list(partial_scores(self.parts, matrix[some], self.cuts, kind))
+                yield ids[some], null[some], list(partial_scores(self.parts, matrix[some], self.cuts, kind))
 
-    def own(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places (query, candidate) at which the candidate has the query's id."""
+    def own(self, ids: np.ndarray, null: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places (query, candidate) at which the candidate has the query's id. A null id is no query's."""
         order = np.argsort(ids, kind="stable")
         low = np.searchsorted(ids, self.ids, side="left", sorter=order)
         high = np.searchsorted(ids, self.ids, side="right", sorter=order)
         query = np.repeat(np.arange(len(self.ids)), high - low)
         nth = np.arange(len(query)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
-        return query, order[np.repeat(low, high - low) + nth]
+        at = order[np.repeat(low, high - low) + nth]
+        return query[~null[at]], at[~null[at]]
 
     def local_lists(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Phase 1: of every node the least partial score, and the totals of its k highest entries. A task's
@@ -85,12 +87,12 @@ class QueryBlock:
         n, nodes = len(self.ids), len(self.cuts) - 1
         least = np.full((nodes, n), np.iinfo(np.int64).max, np.int64)
         tops = np.full((n, self.k), np.iinfo(np.int64).min, np.int64)
-        for ids, parts in self.blocks(batches):
+        for ids, null, parts in self.blocks(batches):
             for node, scores in enumerate(parts):
                 np.minimum(least[node], scores.min(axis=1).astype(np.int64), out=least[node])
             total = sum(parts)
             total = total.astype(np.int64)
-            total[self.own(ids)] = np.iinfo(np.int64).min
+            total[self.own(ids, null)] = np.iinfo(np.int64).min
             listed = np.zeros(total.shape, bool)
             keep = min(self.k, len(ids))
             for scores in parts:
@@ -112,17 +114,17 @@ class QueryBlock:
         share = -(-span // nodes)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for ids, parts in self.blocks(batches):
+            for ids, null, parts in self.blocks(batches):
                 collected = np.zeros(parts[0].shape, bool)
                 for node, scores in enumerate(parts):
                     collected |= scores >= (least[node] + share)[:, None]
-                collected[self.own(ids)] = False
+                collected[self.own(ids, null)] = False
                 query, at = np.nonzero(collected)
                 total = sum(p[query, at].astype(np.int64) for p in parts)
                 kept = total >= cutoff[query]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(query[kept] + self.first), pa.array(self.ids[query[kept]]), pa.array(ids[at[kept]]),
-                    pa.array(total[kept])], ["query", "query_id", "vec_id", "score"])
+                    pa.array(query[kept] + self.first), pa.array(self.ids[query[kept]]),
+                    pa.array(ids[at[kept]], mask=null[at[kept]]), pa.array(total[kept])], ["query", "query_id", "vec_id", "score"])
 
         return run
 

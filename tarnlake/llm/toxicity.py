@@ -138,7 +138,12 @@ def severity_grades(sizes: np.ndarray, features: np.ndarray, toxic: np.ndarray)
 
 def labelled_sets(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text",
                   label: str = "toxic", most: int = MOST_LABELLED) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Feature sets and labels of at most ``most`` labelled documents, chosen by a hash of their key."""
+    """Feature sets and labels of at most ``most`` labelled documents, chosen by a hash of their key.
+
+    A key is one document: of rows that share it, the one whose text has the least digest, so that the bound holds
+    however often keys repeat. A key labelled several times has its greatest label. Null keys and null labels are passed
+    over; a null text is an empty one; other columns are left out. Without labelled documents all three are empty.
+    """
     marked = labels.select(named(key).alias("doc_id"), named(label).cast("int").alias("label")).where(
         "doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
@@ -154,13 +159,12 @@ def labelled_sets(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", te
                     batch.column(0).slice(low, high - low), batch.column(1).slice(low, high - low), lists],
                     ["doc_id", "label", "features"])
 
-    rows = plain.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text").mapInArrow(
-        scan, "doc_id long, label int, features array<int>").toPandas()
-    rows["n"] = rows["features"].map(len)
-    rows["mark"] = rows["features"].map(lambda f: zlib.crc32(np.asarray(f, np.int32).tobytes()))
-    rows = rows.sort_values(["doc_id", "n", "mark"])
-    features = np.concatenate([np.zeros(0, np.int32), *rows["features"]]).astype(np.int32).view(np.uint32)
-    return rows["n"].to_numpy(np.int64), features.astype(np.int64), rows["label"].to_numpy(np.int64)
+    single = plain.join(F.broadcast(chosen), "doc_id").groupBy("doc_id").agg(
+        F.first("label").alias("label"), F.min_by("text", F.struct(F.xxhash64("text"), F.octet_length("text"))).alias("text"))
+    rows = single.mapInArrow(scan, "doc_id long, label int, features array<int>").toArrow().sort_by("doc_id")
+    lists = rows.column("features").combine_chunks()
+    features = lists.flatten().to_numpy().view(np.uint32).astype(np.int64)
+    return lists.value_lengths().to_numpy().astype(np.int64), features, rows.column("label").to_numpy().astype(np.int64)
 
 
 def grade_texts(docs: DataFrame, model: OrdinalModel, *, text: str = "text", cut: float = 0.5) -> DataFrame:

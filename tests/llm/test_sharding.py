@@ -1,5 +1,7 @@
 from collections import Counter, defaultdict
 
+from pyspark.sql import functions as F
+
 from tarnlake.llm import sharding
 from tarnlake.llm.common import cell_rank
 
@@ -56,3 +58,18 @@ def test_cell_rank_is_the_plain_rank(spark):
         for k, (_, i, v) in enumerate(rows):
             assert got[i] == (k, ahead, len(rows), sum(r[2] for r in rows))
             ahead += v
+
+
+def test_rows_under_one_key_are_many_cells(spark):
+    """A third of all rows without a key, and a third under one key, are drawn by their own rows."""
+    from tarnlake.llm import common
+
+    docs = spark.range(3000).selectExpr("CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE id END AS doc_id", "'a' AS source", "id AS size")
+    frame = common.packed(docs, draw=F.xxhash64(F.lit(17), F.col("doc_id"), F.struct("*"))).withColumn(
+        "cell", common.hash_cell(F.col("draw"), 30))
+    assert max(r["count"] for r in frame.groupBy("cell").count().collect()) < 200
+    placed = sharding.interleave(docs, 7)
+    sizes = [r["count"] for r in placed.groupBy("shard").count().collect()]
+    assert len(sizes) == 7 and max(sizes) - min(sizes) <= 1
+    slots = placed.groupBy("shard").agg(F.sort_array(F.collect_list("slot")).alias("s")).collect()
+    assert all(r["s"] == list(range(len(r["s"]))) for r in slots)

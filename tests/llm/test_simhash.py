@@ -100,10 +100,7 @@ def test_oddities(spark, oddities, nothing):
     assert sorted((r["doc_id"] or -1, r["component_id"]) for r in rows if r["fp"] == 0) == [(-1, 2), (2, 2), (3, 2), (4, 2)]
     assert sorted(r["doc_id"] for r in rows if r["component_id"] == 1) == [1, 6]
     assert [r["component_id"] for r in rows if r["doc_id"] is None and r["fp"]] == [None]
-    kept = simhash.one_of_each(oddities)
-    assert kept.columns == oddities.columns
-    assert sorted(r["doc_id"] or -1 for r in kept.collect()) == [-1, -1, 1, 2, 5]
-    assert simhash.near_duplicates(nothing).collect() == [] and simhash.one_of_each(nothing).collect() == []
+    assert simhash.near_duplicates(nothing).collect() == []
 
 
 def test_rows_of_one_key_each_keep_their_component(spark, oddities, nothing):

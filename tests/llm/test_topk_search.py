@@ -66,3 +66,17 @@ def test_oddities(spark):
     assert search(spark, [], 3) == [] and search(spark, [(1, [1.0])], 3) == []
     wide = spark.createDataFrame([(1, [1.0], 5, 6), (2, [2.0], 5, 6)], SHAPE + ", score int, query int")
     assert sorted(map(tuple, topk_search.top_k(wide, wide, 1).collect())) == [(1, 1, 2, 8192), (2, 1, 1, 8192)]
+
+
+def test_null_ids_are_candidates_but_no_queries(spark):
+    """Ids beyond 2**53 beside them keep all their digits, and an id of 0 is not taken for a null one."""
+    large = 2**60 + 1
+    rows = [(0, [1.0, 1.0]), (None, [1.0, 1.0]), (large, [1.0, 1.0]), (None, [2.0, 1.0]), (large + 1, [0.5, 1.0])]
+    frame = spark.createDataFrame(rows, SHAPE).coalesce(1)
+    got = sorted((tuple(r) for r in topk_search.top_k(frame, frame, 4).collect()), key=lambda r: r[:2])
+    unit = 64 * 64
+    assert got == [
+        (0, 1, None, 3 * unit), (0, 2, large, 2 * unit), (0, 3, None, 2 * unit), (0, 4, large + 1, unit * 3 // 2),
+        (large, 1, None, 3 * unit), (large, 2, 0, 2 * unit), (large, 3, None, 2 * unit), (large, 4, large + 1, unit * 3 // 2),
+        (large + 1, 1, None, 2 * unit), (large + 1, 2, 0, unit * 3 // 2), (large + 1, 3, large, unit * 3 // 2),
+        (large + 1, 4, None, unit * 3 // 2)]

@@ -79,3 +79,12 @@ def test_oddities(spark, oddities, nothing, halves):
     sizes, features, toxic = toxicity.labelled_sets(oddities, labels)
     assert toxic.tolist() == [1, 0] and sizes.sum() == len(features)
     assert [len(a) for a in toxicity.labelled_sets(nothing, labels.where("false"))] == [0, 0, 0]
+
+
+def test_a_key_that_repeats_is_one_document(spark):
+    docs = spark.range(3000).selectExpr("7L AS doc_id", "concat('text number ', id % 40) AS text").union(
+        spark.sql("SELECT 8L, 'another one'"))
+    labels = spark.createDataFrame([(7, 0), (7, 1), (8, 0)], "doc_id long, toxic int")
+    first, again = (toxicity.labelled_sets(d, labels, most=10) for d in (docs, docs.repartition(5)))
+    assert len(first[0]) == 2 and first[2].tolist() == [1, 0] and len(first[1]) == first[0].sum()
+    assert all((a == b).all() for a, b in zip(first, again))
