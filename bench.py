@@ -26,6 +26,7 @@ HEADLINE = [
     "ml_regression_metrics",
     "running_total_chunked", "row_number_chunked", "rank_chunked", "median_chunked", "anomaly_component",
     "upsert_partitions", "incremental_copy", "entity_series", "relationship_edges", "table_profile",
+    "row_number_hot_group", "upsert_key_ranges", "metric_ratio", "metric_distinct", "anomaly_spectral_advanced",
 ]
 
 
