@@ -82,25 +82,28 @@ def schedule(spark, sources: list[tuple[str, float, int]], blocks_wanted: list[f
         "slot", "stratum", "rank", "rank % blocks AS block", "rank div blocks AS epoch")
 
 
-def mix(docs: DataFrame, *, size: Column | None = None, text: str = "text", source: str = "source",
-        key: str = "doc_id", seed: int = 23, repeats: int = REPEATS) -> DataFrame:
+def mix(docs: DataFrame, *, size: Column | None = None, apart: Column | None = None, text: str = "text",
+        source: str = "source", key: str = "doc_id", seed: int = 23, repeats: int = REPEATS) -> DataFrame:
     """How many words of each document the mix takes.
 
-    Documents of a source are shuffled by a seeded hash and laid end to end, and cut into blocks of equal
-    words. The schedule's slots take the blocks of their source in turn, up to ``repeats`` times each; a
+    Documents of a source are shuffled by a seeded hash of the key and of ``apart``, which tells rows of one key apart
+    (the text, or with a ``size`` the whole row), laid end to end, and cut into blocks of equal words. The schedule's slots take the blocks of their source in turn, up to ``repeats`` times each; a
     document is taken where its blocks are. Only one row a source reaches the driver.
 
     Returns the input columns, ``size``, ``source_size``, ``target`` (of the source), ``taken`` and
     ``taken_by_epoch`` (an array: in each epoch, how many words from the document's start).
 
     - A null source is a source of its own, last in order. A null text has size 0 and is taken 0 times,
-      as is every row of a source without words. A null key is shuffled like one more key.
-    - Rows with the same key stand together, in the order of a hash of the row; repeated rows are documents of
-      their own. An empty table gives no rows. Input columns named like a result are replaced by it.
+      as is every row of a source without words.
+    - Rows with a null key, or with the same key, are shuffled like any others; repeated rows are documents of
+      their own. Columns of a map type can't be hashed and are refused by Spark. An empty table gives no rows. Input columns named like a result are replaced by it.
     """
     spark = docs.sparkSession
+    # Rows without a key, or with one in common, would else all be in one cell.
+    if apart is None:
+        apart = named(text) if size is None else F.struct("*")
     sized = packed(
-        docs, stratum=null_free(named(source)), draw=F.xxhash64(F.lit(seed), named(key)),
+        docs, stratum=null_free(named(source)), draw=F.xxhash64(F.lit(seed), named(key), apart),
         size=word_count(named(text)) if size is None else size)
     totals = {r["stratum"]: (r["words"], r["n"]) for r in sized.groupBy("stratum").agg(
         F.sum("size").alias("words"), F.count(F.lit(1)).alias("n")).collect()}
@@ -150,9 +153,9 @@ def mixed_documents(docs: DataFrame, *, text: str = "text", length: str | None =
     inner = docs.select(
         F.struct("*").alias("doc"), named(options.pop("source", "source")).alias("source"),
         named(options.pop("key", "doc_id")).alias("doc_id"))
-    taken = mix(inner, size=word_count(F.col("doc").getField(text)), **options)
-    taken = taken.select("doc", "size", F.explode("taken_by_epoch").alias("n")).where("n > 0")
     whole = F.col("doc").getField(text)
+    taken = mix(inner, size=word_count(whole), apart=whole, **options)
+    taken = taken.select("doc", "size", F.explode("taken_by_epoch").alias("n")).where("n > 0")
     part = F.array_join(F.slice(F.array_remove(F.split(whole, SPACE), ""), 1, F.col("n").cast("int")), " ")
     taken = taken.withColumn("cut", F.when(F.col("n") < F.col("size"), part).otherwise(whole))
     made = {text: F.col("cut")}

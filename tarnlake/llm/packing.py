@@ -187,14 +187,15 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, unit: int = UNIT, seed: int
 
     Lengths are counted in classes of ``unit`` tokens, rounded up, at most capacity / unit of them; the plan is
     made from that histogram alone. Pieces of a class are ranked in a seeded order, and ranks are dealt to the
-    places which the patterns hold for the class. Repeated rows are pieces of their own; a null doc_id is
-    shuffled like one more key; an empty table gives no rows. Other columns are kept, and replaced if named like a result.
+    places which the patterns hold for the class. Repeated rows are pieces of their own; rows with a null or a common
+    doc_id are shuffled like any others; an empty table gives no rows. Other columns are kept, and replaced if named
+    like a result; those of a map type can't be hashed and are refused by Spark.
     """
     room = capacity // unit
     kept = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
     inner = {c: f"in_{k}" for k, c in enumerate(kept)}
     plain = pieces.select(*[named(c).alias(i) for c, i in inner.items()])
-    length, identity = inner["length"], [inner["doc_id"], inner["start"]]
+    length = inner["length"]
     classed = plain.withColumn("_class", F.ceil(F.col(length) / unit).cast("long"))
     histogram = {r["_class"]: r["count"] for r in classed.groupBy("_class").count().collect()}
     demand = np.zeros(room, np.int64)
@@ -226,10 +227,11 @@ def pack(pieces: DataFrame, *, capacity: int = 2048, unit: int = UNIT, seed: int
             yield batch.drop(columns=["_class", "rank"]).assign(sequence_id=sequence, _slot=slot)
 
     cells = cell_count(pieces.sparkSession, sum(histogram.values()))
-    drawn = classed.withColumn("_draw", F.xxhash64(F.lit(seed), *identity)).withColumn(
-        "cell", hash_cell(F.col("_draw"), cells))
     columns = plain.columns
-    ranked = cell_rank(drawn, ["_class"], [F.col("_draw"), F.xxhash64(*columns)])
+    # Whole rows are drawn, so that pieces without a key, or with one in common, aren't all in one cell.
+    drawn = classed.withColumn("_draw", F.xxhash64(F.lit(seed), *columns)).withColumn(
+        "cell", hash_cell(F.col("_draw"), cells))
+    ranked = cell_rank(drawn, ["_class"], [F.col("_draw")])
     shape = T.StructType([*plain.schema.fields, T.StructField("sequence_id", T.LongType()),
                           T.StructField("_slot", T.LongType())])
     dealt = ranked.select(*columns, "_class", "rank").mapInPandas(deal, shape)

@@ -93,3 +93,23 @@ def test_oddities(oddities, nothing):
     assert mixing.mixed_documents(oddities).columns == oddities.columns
     empty = oddities.where("text IS NULL")
     assert [r["taken"] for r in mixing.mix(empty).collect()] == [0, 0]
+
+
+def test_rows_under_one_key_are_shuffled_apart(spark):
+    """A third of all rows without a key and a third under one key: rows of both, and of the rest, are taken alike."""
+    docs = spark.range(3000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE id END AS doc_id", "IF(id < 1500, 'a', 'b') AS source",
+        "concat('w', id, repeat(' w', int(id % 7))) AS text", "id AS own")
+    rows = mixing.mix(docs).collect()
+    assert sorted(r["own"] for r in rows) == list(range(3000))
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r["source"]].append(r)
+    for own in by_source.values():
+        assert sum(r["taken"] for r in own) == pytest.approx(own[0]["target"], rel=0.03)
+        share = own[0]["target"] / own[0]["source_size"]
+        for third in range(3):
+            some = [r for r in own if r["own"] % 3 == third]
+            assert sum(r["taken"] for r in some) == pytest.approx(share * sum(r["size"] for r in some), rel=0.15)
+    again = {r["own"]: r["taken"] for r in mixing.mix(docs.repartition(5)).collect()}
+    assert again == {r["own"]: r["taken"] for r in rows}

@@ -122,3 +122,20 @@ def test_many_pieces_of_one_length(spark):
     for r in rows:
         filled[r["sequence_id"]] += r["length"]
     assert len(rows) == 30_000 and max(filled.values()) <= 2048
+
+
+def test_pieces_under_one_key(spark):
+    """A third of the pieces without a key and a third under one key: each is in one place, and none overlap."""
+    pieces = spark.range(3000).selectExpr(
+        "CASE id % 3 WHEN 0 THEN NULL WHEN 1 THEN 5 ELSE id END AS doc_id", "0L AS start",
+        "1 + id * 37 % 900 AS length", "id AS own")
+    rows = packing.pack(pieces).collect()
+    assert sorted(r["own"] for r in rows) == list(range(3000))
+    sequences = defaultdict(list)
+    for r in rows:
+        assert r["length"] == 1 + r["own"] * 37 % 900
+        sequences[r["sequence_id"]].append((r["offset"], r["length"]))
+    for parts in sequences.values():
+        ends = [offset + length for offset, length in sorted(parts)]
+        assert [offset for offset, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    assert len(sequences) < 1.02 * sum(r["length"] for r in rows) / 2048 + 1
