@@ -9,6 +9,8 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
+from tarnlake.llm.tokens import spans
+
 # Fixed value: the added token of the vocabulary. It parts words that are encoded together.
 MARK, MARK_ID = "<|endoftext|>", 50256
 PARTS_AT_ONCE = 20_000
@@ -112,12 +114,6 @@ class ByteTokens:
         return np.array([len(e) for e in each], np.int64), np.concatenate(each)
 
 
-def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The places start, start + 1, ... of every span, one span after another."""
-    ends = np.cumsum(lengths)
-    return np.repeat(starts - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 @lru_cache(maxsize=2)
 def byte_tokens(path: str) -> ByteTokens:
     """One store for each Python worker, kept from task to task."""

@@ -5,9 +5,10 @@ from __future__ import annotations
 import re
 from collections import defaultdict
 from functools import lru_cache
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 # Fixed value: an added token of the vocabulary; it separates words that are encoded together.
@@ -15,47 +16,56 @@ MARK, MARK_ID = "<|startoftext|>", 49406
 WORDS_AT_ONCE = 2000
 # Text that is encoded at once, as its ids and their places take about twenty times as much memory.
 TEXT_BYTES = 2_000_000
-# Words of these characters are cut into parts alike before and after normalising: letters stay single letters in
-# lower case, no apostrophe starts a contraction, and no angle bracket an added token.
+# Words of these characters are cut into parts by the pattern below exactly as the vocabulary's own rule cuts them, and
+# normalising only puts them in lower case: each letter stays a single one, no apostrophe starts a contraction, and no
+# angle bracket an added token.
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 SIMPLE = re.compile(rf"[{LETTERS}!-&(-;=-~]+").fullmatch
 PARTS = re.compile(f"[{LETTERS}]+|[0-9]|[^{LETTERS}0-9]+").findall
+# Byte-level spelling: printable bytes of Latin-1 are themselves, the others follow 255 in order; a space parts words.
+BYTES = np.arange(256, dtype="<u4")
+BYTES[[*range(0x20), *range(0x7F, 0xA1), 0xAD]] = np.arange(256, 256 + 67) + np.r_[np.zeros(32, int), np.ones(35, int)]
 
 
 class WordTokens:
     """Encodes with a tokenizer that never joins words across ASCII white space.
 
     The ids of a text are then the ids of its words, one after another. Distinct words are encoded and kept,
-    up to ``limit`` of them; beyond that the store starts afresh, which changes no result.
+    up to about ``limit`` of them; beyond that the half that was met least goes, which changes no result.
     """
 
     def __init__(self, path: str, limit: int = 250_000):
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
-        self.forget()
+        self.model = self.tokenizer.model
+        self._keep([], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32))
 
-    def forget(self) -> None:
-        self.index: defaultdict[bytes, int] = defaultdict()
+    def _keep(self, words: list[bytes], met: np.ndarray, lengths: np.ndarray, ids: np.ndarray) -> None:
+        self.index: defaultdict[bytes, int] = defaultdict(None, zip(words, range(len(words))))
         self.index.default_factory = self.index.__len__
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
+        self.met, self.lengths, self.ids = met, lengths, ids
+        self.starts = np.cumsum(lengths) - lengths
+
+    def _shrink(self) -> None:
+        kept = np.sort(np.argsort(-self.met, kind="stable")[:self.limit // 2])
+        lengths, chosen = self.lengths[kept], np.zeros(len(self.index), bool)
+        chosen[kept] = True
+        words = [w for w, keep in zip(self.index, chosen.tolist()) if keep]
+        self._keep(words, self.met[kept] // 2, lengths, self.ids[spans(self.starts[kept], lengths)])
 
     def _ids(self, text: str) -> np.ndarray:
         encoded = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
         return np.array(encoded.ids, dtype=np.uint32)
 
-    def _simple(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """Lengths and ids of simple words, encoded with a space between them: an id that ends a part tells
-        where. None if the parts are not as many as expected."""
-        parts = np.fromiter((1 if w.isalpha() else len(PARTS(w)) for w in words), np.int64, len(words))
-        ids = self._ids(" ".join(words))
-        ends = np.flatnonzero(self.ends[ids])
-        if len(ends) != parts.sum():
-            return None
-        return np.diff(ends[np.cumsum(parts) - 1], prepend=-1), ids
+    def _simple(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Lengths and ids of simple words: their parts are given to the model spelled byte by byte."""
+        parts = [[w] if w.isalpha() else PARTS(w) for w in words]
+        n_parts = np.fromiter(map(len, parts), np.int64, len(parts))
+        octets = np.frombuffer(" ".join(chain.from_iterable(parts)).lower().encode(), np.uint8)
+        spelled = BYTES[octets].tobytes().decode("utf-32-le")
+        tokens = [self.model.tokenize(part) for part in spelled.split(" ")]
+        ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)))[np.cumsum(n_parts) - 1]
+        ids = np.fromiter((t.id for t in chain.from_iterable(tokens)), np.uint32, ends[-1])
+        return np.diff(ends, prepend=0), ids
 
     def _marked(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Lengths and ids of any words, encoded with a mark between them."""
@@ -77,32 +87,41 @@ class WordTokens:
             for at in range(0, len(places), WORDS_AT_ONCE):
                 some = places[at:at + WORDS_AT_ONCE]
                 chosen = [texts[k] for k in some.tolist()]
-                sizes, ids = (self._simple(chosen) if kind else None) or self._marked(chosen)
+                sizes, ids = (self._simple if kind else self._marked)(chosen)
                 lengths[some], starts[some] = sizes, used + np.cumsum(sizes) - sizes
                 stored.append(ids)
                 used += len(ids)
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate(stored)
+        self.met = np.concatenate([self.met, np.zeros(len(texts), np.int64)])
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The number of ids of each UTF-8 text, and all their ids one after another."""
         if len(self.index) > self.limit:
-            self.forget()
+            self._shrink()
         known, words, n_words = len(self.index), [], []
         for text in texts:
             own = text.split()
             words += own
             n_words.append(len(own))
-        codes = np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+        # Only the distinct words of these texts are looked up.
+        coded = pa.array(words, pa.large_binary()).dictionary_encode()
+        distinct, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        codes = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
         if new := len(self.index) - known:
             self._learn(list(islice(reversed(self.index), new))[::-1])
+        self.met[codes] += np.bincount(at, minlength=len(distinct))
+        codes = codes[at]
         lengths = self.lengths[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.ids[np.repeat(self.starts[codes] - ends + lengths, lengths) + np.arange(total)]
-        word_ends = np.concatenate([[0], ends])[np.cumsum(n_words)] if n_words else np.zeros(0, np.int64)
-        return np.diff(word_ends, prepend=0), ids
+        word_ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(n_words, dtype=np.int64)]
+        return np.diff(word_ends, prepend=0), self.ids[spans(self.starts[codes], lengths)]
+
+
+def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every span, one span after another."""
+    ends = np.cumsum(lengths)
+    return np.repeat(starts - ends + lengths, lengths) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
 @lru_cache(maxsize=2)
