@@ -15,6 +15,8 @@ from tarnlake.llm.tokens import TEXT_BYTES, slices, word_tokens
 # The file format: little-endian ids of WIDTH bytes, stored plus one, so that 0 is free to end a document.
 WIDTH, END_ID = 2, 0
 BLOCK_BYTES = 1 << 20
+# Writing files shares an executor with whole files that are read: a smaller store of words, and less text at once.
+STORED_WORDS = 150_000
 PARTITIONS = "spark.sql.files.minPartitionNum"
 
 
@@ -34,10 +36,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, *, key: str =
         named(key).cast("long").alias("doc_id"), F.coalesce(named(text), F.lit("")).cast("binary").alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokens(tokenizer)
+        words = word_tokens(tokenizer, STORED_WORDS)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            for low, high in slices(texts, TEXT_BYTES):
+            for low, high in slices(texts, TEXT_BYTES // 2):
                 counts, ids = words.encode(texts[low:high])
                 data, ends = (ids + 1).astype("<u2").tobytes(), np.cumsum(counts) * WIDTH
                 offsets = np.r_[0, ends].astype(np.int32)

@@ -125,9 +125,9 @@ def spans(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 @lru_cache(maxsize=2)
-def word_tokens(path: str) -> WordTokens:
+def word_tokens(path: str, limit: int = 250_000) -> WordTokens:
     """One store for each Python worker, kept from task to task."""
-    return WordTokens(path)
+    return WordTokens(path, limit)
 
 
 def slices(texts, most_bytes: int = 8_000_000):
