@@ -3,6 +3,11 @@
 Streaming every document past every shard's index would take corpus times shards. Here a shard holds the
 stretches of text that share minimizers, and only those stretches stream past it: every window of words has
 one minimizer (the least hash among its grams), equal windows have equal ones and so meet in one shard.
+
+The stretches of a frequent minimizer are dealt out over several shards. Each shard's index finds the windows
+that a lesser document of the same shard holds; what no shard finds goes on to a second round, whose minimizers
+are longer grams. Of a window's occurrences only those of each shard's least document go on, so that copies
+shrink from round to round and none is lost.
 """
 
 from __future__ import annotations
@@ -23,15 +28,17 @@ from tarnlake.llm.fm_index import FmIndex
 from tarnlake.llm.tokens import slices
 
 WINDOW = 13
-GRAM = 5
+# Words in the grams of the first round's minimizers, and of the second's.
+GRAM, LONG_GRAM = 5, 9
 # Windows a stretch may have: no more than grams in a window, so that it stays short.
 MOST_WINDOWS = WINDOW - GRAM + 1
-# A minimizer in more stretches than this is frequent text; its stretches are dealt out window by window.
+# A minimizer in more stretches than this is frequent text, dealt out over shards of about so many stretches.
 FREQUENT = 500
 SHARD_WORDS = 300_000
 ROWS_AT_ONCE = 20_000
 SEGMENTS = "doc_id long, crc long, start int, windows int, minimizer long"
-STRETCHES = "route long, content long, words binary, doc_id long, crc long, start int, windows int"
+STRETCHES = "minimizer long, parts long, words binary, doc_id long, crc long, start int, windows int"
+RESULTS = "doc_id long, crc long, start int, windows int, bits long, words binary"
 
 
 def hash_words(words: list[bytes]) -> np.ndarray:
@@ -47,20 +54,21 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ values >> np.uint64(29)
 
 
-def segment(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+def segment(texts: list[bytes], gram: int = GRAM) -> tuple[np.ndarray, ...]:
     """Cut texts into runs of windows with the same minimizer: text number, first word, windows, minimizer."""
+    most = WINDOW - gram + 1
     split = [text.split() for text in texts]
     n = np.array([len(words) for words in split], dtype=np.int64)
     flat = hash_words([w for words in split for w in words])
     total = len(flat) - WINDOW + 1
     if total <= 0:
         return tuple(np.zeros(0, np.int64) for _ in range(4))
-    grams = np.zeros(len(flat) - GRAM + 1, np.uint64)
-    for k in range(GRAM):
-        grams = grams * np.uint64(0xBF58476D1CE4E5B9) + flat[k:len(flat) - GRAM + 1 + k]
+    grams = np.zeros(len(flat) - gram + 1, np.uint64)
+    for k in range(gram):
+        grams = grams * np.uint64(0xBF58476D1CE4E5B9) + flat[k:len(flat) - gram + 1 + k]
     grams = mixed(grams)
     least = grams[:total].copy()
-    for k in range(1, MOST_WINDOWS):
+    for k in range(1, most):
         np.minimum(least, grams[k:k + total], out=least)
     text = np.repeat(np.arange(len(texts)), n)
     inside = text[:total] == text[WINDOW - 1:]
@@ -70,7 +78,7 @@ def segment(texts: list[bytes]) -> tuple[np.ndarray, ...]:
     text, least = text[at], least[at]
     change = np.r_[True, (text[1:] != text[:-1]) | (least[1:] != least[:-1])]
     since = np.arange(len(at)) - np.flatnonzero(change)[np.cumsum(change) - 1]
-    first = np.flatnonzero(since % MOST_WINDOWS == 0)
+    first = np.flatnonzero(since % most == 0)
     word = at - (np.cumsum(n) - n)[text]
     return text[first], word[first], np.diff(np.r_[first, len(at)]), least[first].view(np.int64)
 
@@ -92,40 +100,40 @@ def segments(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "crc", "text").mapInArrow(scan, SEGMENTS)
 
 
+def shared_minimizers(found: DataFrame) -> DataFrame:
+    """The minimizers that two documents share, and over how many shards (``parts``) each is dealt out."""
+    return found.groupBy("minimizer").agg(
+        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where(
+        "low < high").select("minimizer", F.ceil(F.col("n") / FREQUENT).alias("parts"))
+
+
 def stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The words of the wanted segments: from the first word of the first window to the last of the last.
-
-    The route is the minimizer; frequent ones are cut into single windows, routed by their content, so that
-    no shard gets all of them.
-    """
+    A task takes rows that are alike in key and checksum once."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh64_intdigest
         texts: list[bytes] = []
-        places: list[tuple[int, int, int, int, int]] = []
+        places: list[tuple[int, int, int, int, int, int]] = []
+        seen: set[tuple[int, int]] = set()
 
         def made() -> pa.RecordBatch:
-            contents = np.fromiter(map(digest, texts), np.uint64, len(texts)).view(np.int64)
-            least, docs_, crcs, first, many = np.array(places, np.int64).T
+            least, parts, docs_, crcs, first, many = np.array(places, np.int64).T
             return pa.RecordBatch.from_arrays([
-                pa.array(np.where(many < 0, contents, least)), pa.array(contents), pa.array(texts, pa.binary()),
-                pa.array(docs_), pa.array(crcs), pa.array(first.astype(np.int32)),
-                pa.array(np.abs(many).astype(np.int32))],
-                ["route", "content", "words", "doc_id", "crc", "start", "windows"])
+                pa.array(least), pa.array(parts), pa.array(texts, pa.binary()), pa.array(docs_), pa.array(crcs),
+                pa.array(first.astype(np.int32)), pa.array(many.astype(np.int32))],
+                ["minimizer", "parts", "words", "doc_id", "crc", "start", "windows"])
 
         for batch in batches:
             for row in range(batch.num_rows):
                 doc, crc = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
+                if (doc, crc) in seen:
+                    continue
+                seen.add((doc, crc))
                 words = batch.column(2)[row].as_py().split()
                 found = batch.column(3).slice(row, 1).flatten().flatten()
-                for s, n, m, frequent in zip(*[f.to_pylist() for f in found]):
-                    if frequent:
-                        # Routed by content, which the sign of the count tells.
-                        places += [(m, doc, crc, s + k, -1) for k in range(n)]
-                        texts += [b" ".join(words[s + k:s + k + WINDOW]) for k in range(n)]
-                    else:
-                        places.append((m, doc, crc, s, n))
-                        texts.append(b" ".join(words[s:s + n + WINDOW - 1]))
+                for s, n, m, parts in zip(*[f.to_pylist() for f in found]):
+                    places.append((m, parts, doc, crc, s, n))
+                    texts.append(b" ".join(words[s:s + n + WINDOW - 1]))
                 if len(texts) >= ROWS_AT_ONCE:
                     yield made()
                     texts.clear()
@@ -135,53 +143,82 @@ def stretches(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     # Written, so that the shuffle files of its making are gone before the texts are shuffled.
     listed = settle(wanted.groupBy("doc_id", "crc").agg(
-        F.collect_set(F.struct("start", "windows", "minimizer", "frequent")).alias("found")), "wanted-segments")
+        F.collect_set(F.struct("start", "windows", "minimizer", "parts")).alias("found")), "wanted-segments")
     joined = docs.select("doc_id", "crc", "text").join(listed, ["doc_id", "crc"])
     return joined.select("doc_id", "crc", "text", "found").mapInArrow(cut, STRETCHES)
 
 
-def search_shard(texts: list[bytes], firsts: np.ndarray) -> np.ndarray:
-    """For distinct stretches and the least document of each: a bit for every window (by place in the
-    stretch) that a lesser document holds too, as the shard's index finds it."""
+def search_shard(texts: list[bytes], docs: np.ndarray) -> np.ndarray:
+    """For the stretches of a shard and the document of each: a bit for every window (by place in the stretch)
+    that a lesser document holds too.
+
+    The index holds every stretch, equal ones as often as they are there. A window's suffix interval names all
+    its places, whose least document decides. Equal stretches ask for the same intervals, so one of them asks.
+    """
+    known: defaultdict[bytes, int] = defaultdict()
+    known.default_factory = known.__len__
+    kind = np.fromiter(map(known.__getitem__, texts), np.int64, len(texts))
     index: defaultdict[bytes, int] = defaultdict()
     index.default_factory = lambda: len(index) + 1
     symbols: list[int] = []
-    sizes = np.zeros(len(texts), np.int64)
-    for at, text in enumerate(texts):
+    sizes = np.zeros(len(known), np.int64)
+    for at, text in enumerate(known):
         words = text.split()
         sizes[at] = len(words)
         symbols += map(index.__getitem__, words)
         symbols.append(0)
-    text = np.array(symbols, np.int64)
-    fm = FmIndex(text, len(index) + 1, WINDOW)
+    asked = np.array(symbols, np.int64)
     begins = np.cumsum(sizes + 1) - sizes - 1
+    long = sizes[kind] + 1
+    held = asked[np.arange(long.sum()) + np.repeat(begins[kind] - np.cumsum(long) + long, long)]
+    fm = FmIndex(held, len(index) + 1, WINDOW)
     windows = sizes - WINDOW + 1
-    which = np.repeat(np.arange(len(texts)), windows)
-    place = np.arange(len(which)) - np.repeat(np.cumsum(windows) - windows, windows)
-    ends = begins[which] + place + WINDOW - 1
-    matched, low, high = fm.matching_statistics(text, ends, WINDOW)
+    ahead = np.cumsum(windows) - windows
+    ends = np.arange(windows.sum()) + np.repeat(begins - ahead, windows) + WINDOW - 1
+    matched, low, high = fm.matching_statistics(asked, ends, WINDOW)
     hit = np.flatnonzero(matched == WINDOW)
-    least = fm.least_in(np.repeat(firsts, sizes + 1), low[hit], high[hit])
-    earlier = hit[least < firsts[which[hit]]]
+    least = np.full(len(ends), np.iinfo(np.int64).max)
+    least[hit] = fm.least_in(np.repeat(docs, long), low[hit], high[hit])
     bits = np.zeros(len(texts), np.int64)
-    np.bitwise_or.at(bits, which[earlier], np.int64(1) << place[earlier])
+    for place in range(int(windows.max(initial=0))):
+        there = np.flatnonzero(windows[kind] > place)
+        earlier = least[ahead[kind[there]] + place] < docs[there]
+        bits[there] |= earlier.astype(np.int64) << place
     return bits
 
 
-def shard_results(distinct: DataFrame) -> DataFrame:
-    """Index and search the distinct stretches (``route``, ``content``, ``words``, ``first``) of each shard:
-    ``earlier``, the windows of the first document that a lesser one holds."""
+def searched(pieces: DataFrame) -> DataFrame:
+    """Index and search the stretches of each shard: ``bits``, the windows of a stretch that a lesser document
+    of its shard holds, and ``words``, where other shards may hold its other windows. Other stretches without
+    such windows are left out.
+
+    A shard is a minimizer, or a part of a frequent one, told by a hash of the stretch's document and place;
+    a task solves several shards at once.
+    """
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least, parts, doc, crc, start = (
+                batch.column(n).to_numpy().astype(np.int64).view(np.uint64)
+                for n in ("minimizer", "parts", "doc_id", "crc", "start"))
+            part = mixed(mixed(mixed(doc) + crc) + start) % parts
+            shard = np.where(parts > 1, mixed(mixed(least) + part), least).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), *batch.columns[1:]], ["shard", *batch.schema.names[1:]])
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
 
         def solve(table: pa.Table) -> pa.RecordBatch:
-            firsts = table.column("first").to_numpy()
-            bits = search_shard(table.column("words").to_pylist(), firsts)
-            return pa.RecordBatch.from_arrays([
-                table.column("route").combine_chunks(), table.column("content").combine_chunks(),
-                pa.array(firsts), pa.array(bits)], ["route", "content", "first", "earlier"])
+            table = table.combine_chunks()
+            bits = search_shard(table.column("words").to_pylist(), table.column("doc_id").to_numpy())
+            every = (np.int64(1) << table.column("windows").to_numpy().astype(np.int64)) - 1
+            open_ = (table.column("parts").to_numpy() > 1) & (bits != every)
+            rows = np.flatnonzero(open_ | (bits != 0))
+            words = pa.array(table.column("words").take(pa.array(rows)).to_pylist(), pa.binary(), mask=~open_[rows])
+            kept = [table.column(n).combine_chunks().take(pa.array(rows)) for n in ("doc_id", "crc", "start", "windows")]
+            return pa.RecordBatch.from_arrays(
+                [*kept, pa.array(bits[rows]), words], ["doc_id", "crc", "start", "windows", "bits", "words"])
 
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
@@ -191,8 +228,8 @@ def shard_results(distinct: DataFrame) -> DataFrame:
                 if size < SHARD_WORDS:
                     continue
                 table = pa.Table.from_batches(held)
-                routes = table.column("route").to_numpy()
-                new = np.flatnonzero(routes[1:] != routes[:-1])
+                shards = table.column("shard").to_numpy()
+                new = np.flatnonzero(shards[1:] != shards[:-1])
                 if len(new):
                     cut = int(new[-1]) + 1
                     yield solve(table.slice(0, cut))
@@ -201,27 +238,75 @@ def shard_results(distinct: DataFrame) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    return distinct.repartition("route").sortWithinPartitions("route").select(
-        "route", "content", "words", "first").mapInArrow(
-        search, "route long, content long, first long, earlier long")
+    dealt = pieces.mapInArrow(route, STRETCHES.replace("minimizer", "shard"))
+    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(search, RESULTS)
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """For ``doc_id``, ``crc`` and ``text`` (binary): the runs of windows to remove from each document, as
-    ``runs`` of first window and a bit for each window from there."""
+def finer(results: DataFrame) -> DataFrame:
+    """The stretches that a round left open, cut anew by the minimizers of longer grams; without those pieces
+    all of whose windows have been found."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("words").to_pylist()
+            row, first, windows, least = segment(words, LONG_GRAM)
+            every = (np.int64(1) << windows) - 1
+            bits = batch.column("bits").to_numpy()[row]
+            left = np.flatnonzero((bits >> first & every) != every)
+            row, first, windows, least = (a[left] for a in (row, first, windows, least))
+            split = [w.split() for w in words]
+            texts = [b" ".join(split[r][f:f + n + WINDOW - 1])
+                     for r, f, n in zip(row.tolist(), first.tolist(), windows.tolist())]
+            start = batch.column("start").to_numpy()[row] + first
+            rows = pa.array(row)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").take(rows), batch.column("crc").take(rows), pa.array(start.astype(np.int32)),
+                pa.array(windows.astype(np.int32)), pa.array(least), pa.array(texts, pa.binary())],
+                ["doc_id", "crc", "start", "windows", "minimizer", "words"])
+
+    return results.where("words IS NOT NULL").mapInArrow(cut, SEGMENTS + ", words binary")
+
+
+def grouped(results: DataFrame) -> DataFrame:
+    """What both rounds left open, window by window: the least document of equal windows, by grouping."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            doc, crc, start, windows, bits = (
+                batch.column(n).to_pylist() for n in ("doc_id", "crc", "start", "windows", "bits"))
+            rows = []
+            for at in range(batch.num_rows):
+                words = batch.column("words")[at].as_py().split()
+                rows += [(doc[at], crc[at], start[at] + k, b" ".join(words[k:k + WINDOW]))
+                         for k in range(windows[at]) if not bits[at] >> k & 1]
+            names = ["doc_id", "crc", "start", "window"]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[c] for r in rows], kind) for c, kind in enumerate(kinds)], names)
+
+    single = results.where("words IS NOT NULL").mapInArrow(
+        cut, "doc_id long, crc long, start int, window binary").withColumn("window", F.sha2("window", 256))
+    least = single.groupBy("window").agg(F.min("doc_id").alias("first"))
+    return single.join(least, "window").where("doc_id > first").select(
+        "doc_id", "crc", "start", F.lit(1).cast("long").alias("bits"))
+
+
+def found_windows(docs: DataFrame) -> list[DataFrame]:
+    """For ``doc_id``, ``crc`` and ``text`` (binary): the windows to remove, as first window (``start``) and a
+    bit for each window from there, found by the first round, by the second, and by grouping."""
     found = settle(segments(docs), "segments")
-    shared = settle(found.groupBy("minimizer").agg(
-        F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("n")).where(
-        "low < high").select("minimizer", (F.col("n") > FREQUENT).alias("frequent")), "shared-minimizers")
-    pieces = settle(stretches(docs, found.join(shared, "minimizer")), "stretches")
-    distinct = pieces.groupBy("route", "content", "words").agg(F.min("doc_id").alias("first"))
-    results = settle(shard_results(distinct), "shard-results")
-    every = F.expr("shiftleft(1L, windows) - 1L")
-    runs = pieces.select("route", "content", "doc_id", "crc", "start", "windows").join(
-        results, ["route", "content"]).select(
-        "doc_id", "crc", "start",
-        F.when(F.col("doc_id") > F.col("first"), every).otherwise(F.col("earlier")).alias("bits"))
-    return settle(runs.where("bits <> 0").groupBy("doc_id", "crc").agg(
+    shared = settle(shared_minimizers(found), "shared-minimizers")
+    first = settle(searched(stretches(docs, found.join(shared, "minimizer"))), "first-round")
+    pieces = settle(finer(first), "finer-stretches")
+    second = settle(searched(pieces.join(shared_minimizers(pieces), "minimizer").select(
+        "minimizer", "parts", "words", "doc_id", "crc", "start", "windows")), "second-round")
+    return [r.select("doc_id", "crc", "start", "bits").where("bits <> 0") for r in (first, second, grouped(second))]
+
+
+def repeated_windows(docs: DataFrame) -> DataFrame:
+    """The windows to remove from each document, as ``runs`` of first window and bits."""
+    first, second, rest = found_windows(docs)
+    return settle(first.union(second).union(rest).groupBy("doc_id", "crc").agg(
         F.collect_set(F.struct("start", "bits")).alias("runs")), "repeated-windows")
 
 

@@ -83,8 +83,53 @@ def test_segments_cover_every_window_once_and_equal_windows_share_minimizers():
     assert set(seen.values()) <= {1}
 
 
-@pytest.mark.parametrize("frequent", [1, 500])
-def test_few_words_and_many_repeats(spark, monkeypatch, frequent):
+@pytest.mark.parametrize("gram", [substring.GRAM, substring.LONG_GRAM])
+def test_grams_of_any_length_cover_every_window(gram):
+    words = [f"w{k % 40}" for k in range(200)]
+    texts = [" ".join(words[a:a + n]).encode() for a, n in ((0, 90), (20, 60), (40, 12), (5, 13))]
+    text, start, windows, least = substring.segment(texts, gram)
+    of_window = {}
+    for t, s, n, m in zip(text.tolist(), start.tolist(), windows.tolist(), least.tolist()):
+        assert 1 <= n <= substring.WINDOW - gram + 1
+        for k in range(s, s + n):
+            assert of_window.setdefault(tuple(texts[t].split()[k:k + 13]), m) == m
+    assert sum(windows.tolist()) == 78 + 48 + 1
+
+
+def test_a_shard_holds_equal_stretches_and_the_least_document_decides():
+    passage = " ".join(f"p{k}" for k in range(16)).encode()
+    inner = b" ".join(passage.split()[1:14])
+    docs = np.array([5, 3, 3, 9, 4, 1], np.int64)
+    bits = substring.search_shard([passage, passage, passage, passage, inner, b"z " * 12 + b"z"], docs)
+    # Windows 0 to 3 of documents 5 and 9 are in 3 too; the second copy of 3 loses nothing; 4 holds window 1 after 3.
+    assert bits.tolist() == [15, 0, 0, 15, 1, 0]
+
+
+@pytest.fixture
+def small_shards(spark, monkeypatch):
+    """Tasks that solve few shards at once, so that copies meet in later rounds."""
+    monkeypatch.setattr(substring, "SHARD_WORDS", 500)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "40")
+    yield
+    spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_most_windows_are_found_by_backward_search(spark, monkeypatch, small_shards):
+    monkeypatch.setattr(substring, "FREQUENT", 20)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = [(i, f"own{i} {passage} end{i}") for i in range(900)] + [(2000, "x " * 500), (2001, "x " * 500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select(
+        "doc_id", substring.F.crc32("text").alias("crc"), substring.octets(substring.F.col("text")).alias("text"))
+    rounds = [{(r["doc_id"], r["start"] + k) for r in found.collect() for k in range(9) if r["bits"] >> k & 1}
+              for found in substring.found_windows(docs)]
+    every = set().union(*rounds)
+    sizes = [len(rounds[0]), len(rounds[1] - rounds[0]), len(rounds[2] - rounds[0] - rounds[1]), len(every)]
+    assert sizes[0] > 0.9 * sizes[3] and 0 < sizes[1] and sizes[2] < 0.01 * sizes[3], sizes
+    check(spark, rows)
+
+
+@pytest.mark.parametrize("frequent", [1, 6, 500])
+def test_few_words_and_many_repeats(spark, monkeypatch, frequent, small_shards):
     monkeypatch.setattr(substring, "FREQUENT", frequent)
     rng = random.Random(4)
     passage = [f"p{k}" for k in range(60)]
