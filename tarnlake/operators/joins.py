@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.functions.scalars import NO_VALUE
-from tarnlake.session import MB
-from tarnlake.sizing import broadcast_if_small
+from tarnlake.sizing import BROADCAST_BYTES, broadcast_if_small
 
 
 def join_keeping_keys(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
@@ -21,7 +20,7 @@ def join_keeping_keys(left: DataFrame, right: DataFrame, left_key: str, right_ke
 
 
 def join_small(
-    large: DataFrame, small: DataFrame, key: str, how: str = "inner", limit_bytes: int = 200 * MB
+    large: DataFrame, small: DataFrame, key: str, how: str = "inner", limit_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Join a dimension on one key, which is kept once; broadcast below the limit, shuffled beyond it."""
     return large.join(broadcast_if_small(small, limit_bytes), key, how)

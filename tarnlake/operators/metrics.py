@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from tarnlake.functions.predicates import all_of, any_of, text_values_match
 from tarnlake.operators.joins import join_null_safe
 from tarnlake.operators.topk import checked_cap
-from tarnlake.sizing import broadcast_if_small, is_small
+from tarnlake.sizing import is_small
 
 # Fixed spellings of a column reference: 'Table'[Col], Table[Col], Table.Col, [Col], Col.
 REFERENCE = re.compile(r"^(?:'(?P<quoted>[^']+)'|(?P<table>[A-Za-z_][A-Za-z0-9_ ]*))?"
@@ -149,12 +149,13 @@ def _settled_type(value: Column, measure: Measure, kind: T.DataType) -> Column:
     return value
 
 
-def _join_order(model: Model, links: Sequence[Relationship], small: Mapping[str, bool]) -> list[Relationship]:
-    """Links in an order in which each table is reached before it is left, small parents first."""
+def _join_order(model: Model, links: Sequence[Relationship], small: Mapping[str, bool],
+                filtered: set[str]) -> list[Relationship]:
+    """Links in an order in which each table is reached before it is left, small parents first, then filtered ones."""
     waiting, reached, order = list(links), {model.fact}, []
     while waiting:
         ready = [link for link in waiting if link.table in reached]
-        link = next((r for r in ready if small[r.parent]), ready[0])
+        link = min(ready, key=lambda r: (not small[r.parent], r.parent not in filtered))
         waiting.remove(link)
         reached.add(link.parent)
         order.append(link)
@@ -185,7 +186,8 @@ def evaluate(
     sets = [[p for p in plain if model.measures[p].function != "distinct"],
             *[[p] for p in plain if model.measures[p].function == "distinct"]]
     places = {p: i for i, p in enumerate(plain)}
-    parts = [_totals(model, names, places, groups, wanted, presum) for names in sets if names]
+    dims = _dimensions(model, groups, wanted)
+    parts = [_totals(model, dims, names, places, groups, wanted, presum) for names in sets if names]
     columns = [c for _, c in groups]
     shown = [c if columns.count(c) == 1 else f"{t}.{c}" for t, c in groups]
     result = parts[0]
@@ -205,19 +207,43 @@ def evaluate(
     return result.orderBy(*first).limit(checked_cap(max_rows))
 
 
-def _totals(model: Model, names: Sequence[str], places: Mapping[str, int], groups: Sequence[tuple[str, str]],
-            wanted: Mapping[tuple[str, str], list[str]], presum: bool | None) -> DataFrame:
+# Inside, a column carries its table's name, since two tables may use one name.
+def inner(table: str, column: str) -> str:
+    return f"__{table}__{column}"
+
+
+def _links_to(model: Model, groups: Sequence[tuple[str, str]], wanted: Mapping[tuple[str, str], list[str]]) -> list[Relationship]:
+    """The relationships that lead from the fact to the tables of a request."""
+    return list(dict.fromkeys(link for t, _ in [*groups, *wanted] if t != model.fact for link in model.path_to(t)))
+
+
+def _prepared(model: Model, table: str, groups: Sequence[tuple[str, str]], wanted: Mapping[tuple[str, str], list[str]],
+              *extra: Column) -> DataFrame:
+    """Filtered rows of a table with the columns that the request needs of it."""
+    df = model.tables[table]
+    conditions = [text_values_match(F.col(c), vs, df.schema[c].dataType.simpleString())
+                  for (t, c), vs in wanted.items() if t == table]
+    used = [c for t, c in groups if t == table] + [r.column for r in _links_to(model, groups, wanted) if r.table == table]
+    return df.filter(all_of(conditions)).select(
+        *[F.col(c).alias(inner(table, c)) for c in dict.fromkeys(used)], *extra)
+
+
+def _dimensions(model: Model, groups: Sequence[tuple[str, str]],
+                wanted: Mapping[tuple[str, str], list[str]]) -> dict[str, tuple[DataFrame, bool]]:
+    """The rows of each dimension that are joined, under ``__key``, and whether they can be broadcast. Their size is
+    found once a request."""
+    dims = {link.parent: _prepared(model, link.parent, groups, wanted, F.col(link.key).alias("__key"))
+            for link in _links_to(model, groups, wanted)}
+    return {t: (df, is_small(df)) for t, df in dims.items()}
+
+
+def _totals(model: Model, dims: Mapping[str, tuple[DataFrame, bool]], names: Sequence[str], places: Mapping[str, int],
+            groups: Sequence[tuple[str, str]], wanted: Mapping[tuple[str, str], list[str]],
+            presum: bool | None) -> DataFrame:
     """Plain measures per group, as columns ``__m<i>`` with i from ``places``; the groups are ``__g<i>``."""
     chosen = [model.measures[m] for m in names]
-    dims = [t for t, _ in [*groups, *wanted] if t != model.fact]
-    needed = list(dict.fromkeys(link for t in dims for link in model.path_to(t)))
-    # Sizes come from the optimiser, which is asked once a table.
-    small = {t: is_small(model.tables[t]) for t in {link.parent for link in needed}}
-    links = _join_order(model, needed, small)
-
-    # Inside, a column carries its table's name, since two tables may use one name.
-    def inner(table: str, column: str) -> str:
-        return f"__{table}__{column}"
+    small = {t: fits for t, (_, fits) in dims.items()}
+    links = _join_order(model, _links_to(model, groups, wanted), small, {t for t, _ in wanted})
 
     def columns_after(step: int) -> list[str]:
         """Columns still of use once the first ``step`` joins are done."""
@@ -226,17 +252,8 @@ def _totals(model: Model, names: Sequence[str], places: Mapping[str, int], group
             [inner(t, c) for t, c in groups if t in reached]
             + [inner(r.table, r.column) for r in links[step:] if r.table in reached]))
 
-    def prepared(table: str, *extra: Column) -> DataFrame:
-        """Filtered rows of a table with the columns that the request needs of it."""
-        df = model.tables[table]
-        conditions = [text_values_match(F.col(c), vs, df.schema[c].dataType.simpleString())
-                      for (t, c), vs in wanted.items() if t == table]
-        used = [c for t, c in groups if t == table] + [r.column for r in links if r.table == table]
-        return df.filter(all_of(conditions)).select(
-            *[F.col(c).alias(inner(table, c)) for c in dict.fromkeys(used)], *extra)
-
     parts = _parts_of(chosen)
-    rows = prepared(model.fact, *[c.alias(n) for n, c in parts.items()])
+    rows = _prepared(model, model.fact, groups, wanted, *[c.alias(n) for n, c in parts.items()])
     for step, link in enumerate(links):
         keys = columns_after(step)
         large_left = [r for r in links[step:] if inner(r.table, r.column) in keys and not small[r.parent]]
@@ -245,8 +262,8 @@ def _totals(model: Model, names: Sequence[str], places: Mapping[str, int], group
                 rows.groupBy(*keys).agg(*_merged(chosen))
         # A filtered dimension keeps only rows that match it; else unmatched rows stay, under null.
         how = "inner" if any(t == link.parent for t, _ in wanted) else "left"
-        dim = prepared(link.parent, F.col(link.key).alias("__key"))
-        joined = rows.join(broadcast_if_small(dim), F.col(inner(link.table, link.column)) == F.col("__key"), how)
+        dim = F.broadcast(dims[link.parent][0]) if small[link.parent] else dims[link.parent][0]
+        joined = rows.join(dim, F.col(inner(link.table, link.column)) == F.col("__key"), how)
         rows = joined.select(*columns_after(step + 1), *parts)
 
     totals = [_settled_type(_whole(i, m), m, rows.schema[f"__v{i}"].dataType).alias(f"__m{places[n]}")

@@ -1,4 +1,4 @@
-"""Size checks taken from the optimised plan; none of them starts a job."""
+"""Size checks taken from the optimised plan. Only a frame that may be broadcast and isn't tiny has its rows counted."""
 
 from __future__ import annotations
 
@@ -10,6 +10,12 @@ from tarnlake.session import MB
 
 # Parquet on disk is a few times smaller than the same rows in memory.
 FILE_EXPANSION = 4
+# What the driver may hold of one broadcast: it builds the hash table, and a query may need several at once.
+BROADCAST_BYTES = 64 * MB
+# Below this no compression of a file makes a frame too large to broadcast.
+TINY_BYTES = MB
+# A row's share of the hash table beside its columns: header, key, address, free slots.
+ROW_OVERHEAD = 64
 
 
 def _optimised(df: DataFrame):
@@ -27,11 +33,25 @@ def scanned_bytes(df: DataFrame) -> int:
     return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
 
 
-def is_small(df: DataFrame, limit_bytes: int = 200 * MB) -> bool:
-    return estimated_bytes(df) * FILE_EXPANSION <= limit_bytes
+def row_bytes(df: DataFrame) -> int:
+    """Size of a row in a hash table, by the types of its columns."""
+    kinds = df._jdf.schema()
+    return ROW_OVERHEAD + sum(kinds.apply(i).dataType().defaultSize() for i in range(kinds.size()))
 
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = 200 * MB) -> DataFrame:
+def is_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether the frame fits the limit in memory, by the plan's estimate and by the number of its rows.
+
+    Files of keys and of few different values hold many more rows than their size tells, so that the rows
+    of a frame that passes by its estimate, and isn't tiny, are counted.
+    """
+    estimate = estimated_bytes(df) * FILE_EXPANSION
+    if estimate > limit_bytes:
+        return False
+    return estimate <= TINY_BYTES or df.count() * row_bytes(df) <= limit_bytes
+
+
+def broadcast_if_small(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only when the checked size stays below the limit.
 
     Beyond it the frame is returned as it is, and Spark picks a shuffled join with AQE skew handling.
@@ -39,7 +59,7 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = 200 * MB) -> DataFrame:
     return F.broadcast(df) if is_small(df, limit_bytes) else df
 
 
-def settled(df: DataFrame, limit_bytes: int = 200 * MB) -> DataFrame:
+def settled(df: DataFrame, limit_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """A summary that is to be joined back to the large table it was made from.
 
     The plan bounds a summary only by the size of its input. When that is no small size, the summary is

@@ -189,6 +189,19 @@ def test_broadcast_only_below_the_limit(spark):
     assert "broadcast" not in broadcast_if_small(spark.range(10**10))._jdf.queryExecution().logical().toString()
 
 
+def test_many_rows_in_a_small_file_are_not_broadcast(spark, tmp_path):
+    """Keys and few different values compress well; the driver would have to hold a hash table of all rows."""
+    spark.range(0, 2_000_000, 1, 1).selectExpr("id", "id % 3 AS kind").write.parquet(str(tmp_path / "dim"))
+    dim = spark.read.parquet(str(tmp_path / "dim"))
+    assert sizing.estimated_bytes(dim) * sizing.FILE_EXPANSION < 200 * 2**20
+    assert not sizing.is_small(dim) and sizing.is_small(dim.filter("id < 100000"))
+    model = metrics.Model("f", {"f": spark.range(10).selectExpr("id AS k"), "d": dim},
+                          [metrics.Relationship("f", "k", "d", "id")], {"N": metrics.Measure("count", "1")})
+    totals = metrics.evaluate(model, ["N"], ["d.kind"])
+    assert "broadcast" not in totals._jdf.queryExecution().logical().toString()
+    assert sorted(r["N"] for r in totals.collect()) == [3, 3, 4]
+
+
 def test_summary_is_settled_when_its_size_is_unknown(spark):
     small = spark.range(10**7).groupBy((F.col("id") % 3).alias("k")).count()
     settled = sizing.settled(small, limit_bytes=10**7)
