@@ -192,3 +192,20 @@ def test_trigger_gives_the_same_rows_after_a_restart(spark, parts):
     got = spark.read.parquet(path).select("object", (F.col("window_start").cast("long") / 60).cast("int"), "mean", "previous_mean")
     wanted = [(o, h, values[h], values[h - 1]) for o in ("x", None) for h in (1, 5, 8)]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, wanted))
+
+
+def test_trigger_asks_the_state_once_a_batch_and_object(spark):
+    """Windows are formed by Spark's aggregate, and Python gets one row for each that closed, not one an event."""
+    folder, path = scratch.fresh_path(spark, "in"), scratch.fresh_path(spark, "out")
+    rows = spark.range(6000).selectExpr(
+        "id % 2 AS object", "timestamp_seconds(id div 10) AS t", "IF(id div 600 % 2 = 0, 1.0D, 9.0D) AS value")
+    rows.coalesce(1).write.parquet(folder)
+    found = trigger.becomes_greater(
+        streams.file_stream(spark, folder, rows.schema), "object", "t", F.col("value"), 5.0, 60_000, "0 seconds")
+    with trigger.rocksdb_state(spark):
+        started = streams.start_append(found, path, f"{path}-c")
+    done = streams.finish(started)
+    operators = [o for p in done.recentProgress for o in p["stateOperators"]]
+    assert sum(o["numRowsUpdated"] for o in operators if "transformWithState" in o["operatorName"]) <= 2
+    got = spark.read.parquet(path).select("object", (F.col("window_start").cast("long") / 60).cast("int"))
+    assert sorted(map(tuple, got.collect())) == [(o, h) for o in (0, 1) for h in (1, 3, 5, 7)]
