@@ -4,7 +4,7 @@ import threading
 import pytest
 from pyspark.sql import functions as F
 
-from tarnlake import scratch
+from tarnlake import scratch, sizing
 from tarnlake.sources import copyjobs, keyed, readers, upsert, writers
 
 PRODUCTS = {"id": "int", "product_name": "string", "price": "double", "date_created": "string"}
@@ -144,6 +144,18 @@ def test_compaction_spreads_a_hot_key(spark):
     assert laid_out.columns == ["k", "t"]
 
 
+def test_compaction_sorts_a_file_at_a_time(spark):
+    """A task sorts what it writes, so that a file is far smaller than the memory of a task."""
+    root = scratch.fresh_path(spark, "t")
+    writers.write_table(spark.range(9000).selectExpr("id % 100 AS k", "id AS v"), "large_t", root)
+    held = sizing.scanned_bytes(spark.table("large_t"))
+    laid_out = writers.compact(spark.table("large_t"), ["k"], file_bytes=held // 5)
+    assert laid_out.rdd.getNumPartitions() in (5, 6) and laid_out.count() == 9000
+    assert writers.FILE_BYTES <= 128 * 2**20
+    plan = laid_out._jdf.queryExecution().optimizedPlan().toString()
+    assert "__tie" not in plan[:plan.index("RepartitionByExpression")]
+
+
 def test_partitioned_upsert_with_moving_rows(spark):
     """The partition column is no key: a row may move to another partition."""
     root = scratch.fresh_path(spark, "t")
