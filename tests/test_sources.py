@@ -151,7 +151,7 @@ def test_compaction_sorts_a_file_at_a_time(spark):
     held = sizing.scanned_bytes(spark.table("large_t"))
     laid_out = writers.compact(spark.table("large_t"), ["k"], file_bytes=held // 5)
     assert laid_out.rdd.getNumPartitions() in (5, 6) and laid_out.count() == 9000
-    assert writers.FILE_BYTES <= 128 * 2**20
+    assert writers.FILE_BYTES <= 64 * 2**20
     plan = laid_out._jdf.queryExecution().optimizedPlan().toString()
     assert "__tie" not in plan[:plan.index("RepartitionByExpression")]
 
