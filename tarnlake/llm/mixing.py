@@ -7,6 +7,7 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -131,8 +132,10 @@ def mix(docs: DataFrame, *, size: Column | None = None, apart: Column | None = N
         F.col("before"), F.col("block") * block)
     taken = pieces.withColumn("words", words).join(times, ["stratum", "block"]).groupBy("stratum", "rank").agg(
         F.array(*[F.sum(F.col("words") * F.col(f"in_{e}")) for e in range(repeats)]).alias("by_epoch"))
-    facts = spark.createDataFrame(
-        [(s, totals[s][0], target[s]) for s in strata], "stratum string, source_size long, target double")
+    # From Arrow, as rows of Python would go through workers of their own on the executors.
+    facts = spark.createDataFrame(pa.table(
+        [pa.array(strata, pa.string()), pa.array([totals[s][0] for s in strata], pa.int64()),
+         pa.array([target[s] for s in strata], pa.float64())], ["stratum", "source_size", "target"]))
     none = F.array(*[F.lit(0).cast("long")] * repeats)
     joined = placed.join(taken, ["stratum", "rank"], "left").join(facts, "stratum").withColumn(
         "by_epoch", F.coalesce("by_epoch", none))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tarnlake.llm.common import cell_count, cell_rank, hash_cell, named, settle
-from tarnlake.llm.tokens import TEXT_BYTES, slices, word_tokens
+from tarnlake.llm.tokens import TEXT_BYTES, text_slices, word_tokens
 
 END_ID = 1
 UNIT = 8
@@ -32,10 +32,10 @@ def token_pieces(docs: DataFrame, tokenizer: str, *, key: str = "doc_id", text:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_tokens(tokenizer)
         for batch in batches:
-            keys, texts = batch.column(0), batch.column(1).to_pylist()
-            for low, high in slices(texts, TEXT_BYTES):
-                counts, ids = words.encode(texts[low:high])
-                whole = np.full(len(ids) + high - low, end_id, np.uint32)
+            keys = batch.column(0)
+            for low, texts in text_slices(batch.column(1), TEXT_BYTES):
+                counts, ids = words.encode(texts)
+                whole = np.full(len(ids) + len(texts), end_id, np.uint32)
                 ends = np.cumsum(counts + 1)
                 inside = np.ones(len(whole), bool)
                 inside[ends - 1] = False

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tarnlake.llm.common import named, null_free, packed, settle, unpacked
-from tarnlake.llm.tokens import slices
+from tarnlake.llm.tokens import text_slices
 
 # Fixed value: the seed of the shingle hash.
 SEED = 42
@@ -66,11 +66,10 @@ def fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "text", sh
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for low, high in slices(texts, TEXT_BYTES):
-                carried = [batch.column(k).slice(low, high - low) for k in range(2, batch.num_columns)]
+            for low, texts in text_slices(batch.column(1), TEXT_BYTES):
+                carried = [batch.column(k).slice(low, len(texts)) for k in range(2, batch.num_columns)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(low, high - low), pa.array(fingerprint_batch(texts[low:high], shingle)),
+                    [batch.column(0).slice(low, len(texts)), pa.array(fingerprint_batch(texts, shingle)),
                      *carried], ["doc_id", "fp", "id"][:2 + len(carried)])
 
     plain = docs.select(

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 from tarnlake.llm.common import named, packed, settle, unpacked
 from tarnlake.llm.fm_index import FmIndex
-from tarnlake.llm.tokens import slices
+from tarnlake.llm.tokens import text_slices
 
 WINDOW = 13
 # Words in the grams of the first round's minimizers, and of the second's.
@@ -36,6 +36,8 @@ MOST_WINDOWS = WINDOW - GRAM + 1
 FREQUENT = 500
 SHARD_WORDS = 300_000
 ROWS_AT_ONCE = 20_000
+# Text that is cut at once: its words and their hashes take some twenty times as much memory.
+TEXT_BYTES = 2_000_000
 SEGMENTS = "doc_id long, crc long, start int, windows int, minimizer long"
 STRETCHES = "minimizer long, parts long, words binary, doc_id long, crc long, start int, windows int"
 RESULTS = "doc_id long, crc long, start int, windows int, bits long, words binary"
@@ -45,6 +47,7 @@ def hash_words(words: list[bytes]) -> np.ndarray:
     index: defaultdict[bytes, int] = defaultdict()
     index.default_factory = index.__len__
     codes = np.fromiter(map(index.__getitem__, words), np.int64, len(words))
+    index.default_factory = None  # else the words stay in memory, held by themselves
     digest = xxhash.xxh64_intdigest
     return np.fromiter((digest(w) for w in index), np.uint64, len(index))[codes]
 
@@ -88,9 +91,8 @@ def segments(docs: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(2).to_pylist()
-            for low, high in slices(texts):
-                text, start, windows, least = segment(texts[low:high])
+            for low, texts in text_slices(batch.column(2), TEXT_BYTES):
+                text, start, windows, least = segment(texts)
                 rows = pa.array(text + low)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).take(rows), batch.column(1).take(rows), pa.array(start.astype(np.int32)),
@@ -167,6 +169,7 @@ def search_shard(texts: list[bytes], docs: np.ndarray) -> np.ndarray:
         sizes[at] = len(words)
         symbols += map(index.__getitem__, words)
         symbols.append(0)
+    known.default_factory = index.default_factory = None  # as in hash_words
     asked = np.array(symbols, np.int64)
     begins = np.cumsum(sizes + 1) - sizes - 1
     long = sizes[kind] + 1
@@ -196,15 +199,6 @@ def searched(pieces: DataFrame) -> DataFrame:
     a task solves several shards at once.
     """
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            least, parts, doc, crc, start = (
-                batch.column(n).to_numpy().astype(np.int64).view(np.uint64)
-                for n in ("minimizer", "parts", "doc_id", "crc", "start"))
-            part = mixed(mixed(mixed(doc) + crc) + start) % parts
-            shard = np.where(parts > 1, mixed(mixed(least) + part), least).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), *batch.columns[1:]], ["shard", *batch.schema.names[1:]])
-
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         size = 0
@@ -238,7 +232,10 @@ def searched(pieces: DataFrame) -> DataFrame:
         if held:
             yield solve(pa.Table.from_batches(held))
 
-    dealt = pieces.mapInArrow(route, STRETCHES.replace("minimizer", "shard"))
+    # Told by Spark, as a second step of Python in a stage would be a second worker, with its memory, for each task.
+    part = F.pmod(F.xxhash64("doc_id", "crc", "start"), F.col("parts"))
+    shard = F.when(F.col("parts") > 1, F.xxhash64("minimizer", part)).otherwise(F.col("minimizer"))
+    dealt = pieces.select(shard.alias("shard"), *[c for c in pieces.columns if c != "minimizer"])
     return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(search, RESULTS)
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 # Fixed value: an added token of the vocabulary; it separates words that are encoded together.
@@ -50,6 +52,7 @@ class WordTokens:
         lengths, chosen = self.lengths[kept], np.zeros(len(self.index), bool)
         chosen[kept] = True
         words = [w for w, keep in zip(self.index, chosen.tolist()) if keep]
+        self.index.default_factory = None  # else the old index stays in memory, held by itself
         self._keep(words, self.met[kept] // 2, lengths, self.ids[spans(self.starts[kept], lengths)])
 
     def _ids(self, text: str) -> np.ndarray:
@@ -140,3 +143,15 @@ def slices(texts, most_bytes: int = 8_000_000):
             start, size = at + 1, 0
     if start < len(texts):
         yield start, len(texts)
+
+
+def text_slices(column: pa.Array, most_bytes: int = 8_000_000) -> Iterator[tuple[int, list[bytes]]]:
+    """Runs of about ``most_bytes`` of a binary column without nulls: the first row's place and the texts. Only those of
+    one run become Python objects at a time."""
+    ends = np.cumsum(pc.binary_length(column).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        past = ends[start - 1] if start else 0
+        stop = min(len(ends), int(np.searchsorted(ends, past + most_bytes)) + 1)
+        yield start, column.slice(start, stop - start).to_pylist()
+        start = stop

@@ -113,3 +113,9 @@ def test_rows_under_one_key_are_shuffled_apart(spark):
             assert sum(r["taken"] for r in some) == pytest.approx(share * sum(r["size"] for r in some), rel=0.15)
     again = {r["own"]: r["taken"] for r in mixing.mix(docs.repartition(5)).collect()}
     assert again == {r["own"]: r["taken"] for r in rows}
+
+
+def test_facts_of_the_sources_need_no_workers(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    plan = mixing.mix(docs)._jdf.queryExecution().sparkPlan().toString()
+    assert "LocalTableScan" in plan and "ExistingRDD" not in plan

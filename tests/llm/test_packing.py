@@ -1,13 +1,15 @@
+import gc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from tarnlake.llm import packing
-from tarnlake.llm.tokens import WordTokens, slices
+from tarnlake.llm.tokens import WordTokens, slices, text_slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = ["", " ", "a<|startoftext|>b <|endoftext|>c it's DON'T 'S  x  é ́a \x1c\x1d x\xa0y ΣΑΣ İ ﬁ １２3 <|endoftext|><|startoftext|>",
@@ -36,6 +38,26 @@ def test_slices_cover_everything_once():
     assert [k for a, b in runs for k in range(a, b)] == list(range(7)) and list(slices([], 10)) == []
 
 
+def test_slices_of_a_column_are_those_of_its_texts():
+    texts = [b"x" * n for n in (5, 0, 0, 50, 3, 9, 1)]
+    column = pa.array([b"ahead", *texts]).slice(1)
+    for most in (1, 4, 10, 68, 69, 1000):
+        assert list(text_slices(column, most)) == [(a, texts[a:b]) for a, b in slices(texts, most)]
+    assert list(text_slices(column.slice(0, 0))) == []
+
+
+def test_words_that_are_no_longer_needed_leave_memory():
+    gc.collect()
+    gc.disable()
+    try:
+        store = WordTokens(PATH, 10)
+        store.encode([b"w%d" % k for k in range(40)])
+        store.encode([b"new"])
+        assert not any(isinstance(x, defaultdict) and b"w39" in x for x in gc.get_objects())
+    finally:
+        gc.enable()
+
+
 def test_knapsack_against_all_patterns():
     rng = np.random.default_rng(3)
     for _ in range(20):

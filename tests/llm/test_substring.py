@@ -1,11 +1,13 @@
+import gc
 import random
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
 from tarnlake.llm import substring
+from tarnlake.llm.common import settle
 from tarnlake.llm.fm_index import Bits, FmIndex, WaveletMatrix, suffix_order
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -105,6 +107,35 @@ def test_a_shard_holds_equal_stretches_and_the_least_document_decides():
     assert bits.tolist() == [15, 0, 0, 15, 1, 0]
 
 
+def test_no_words_stay_in_memory():
+    gc.collect()
+    gc.disable()
+    try:
+        substring.segment([b" ".join(b"w%d" % k for k in range(30))])
+        substring.search_shard([b"z " * 12 + b"z"] * 2, np.array([1, 2], np.int64))
+        assert not any(isinstance(x, defaultdict) and (b"w7" in x or b"z" in x) for x in gc.get_objects())
+    finally:
+        gc.enable()
+
+
+def test_a_stage_has_one_step_of_python(spark, monkeypatch):
+    plans = []
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return settle(df, label)
+
+    monkeypatch.setattr(substring, "settle", planned)
+    text = " ".join(f"t{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, 1, text), (2, 1, text)], "doc_id long, crc long, text string").select(
+        "doc_id", "crc", substring.octets(substring.F.col("text")).alias("text"))
+    substring.found_windows(docs)
+    assert sum("MapInArrow" in p for p in plans) >= 4
+    # Above the first join a plan is a single line of steps; an exchange ends a stage.
+    for line in (p.split("Join")[0] for p in plans):
+        assert all(stage.count("MapInArrow") <= 1 for stage in line.split("Exchange")), line
+
+
 @pytest.fixture
 def small_shards(spark, monkeypatch):
     """Tasks that solve few shards at once, so that copies meet in later rounds."""
